@@ -17,7 +17,6 @@ SELECT c_custkey AS client_id, c_name AS name, c_mktsegment AS city, o_orderkey
             WHEN c_acctbal < 7000 THEN 'MEDIUM' ELSE 'LOW' END AS overall_risk
 FROM customer JOIN orders ON c_custkey = o_custkey
 LEFT JOIN ({VALUED}) ON o_orderkey = l_orderkey
-LEFT JOIN part ON l_partkey = p_partkey
 """
 
 GAPS = """

@@ -235,7 +235,7 @@ def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "collaterals.stock_id = market.market_id",
         "CASE WHEN collateral_type = 'R' THEN numbers * current_value_eur ELSE valuation_eur END",
     )
-    return credit_risk_fact(clients, credits, valued, market, "F", 500, 7000)
+    return credit_risk_fact(clients, credits, valued, collaterals, "F", 500, 7000)
 
 
 def ordered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

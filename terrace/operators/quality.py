@@ -10,6 +10,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrace.session import few_rows
+
 # Texts and the sample size of the result rows.
 SAMPLE_SIZE = 5
 NO_ID_TEXT = "no identifying column available"
@@ -148,4 +150,4 @@ def result_frame(spark: SparkSession, pipeline: str, results: list[Result]) -> D
         (pipeline, r.rule, r.status, r.failed_rows, r.failed_ids, r.action, checked_at)
         for r in results
     ]
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return few_rows(spark, rows, RESULT_SCHEMA)

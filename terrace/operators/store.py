@@ -100,21 +100,18 @@ def merged(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     if clash:
         raise ValueError(f"several source rows match target key {clash[0][0]!r}")
 
-    columns = target.columns
-    fresh = source.where(F.col(key).isNotNull()).join(repeated, key, "left_anti").select(columns)
-    fresh = fresh.toDF(*[f"_new_{c}" for c in columns])
-    new_key = F.col(f"_new_{key}")
-
-    kept = target.join(fresh, F.col(key) == new_key, "left").select(
-        [F.when(new_key.isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
-    )
-    known = target.select(key).distinct().join(fresh.select(new_key), F.col(key) == new_key, "left_semi")
-    added = fresh.join(known, new_key == F.col(key), "left_anti").toDF(*columns)
-    return (
-        kept.union(added)
-        .union(source.join(repeated, key, "left_semi").select(columns))
-        .union(source.where(F.col(key).isNull()))
-    )
+    t, s = target.alias("t"), source.where(F.col(key).isNotNull())
+    single = s.join(repeated, key, "left_anti").select(source.columns).alias("s")
+    hit = F.col("t." + key) == F.col("s." + key)
+    updated = [
+        F.when(F.col("s." + key).isNotNull(), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
+        for c in target.columns
+    ]
+    kept = t.join(single, hit, "left").select(updated)
+    known = target.select(key).distinct().alias("t").join(single, hit, "left_semi")
+    added = single.join(known, hit, "left_anti")
+    several = s.join(repeated, key, "left_semi").select(source.columns)
+    return kept.union(added).union(several).union(source.where(F.col(key).isNull()))
 
 
 def upsert(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators import quality, store
+from terrace.session import few_rows
 
 RUN_SCHEMA = (
     "pipeline_name string, status string, start_time string, end_time string, "
@@ -33,7 +34,7 @@ def run_frame(spark: SparkSession, pipeline: str, meta: dict) -> DataFrame:
         *(meta.get(c) for c in COUNTS),
         meta.get("error_message"),
     )
-    return spark.createDataFrame([row], RUN_SCHEMA)
+    return few_rows(spark, [row], RUN_SCHEMA)
 
 
 def log_run(spark: SparkSession, spec: dict, meta: dict) -> None:

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from terrace.operators.joins import KEY_COPIES
 from terrace.plans.spec import table_spec
 
-# One row per credit and collateral. The optional side of an outer join cannot
-# be split when one credit has very many collaterals, so credits with collaterals
-# come from an inner join, the others from an anti join on the reduced keys, and
-# credits without an id are added as they are. All three read `exposure`.
+# One row per credit and collateral, and one for a credit without any. The optional
+# side of an outer join cannot be split when one credit has very many collaterals,
+# so credits with collaterals come from an inner join, the others from an anti join
+# on the reduced ids, and credits without an id are added as they are. `pledges` has
+# the collaterals as they enter the fact, `pledged` any relation with their credit ids.
 FACT_SQL = f"""
 WITH exposure AS (
   SELECT c.client_id, c.name, c.city, cr.credit_id, cr.credit_type, cr.total_amount_eur,
@@ -21,19 +22,15 @@ WITH exposure AS (
               ELSE 'LOW' END AS overall_risk
   FROM {{clients}} c JOIN {{credits}} cr ON c.client_id = cr.client_id
 ),
-pledge AS (
-  SELECT col.credit_id, col.collateral_type, col.valuation_eur
-  FROM {{collaterals}} col LEFT JOIN {{market}} m ON col.stock_id = m.market_id
-),
 pledged_id AS (
   SELECT credit_id FROM (
     SELECT DISTINCT credit_id, spark_partition_id() % {KEY_COPIES} AS copy
-    FROM {{collaterals}} WHERE credit_id IS NOT NULL)
+    FROM {{pledged}} WHERE credit_id IS NOT NULL)
 ),
 secured AS (
   SELECT e.*, p.collateral_type, p.valuation_eur
   FROM (SELECT * FROM exposure WHERE credit_id IS NOT NULL) e
-  JOIN pledge p ON e.credit_id = p.credit_id
+  JOIN {{pledges}} p ON e.credit_id = p.credit_id
   UNION ALL
   SELECT e.*, NULL, NULL
   FROM (SELECT * FROM exposure WHERE credit_id IS NOT NULL) e
@@ -50,6 +47,12 @@ SELECT client_id, name, city, credit_id, credit_type, total_amount_eur, balance_
 FROM secured
 """
 
+# Market adds no column, but a collateral counts once per market row it matches.
+SILVER_PLEDGES = """(
+  SELECT col.credit_id, col.collateral_type, col.valuation_eur
+  FROM {silver}.collaterals col LEFT JOIN {silver}.market m ON col.stock_id = m.market_id
+)"""
+
 # The status and score limits of the risk bands.
 DEFAULTED = "DEFAULTED"
 HIGH_BELOW = 500
@@ -126,8 +129,8 @@ def credit_risk_specs(prefix: str = "") -> list[dict]:
             medium_below=MEDIUM_BELOW,
             clients=f"{silver}.clients",
             credits=f"{silver}.credits",
-            collaterals=f"{silver}.collaterals",
-            market=f"{silver}.market",
+            pledges=SILVER_PLEDGES.format(silver=silver),
+            pledged=f"{silver}.collaterals",
         ),
     }
     return [market, clients, credits, collaterals, gold]
@@ -136,14 +139,19 @@ def credit_risk_specs(prefix: str = "") -> list[dict]:
 def credit_risk_fact(
     clients: DataFrame,
     credits: DataFrame,
-    collaterals: DataFrame,
-    market: DataFrame,
+    pledges: DataFrame,
+    pledged: DataFrame | None = None,
     defaulted: str = DEFAULTED,
     high_below: int = HIGH_BELOW,
     medium_below: int = MEDIUM_BELOW,
 ) -> DataFrame:
-    """The fact over frames instead of silver tables."""
-    tables = {"clients": clients, "credits": credits, "collaterals": collaterals, "market": market}
+    """The fact over frames instead of silver tables.
+
+    ``pledged`` is where the credit ids of ``pledges`` are cheaper to read, for
+    instance the table it was enriched from.
+    """
+    tables = {"clients": clients, "credits": credits, "pledges": pledges}
+    tables["pledged"] = pledges if pledged is None else pledged
     limits = {"high_below": high_below, "medium_below": medium_below}
     return clients.sparkSession.sql(FACT_SQL, defaulted=defaulted, **limits, **tables)
 

@@ -7,8 +7,11 @@ import tempfile
 from contextlib import contextmanager
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 GIB = 1 << 30
 MAX_SHUFFLE_PARTITIONS = 50_000
@@ -31,6 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A handful of driver-side rows as a frame of one partition."""
+    fields = StructType.fromDDL(schema)
+    named = [dict(zip(fields.names, row, strict=True)) for row in rows]
+    table = pa.Table.from_pylist(named, to_arrow_schema(fields))
+    return spark.createDataFrame(table, fields).coalesce(1)
+
+
 def input_bytes(*frames: DataFrame) -> int:
     """Total size of the files behind some frames; lists them, reads none.
 
@@ -51,12 +62,16 @@ def shuffle_settings(spark: SparkSession, n_bytes: int) -> dict[str, str]:
     AQE can merge shuffle partitions but never adds any, so the initial number
     has to follow the data: one per GiB of input, bounded so that the map
     output table still fits the driver. Scan tasks grow with the input for the
-    same reason. Small inputs keep the session's own settings.
+    same reason. Small inputs keep the session's own numbers. Skewed joins are
+    split even where that costs another shuffle.
     """
     own = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
     default = int(own)
     partitions = min(max(default, n_bytes // GIB), max(default, MAX_SHUFFLE_PARTITIONS))
-    settings = {INITIAL_PARTITIONS: str(partitions)}
+    settings = {
+        INITIAL_PARTITIONS: str(partitions),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
     if n_bytes // MAX_SCAN_TASKS > 128 << 20:
         settings["spark.sql.files.maxPartitionBytes"] = str(n_bytes // MAX_SCAN_TASKS)
     if partitions > default:

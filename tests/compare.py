@@ -35,3 +35,7 @@ def assert_same(got, want) -> None:
     got_rows, want_rows = rows_of(got), rows_of(want)
     extra, lacking = got_rows - want_rows, want_rows - got_rows
     assert not extra and not lacking, (list(extra.items())[:3], list(lacking.items())[:3])
+
+
+def collected(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=str)

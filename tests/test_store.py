@@ -1,0 +1,169 @@
+from collections import Counter
+from uuid import uuid4
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from terrace.operators import store
+from tests.compare import collected
+
+KV = "k int, v string"
+
+
+@pytest.fixture
+def new_table(spark, tmp_path):
+    database = f"t{uuid4().hex}"
+    store.ensure_database(spark, database, str(tmp_path))
+    return f"{database}.t", str(tmp_path / "t")
+
+
+def test_overwrite_replaces_rows_and_schema(spark, new_table):
+    name, path = new_table
+    assert store.overwrite(spark, spark.range(5), name, path)["rows"] == 5
+    assert store.overwrite(spark, spark.range(3), name, path)["rows"] == 3
+    assert spark.table(name).count() == 3
+    seen = store.overwrite(
+        spark,
+        spark.createDataFrame([(1, "a"), (2, None)], KV),
+        name,
+        path,
+        [F.count_if(F.col("v").isNull()).alias("gaps")],
+    )
+    assert seen == {"rows": 2, "gaps": 1}
+    assert spark.table(name).dtypes == [("k", "int"), ("v", "string")]
+
+
+def test_overwrite_from_itself(spark, new_table):
+    name, path = new_table
+    store.overwrite(spark, spark.range(5), name, path)
+    store.overwrite(spark, spark.table(name).where("id > 2"), name, path)
+    assert collected(spark.table(name)) == [(3,), (4,)]
+
+
+def test_empty_frame(spark, new_table):
+    name, path = new_table
+    assert store.overwrite(spark, spark.createDataFrame([], KV), name, path)["rows"] == 0
+    assert spark.table(name).columns == ["k", "v"]
+    added = store.first_load_or_upsert(
+        spark, spark.createDataFrame([(1, "a")], KV), name, path, "k"
+    )
+    assert added["rows"] == 1
+
+
+def test_failed_write_keeps_the_old_content(spark, new_table):
+    name, path = new_table
+    store.overwrite(spark, spark.range(5), name, path)
+    bad = spark.range(5).select(F.expr("if(id = 3, raise_error('stop'), id)").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        store.overwrite(spark, bad, name, path)
+    assert spark.table(name).count() == 5
+
+
+def test_reader_of_the_old_version_is_not_disturbed(spark, new_table):
+    name, path = new_table
+    store.overwrite(spark, spark.range(5), name, path)
+    old = spark.table(name)
+    old.explain()
+    store.overwrite(spark, spark.range(2), name, path)
+    assert old.count() in (2, 5)
+    assert spark.table(name).count() == 2
+
+
+def test_append_adds_columns_and_fills_gaps(spark, new_table):
+    name, path = new_table
+    store.append(spark, spark.createDataFrame([(1, "a")], KV), name, path)
+    store.append(spark, spark.createDataFrame([("b", 2, 0.5)], "v string, k int, x double"), name, path)
+    store.append(spark, spark.createDataFrame([(3,)], "k int"), name, path)
+    assert spark.table(name).columns == ["k", "v", "x"]
+    assert collected(spark.table(name)) == [(1, "a", None), (2, "b", 0.5), (3, None, None)]
+
+
+def test_append_refuses_another_type(spark, new_table):
+    name, path = new_table
+    store.append(spark, spark.createDataFrame([(1, "a")], KV), name, path)
+    with pytest.raises(ValueError, match="column k"):
+        store.append(spark, spark.createDataFrame([("1", "a")], "k string, v string"), name, path)
+    assert spark.table(name).count() == 1
+
+
+def upsert(spark, new_table, target, source, schema=KV, source_schema=None):
+    name, path = new_table
+    store.overwrite(spark, spark.createDataFrame(target, schema), name, path)
+    df = spark.createDataFrame(source, source_schema or schema)
+    seen = store.first_load_or_upsert(spark, df, name, path, "k")
+    assert seen["rows"] == spark.table(name).count()
+    return collected(spark.table(name))
+
+
+def test_upsert_updates_inserts_and_keeps(spark, new_table):
+    got = upsert(spark, new_table, [(1, "a"), (2, "b"), (3, "c")], [(2, None), (4, "d")])
+    assert got == [(1, "a"), (2, None), (3, "c"), (4, "d")]
+
+
+def test_upsert_matches_every_repeated_target_key(spark, new_table):
+    got = upsert(spark, new_table, [(1, "a"), (1, "b"), (2, "c")], [(1, "x")])
+    assert got == [(1, "x"), (1, "x"), (2, "c")]
+
+
+def test_null_keys_never_match(spark, new_table):
+    got = upsert(spark, new_table, [(None, "old")], [(None, "new"), (None, "new")])
+    assert Counter(got) == Counter([(None, "old"), (None, "new"), (None, "new")])
+
+
+def test_repeated_source_keys_are_inserted_if_unknown(spark, new_table):
+    got = upsert(spark, new_table, [(1, "a")], [(7, "x"), (7, "y"), (1, "b")])
+    assert got == [(1, "b"), (7, "x"), (7, "y")]
+
+
+def test_repeated_source_keys_are_refused_if_known(spark, new_table):
+    with pytest.raises(ValueError, match="match target key 1"):
+        upsert(spark, new_table, [(1, "a")], [(1, "x"), (1, "y")])
+    assert collected(spark.table(new_table[0])) == [(1, "a")]
+
+
+def test_target_schema_decides(spark, new_table):
+    wide = "extra double, v int, K int"
+    got = upsert(spark, new_table, [(1, "a")], [(0.5, 9, 1), (0.5, 8, 2)], source_schema=wide)
+    assert got == [(1, "9"), (2, "8")]
+    with pytest.raises(ValueError, match="lacks target columns: v"):
+        upsert(spark, new_table, [(1, "a")], [(1,)], source_schema="k int")
+
+
+def test_upsert_needs_a_key(spark, new_table):
+    name, path = new_table
+    df = spark.createDataFrame([(1, "a")], KV)
+    store.first_load_or_upsert(spark, df, name, path, None)
+    with pytest.raises(ValueError, match="merge key"):
+        store.first_load_or_upsert(spark, df, name, path, None)
+
+
+def by_hand(target, source):
+    """The same upsert on plain lists; None if it must be refused."""
+    known = {k for k, _ in target if k is not None}
+    counts = Counter(k for k, _ in source if k is not None)
+    if any(n > 1 and k in known for k, n in counts.items()):
+        return None
+    new = {k: v for k, v in source if k in known}
+    kept = [(k, new.get(k, v) if k in new else v) for k, v in target]
+    return Counter(kept + [(k, v) for k, v in source if k not in known])
+
+
+pairs = st.lists(
+    st.tuples(st.none() | st.integers(0, 5), st.none() | st.sampled_from("abc")), max_size=8
+)
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(target=pairs, source=pairs)
+def test_upsert_against_plain_lists(spark, target, source):
+    t, s = spark.createDataFrame(target, KV), spark.createDataFrame(source, KV)
+    want = by_hand(target, source)
+    if want is None:
+        with pytest.raises(ValueError):
+            store.merged(t, s, "k")
+    else:
+        assert Counter(tuple(r) for r in store.merged(t, s, "k").collect()) == want

@@ -1,0 +1,150 @@
+import pytest
+from pyspark.errors import NumberFormatException
+from pyspark.sql import functions as F
+
+from terrace.functions import coverage_flag, or_zero, risk_band
+from terrace.operators import transforms
+from terrace.operators.joins import left_join
+from tests.compare import collected
+
+STEP = {
+    "action": "stock_enrichment",
+    "column": "valuation_eur",
+    "join_table": "market_view",
+    "join_on": "collaterals.stock_id = market.market_id",
+    "expression": "CASE WHEN collateral_type = 'STOCKS' THEN numbers * current_value_eur "
+    "ELSE valuation_eur END",
+}
+
+
+@pytest.fixture
+def collaterals(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "Stocks", "10", None, "M1"),
+            ("2", "Stocks", "10", None, "M9"),
+            ("3", "Home", "1", "250.5", None),
+            ("4", "Stocks", None, None, "M1"),
+        ],
+        "collateral_id string, collateral_type string, numbers string, valuation_eur string, "
+        "stock_id string",
+    )
+
+
+@pytest.fixture
+def market(spark):
+    df = spark.createDataFrame(
+        [("M1", "2.5", "silver"), ("M2", "3.5", "silver")],
+        "market_id string, current_value_eur string, _layer string",
+    )
+    df.createOrReplaceTempView("market_view")
+    return df
+
+
+def test_uppercase_keeps_null(spark):
+    df = spark.createDataFrame([("a1", "amsterdam"), ("a2", None)], "id string, city string")
+    assert collected(transforms.uppercase(df, "city")) == [("a1", "AMSTERDAM"), ("a2", None)]
+
+
+def test_no_steps_change_nothing(spark, collaterals):
+    assert transforms.apply_transformations(spark, collaterals, {}) is collaterals
+
+
+def test_unknown_action(spark, collaterals):
+    spec = {"transformations": [{"action": "lowercase", "column": "numbers"}]}
+    with pytest.raises(ValueError, match="lowercase"):
+        transforms.apply_transformations(spark, collaterals, spec)
+
+
+def test_steps_run_in_list_order(spark, collaterals, market):
+    upper = {"action": "uppercase", "column": "collateral_type"}
+    spec = {"transformations": [upper, STEP]}
+    out = transforms.apply_transformations(spark, collaterals, spec)
+    assert out.columns == collaterals.columns
+    assert dict(out.dtypes)["numbers"] == dict(out.dtypes)["valuation_eur"] == "double"
+    values = {r.collateral_id: r.valuation_eur for r in out.collect()}
+    assert values == {"1": 25.0, "2": None, "3": 250.5, "4": None}
+
+    late = transforms.apply_transformations(spark, collaterals, {"transformations": [STEP, upper]})
+    assert {r.valuation_eur for r in late.collect()} == {None, 250.5}
+
+
+def test_enrichment_keeps_one_row_per_match(spark, collaterals, market):
+    twice = market.union(market.where("market_id = 'M1'"))
+    out = transforms.enrich(
+        transforms.uppercase(collaterals, "collateral_type"),
+        twice,
+        STEP["column"],
+        STEP["join_on"],
+        STEP["expression"],
+    )
+    assert out.groupBy("collateral_id").count().orderBy("collateral_id").collect() == [
+        ("1", 2),
+        ("2", 1),
+        ("3", 1),
+        ("4", 2),
+    ]
+
+
+def test_enrichment_keeps_columns_both_sides_share(spark, collaterals, market):
+    left = collaterals.withColumn("_layer", F.lit("bronze"))
+    out = transforms.enrich(left, market, "price", STEP["join_on"], "current_value_eur")
+    assert out.columns == [*left.columns, "price"]
+    assert {r._layer for r in out.collect()} == {"bronze"}
+
+
+def test_text_that_is_no_number_is_an_error(spark, collaterals, market):
+    bad = collaterals.withColumn("numbers", F.lit("ten"))
+    out = transforms.enrich(bad, market, STEP["column"], STEP["join_on"], STEP["expression"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        out.collect()
+
+
+def test_audit_columns_come_last(spark):
+    out = transforms.add_audit_columns(spark.range(1), "p", "gold")
+    assert out.columns == ["id", *transforms.AUDIT_COLUMNS]
+    row = out.first()
+    assert (row._pipeline, row._layer) == ("p", "gold") and row._loaded_at is not None
+
+
+def test_flags_and_bands(spark):
+    df = spark.createDataFrame(
+        [
+            (None, 0.0, "CLOSED", 700),
+            (None, 1.0, "ACTIVE", 699),
+            (5.0, 5.0, "ACTIVE", 499),
+            (4.0, 5.0, "DEFAULTED", 900),
+            (4.0, None, None, None),
+            (4.0, 1.0, "ACTIVE", 500),
+        ],
+        "value double, balance double, status string, score int",
+    )
+    out = df.select(
+        or_zero(F.col("value")).alias("v"),
+        coverage_flag(F.col("value"), F.col("balance")).alias("c"),
+        risk_band(F.col("status") == "DEFAULTED", F.col("score"), 500, 700).alias("b"),
+    )
+    assert [tuple(r) for r in out.collect()] == [
+        (0.0, "YES", "LOW"),
+        (0.0, "NO", "MEDIUM"),
+        (5.0, "YES", "HIGH"),
+        (4.0, "NO", "HIGH"),
+        (4.0, "NO", "LOW"),
+        (4.0, "YES", "MEDIUM"),
+    ]
+
+
+def test_score_text_that_is_no_integer_is_an_error(spark):
+    df = spark.createDataFrame([("699.9",)], "score string")
+    with pytest.raises(NumberFormatException, match="CAST_INVALID_INPUT"):
+        df.select(risk_band(F.lit(False), F.col("score"), 500, 700)).collect()
+
+
+def test_left_join_like_a_plain_one(spark):
+    left = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, l string"
+    )
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "n")], "k int, r string")
+    out = left_join(left, right, "k")
+    assert out.columns == ["k", "l", "r"]
+    assert collected(out) == collected(left.join(right, "k", "left"))
