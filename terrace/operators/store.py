@@ -7,6 +7,7 @@ and a write that fails leaves the table as it was.
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -71,17 +72,19 @@ def align(source: DataFrame, schema: StructType) -> DataFrame:
     return source.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
-def repeated_keys(source: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once, as a written table.
+def unusual_keys(source: DataFrame, key: str) -> tuple[DataFrame, int, bool]:
+    """Keys that occur more than once, their number, and whether some key is null.
 
-    Usually empty or small. As a file its size is known, so Spark broadcasts it
-    where that is safe and drops the joins with it altogether when it is empty.
+    Copies are counted within each task before the shuffle. The keys go to a
+    table in the shared folder: usually it is empty, and otherwise its size is
+    known, so that Spark broadcasts it only where that is safe.
     """
-    counts = source.where(F.col(key).isNotNull()).groupBy(key).count()
-    place = f"{shared_dir(source.sparkSession)}/repeated-keys/{uuid4().hex}"
-    repeated = counts.where("count > 1").select(key)
-    repeated.write.parquet(place)
-    return source.sparkSession.read.schema(repeated.schema).parquet(place)
+    spark = source.sparkSession
+    counts = source.groupBy(key).count().where(f"count > 1 OR `{key}` IS NULL").select(key)
+    nulls = F.count_if(F.col(key).isNull()).alias("nulls")
+    place, seen = write_version(counts, f"{shared_dir(spark)}/repeated-keys", [nulls])
+    repeated = spark.read.schema(counts.schema).parquet(place).where(F.col(key).isNotNull())
+    return repeated, seen["rows"] - seen["nulls"], seen["nulls"] > 0
 
 
 def merged(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -89,29 +92,33 @@ def merged(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     rows without a match added, all other target rows kept.
 
     A null key matches nothing. A source key that is repeated *and* present in
-    the target is refused, since it would not be clear which row wins. Hence
-    repeated source keys are pure inserts and take no part in the joins, where
-    the source side is unique; rows of one frequent target key can be split by
-    AQE. With a small source the target is not shuffled at all.
+    the target is refused, since it would not be clear which row wins. So null
+    and repeated source keys are pure inserts that take no part in the joins:
+    there the source side is unique, and AQE can split the rows of a frequent
+    target key. With a small source the target is not shuffled at all.
     """
     source = align(source, target.schema)
-    repeated = repeated_keys(source, key)
-    clash = target.select(key).join(repeated, key, "left_semi").take(1)
-    if clash:
-        raise ValueError(f"several source rows match target key {clash[0][0]!r}")
-
-    t, s = target.alias("t"), source.where(F.col(key).isNotNull())
-    single = s.join(repeated, key, "left_anti").select(source.columns).alias("s")
-    hit = F.col("t." + key) == F.col("s." + key)
-    updated = [
-        F.when(F.col("s." + key).isNotNull(), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
-        for c in target.columns
-    ]
-    kept = t.join(single, hit, "left").select(updated)
-    known = target.select(key).distinct().alias("t").join(single, hit, "left_semi")
-    added = single.join(known, hit, "left_anti")
-    several = s.join(repeated, key, "left_semi").select(source.columns)
-    return kept.union(added).union(several).union(source.where(F.col(key).isNull()))
+    repeated, n_repeated, has_nulls = unusual_keys(source, key)
+    # The same filter below both joins lets them share one shuffle of the source.
+    single, inserts = source.where(F.col(key).isNotNull()), []
+    if has_nulls:
+        inserts.append(source.where(F.col(key).isNull()))
+    if n_repeated:
+        clash = target.select(key).join(repeated, key, "left_semi").take(1)
+        if clash:
+            raise ValueError(f"several source rows match target key {clash[0][0]!r}")
+        inserts.append(single.join(repeated, key, "left_semi").select(source.columns))
+        single = single.join(repeated, key, "left_anti").select(source.columns)
+
+    t, s = target.alias("t"), single.alias("s")
+    hit = F.col(f"t.`{key}`") == F.col(f"s.`{key}`")
+    matched = F.col(f"s.`{key}`").isNotNull()
+    kept = t.join(s, hit, "left").select(
+        [F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in target.columns]
+    )
+    known = target.select(key).distinct().alias("t").join(s, hit, "left_semi").alias("t")
+    added = s.join(known, hit, "left_anti")
+    return reduce(DataFrame.union, [added, *inserts], kept)
 
 
 def upsert(

@@ -13,7 +13,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
-        .config("spark.checkpoint.dir", str(work / "checkpoint"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

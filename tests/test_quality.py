@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from terrace.operators import quality
 from tests.compare import collected
@@ -94,3 +96,39 @@ def test_result_frame(spark, people):
         ("id_not_null", "FAIL", 8),
         ("nope_not_null", "ERROR", None),
     ]
+
+
+cell = st.none() | st.sampled_from("ab")
+table = st.lists(st.tuples(st.integers(0, 99), cell, cell), max_size=12)
+some_rules = st.lists(
+    st.tuples(st.sampled_from(["x", "y", "nope"]), st.sampled_from(["drop_row", "report"])), max_size=4
+)
+
+
+def one_by_one(rows, rules):
+    """The same rules applied one after the other to plain rows."""
+    position, results = {"x": 1, "y": 2}, []
+    for column, action in rules:
+        if column not in position:
+            results.append(("ERROR", None, None))
+            continue
+        bad = sorted(r[0] for r in rows if r[position[column]] is None)
+        text = ", ".join(f"id={i}" for i in bad[:5])
+        if len(bad) > 5:
+            text += f" ... and {len(bad) - 5} more"
+        results.append(("FAIL", len(bad), text) if bad else ("PASS", 0, None))
+        if action == "drop_row":
+            rows = [r for r in rows if r[position[column]] is not None]
+    return rows, results
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(rows=table, rules=some_rules)
+def test_one_pass_equals_rule_after_rule(spark, rows, rules):
+    df = spark.createDataFrame(rows, "id int, x string, y string")
+    kept, results = check(df, [{"column": c, "action": a} for c, a in rules], "id")
+    want_rows, want = one_by_one(rows, rules)
+    assert [(r.status, r.failed_rows, r.failed_ids) for r in results] == want
+    assert collected(kept) == sorted(want_rows, key=str)

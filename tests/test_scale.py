@@ -210,8 +210,18 @@ def test_shuffles_follow_the_input(spark, stored):
     assert input_bytes(spark.range(5)) == 0
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+class Conf(dict):
+    """Stands in for a session of which only the settings are read."""
+
+    conf = property(lambda self: self)
+
+
+def test_shared_folder_comes_from_the_session():
+    cluster = {"spark.master": "spark://host:7077"}
+    assert shared_dir(Conf({**cluster, "spark.checkpoint.dir": "hdfs:///work/"})) == "hdfs:///work"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Conf(cluster))
+    assert "terrace-" in shared_dir(Conf({"spark.master": "local[4]"}))
 
 
 def test_few_rows(spark):
