@@ -66,6 +66,29 @@ def money(column: str) -> str:
     return f"cast(cast({column} AS decimal(15, 2)) AS varchar)"
 
 
+def silver_customers(shift: int) -> str:
+    return f"""
+        SELECT cast(c_custkey + {shift} AS varchar) AS c_custkey, c_name,
+               cast(c_nationkey AS varchar) AS c_nationkey,
+               upper(nullif(lower(c_mktsegment), 'furniture')) AS segment,
+               'customer_run' AS _pipeline, 'silver' AS _layer
+        FROM customer WHERE c_nationkey <> 3"""
+
+
+def run_row(status: str, silver_count: str, error: str, more: str = "") -> str:
+    """The log row of a customer run."""
+    no_key = "count(*) FILTER (c_nationkey = 3)"
+    no_segment = "count(*) FILTER (c_nationkey <> 3 AND c_mktsegment = 'FURNITURE')"
+    return f"""
+        SELECT 'customer_run' AS pipeline_name, '{status}' AS status, count(*) AS source_count,
+               count(*) AS bronze_count, cast({silver_count} AS bigint) AS silver_count,
+               cast(NULL AS bigint) AS gold_count,
+               cast(({no_key} = 0)::int + ({no_segment} = 0)::int AS bigint) AS dq_passed,
+               cast(({no_key} > 0)::int + ({no_segment} > 0)::int AS bigint) AS dq_failed,
+               cast({error} AS varchar) AS error_message {more}
+        FROM customer"""
+
+
 ORACLES = {
     "gold_risk_fact": FACT,
     "ordered_fact": f"{FACT} ORDER BY overall_risk",
@@ -189,24 +212,14 @@ ORACLES = {
         SELECT o_orderkey AS k, o_orderstatus AS flag FROM orders
         UNION ALL
         SELECT CASE WHEN l_returnflag <> 'R' THEN -1 - l_orderkey END, l_linestatus FROM lineitem""",
-    "csv_to_silver": """
-        SELECT cast(c_custkey AS varchar) AS c_custkey, c_name,
-               cast(c_nationkey AS varchar) AS c_nationkey,
-               upper(nullif(lower(c_mktsegment), 'furniture')) AS segment,
-               'customer_run' AS _pipeline, 'silver' AS _layer
-        FROM customer WHERE c_nationkey <> 3""",
-    "run_log": """
-        SELECT 'customer_run' AS pipeline_name, 'SUCCESS' AS status, count(*) AS source_count,
-               count(*) AS bronze_count, count(*) FILTER (c_nationkey <> 3) AS silver_count,
-               cast(NULL AS bigint) AS gold_count,
-               cast(CASE WHEN count(*) FILTER (c_nationkey = 3) = 0 THEN 1 ELSE 0 END
-                    + CASE WHEN count(*) FILTER (c_nationkey <> 3 AND c_mktsegment = 'FURNITURE') = 0
-                           THEN 1 ELSE 0 END AS bigint) AS dq_passed,
-               cast(CASE WHEN count(*) FILTER (c_nationkey = 3) > 0 THEN 1 ELSE 0 END
-                    + CASE WHEN count(*) FILTER (c_nationkey <> 3 AND c_mktsegment = 'FURNITURE') > 0
-                           THEN 1 ELSE 0 END AS bigint) AS dq_failed,
-               cast(NULL AS varchar) AS error_message, true AS timed
-        FROM customer""",
+    "csv_to_silver": silver_customers(0),
+    "silver_reload": f"""
+        WITH old AS ({silver_customers(0)}), new AS ({silver_customers(100)})
+        SELECT * FROM new
+        UNION ALL
+        SELECT * FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)""",
+    "run_log": run_row("SUCCESS", "count(*) FILTER (c_nationkey <> 3)", "NULL", ", true AS timed"),
+    "failed_run_log": run_row("FAILED", "NULL", "'Unknown transformation action: lowercase'"),
     "credit_risk_run": f"""
         WITH collateral AS (
           SELECT DISTINCT l_orderkey, l_linenumber,

@@ -411,17 +411,21 @@ def _customer_spec(base: str) -> dict:
     return settings(base) | spec
 
 
-def _run_customers(spark: SparkSession, sf_dir: str) -> dict:
-    """CSV of customers, some without a key or segment, run to silver."""
-    base = work_folder(spark)
-    customer = table(spark, sf_dir, "customer").selectExpr(
-        "CASE WHEN c_nationkey <> 3 THEN c_custkey END AS c_custkey",
+def _customers(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
+    """Customers, some without a key or segment, under shifted keys."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"CASE WHEN c_nationkey <> 3 THEN c_custkey + {shift} END AS c_custkey",
         "c_name",
         "c_nationkey",
         "nullif(lower(c_mktsegment), 'furniture') AS segment",
     )
-    write_csv(customer, f"{base}/source/customer.csv")
-    spec = _customer_spec(base)
+
+
+def _run_customers(spark: SparkSession, sf_dir: str, base: str | None = None, shift: int = 0) -> dict:
+    """Run a CSV of customers to silver; returns the spec."""
+    base = base or work_folder(spark)
+    spec = _customer_spec(base) | {"source_base": f"{base}/source-{shift}"}
+    write_csv(_customers(spark, sf_dir, shift), f"{base}/source-{shift}/customer.csv")
     run_pipeline(spec, spark=spark)
     return spec
 
@@ -432,6 +436,15 @@ def csv_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop("_loaded_at")
 
 
+def silver_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run whose source has the customers under keys shifted by 100."""
+    base = work_folder(spark)
+    for shift in (0, 100):
+        spec = _run_customers(spark, sf_dir, base, shift)
+    name = f"{spec['targets']['silver']['database']}.customer"
+    return spark.table(name).drop("_loaded_at")
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _run_customers(spark, sf_dir)
     log = spark.table(f"{spec['audit_database']}.{spec['audit_table']}")
@@ -439,6 +452,20 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("timed", timed).drop("start_time", "end_time", "duration_seconds")
 
 
+def failed_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log row of a run that stops at an unknown transformation."""
+    base = work_folder(spark)
+    spec = _customer_spec(base)
+    spec["transformations"].append({"column": "c_name", "action": "lowercase"})
+    write_csv(_customers(spark, sf_dir), f"{base}/source/customer.csv")
+    try:
+        run_pipeline(spec, spark=spark)
+    except ValueError:
+        pass
+    log = spark.table(f"{spec['audit_database']}.{spec['audit_table']}")
+    return log.drop("start_time", "end_time", "duration_seconds")
+
+
 def credit_risk_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five specs from CSV files to the gold fact."""
     base = work_folder(spark)
@@ -484,7 +511,9 @@ QUERIES = {
         upsert_repeated_target_keys,
         upsert_unmatched_keys,
         csv_to_silver,
+        silver_reload,
         run_log,
+        failed_run_log,
         credit_risk_run,
     )
 }

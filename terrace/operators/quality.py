@@ -7,6 +7,7 @@ from datetime import UTC, datetime
 from functools import reduce
 from operator import and_, or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +16,17 @@ from terrace.session import few_rows
 # Texts and the sample size of the result rows.
 SAMPLE_SIZE = 5
 NO_ID_TEXT = "no identifying column available"
-RESULT_SCHEMA = (
-    "pipeline_name string, rule string, status string, failed_rows bigint, "
-    "failed_ids string, action string, checked_at string"
+MORE_TEXT = " ... and {} more"
+RESULT_SCHEMA = pa.schema(
+    [
+        ("pipeline_name", pa.string()),
+        ("rule", pa.string()),
+        ("status", pa.string()),
+        ("failed_rows", pa.int64()),
+        ("failed_ids", pa.string()),
+        ("action", pa.string()),
+        ("checked_at", pa.string()),
+    ]
 )
 
 
@@ -126,7 +135,7 @@ def evaluate(
         if n:
             ids = samples.get(i, NO_ID_TEXT)
             if n > SAMPLE_SIZE:
-                ids += f" ... and {n - SAMPLE_SIZE} more"
+                ids += MORE_TEXT.format(n - SAMPLE_SIZE)
         status = "ERROR" if n is None else "FAIL" if n else "PASS"
         results.append(Result(rule.name, status, n, ids, rule.action))
     return results

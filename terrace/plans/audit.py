@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators import quality, store
 from terrace.session import few_rows
 
-RUN_SCHEMA = (
-    "pipeline_name string, status string, start_time string, end_time string, "
-    "duration_seconds double, source_count bigint, bronze_count bigint, silver_count bigint, "
-    "gold_count bigint, dq_passed bigint, dq_failed bigint, error_message string"
+# The columns of the run log.
+COUNTS = ["source_count", "bronze_count", "silver_count", "gold_count", "dq_passed", "dq_failed"]
+RUN_SCHEMA = pa.schema(
+    [
+        ("pipeline_name", pa.string()),
+        ("status", pa.string()),
+        ("start_time", pa.string()),
+        ("end_time", pa.string()),
+        ("duration_seconds", pa.float64()),
+        *((name, pa.int64()) for name in COUNTS),
+        ("error_message", pa.string()),
+    ]
 )
-COUNTS = ("source_count", "bronze_count", "silver_count", "gold_count", "dq_passed", "dq_failed")
 
 
 def _append(spark: SparkSession, spec: dict, df: DataFrame, table: str) -> None:

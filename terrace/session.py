@@ -10,8 +10,6 @@ from urllib.parse import unquote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 GIB = 1 << 30
 MAX_SHUFFLE_PARTITIONS = 50_000
@@ -34,12 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
 
 
-def few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+def few_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
     """A handful of driver-side rows as a frame of one partition."""
-    fields = StructType.fromDDL(schema)
-    named = [dict(zip(fields.names, row, strict=True)) for row in rows]
-    table = pa.Table.from_pylist(named, to_arrow_schema(fields))
-    return spark.createDataFrame(table, fields).coalesce(1)
+    named = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, schema)).coalesce(1)
 
 
 def input_bytes(*frames: DataFrame) -> int:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,7 +226,8 @@ def test_shared_folder_comes_from_the_session():
 
 
 def test_few_rows(spark):
-    df = few_rows(spark, [("a", None), (None, 2)], "a string, b bigint")
+    schema = pa.schema([("a", pa.string()), ("b", pa.int64())])
+    df = few_rows(spark, [("a", None), (None, 2)], schema)
     assert df.dtypes == [("a", "string"), ("b", "bigint")]
     assert [tuple(r) for r in df.collect()] == [("a", None), (None, 2)]
-    assert few_rows(spark, [], "a string").count() == 0
+    assert few_rows(spark, [], schema).count() == 0
