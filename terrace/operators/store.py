@@ -10,12 +10,15 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from terrace.session import input_bytes, shared_dir, sized_for
 
+FREQUENT = 100_000  # target rows on one key that a single task may hold
+SMALL_SHARE = 10  # a source this many times smaller than the target counts as small
+
 
 def ensure_database(spark: SparkSession, database: str, location: str) -> None:
     place = location.replace("'", "\\'")
@@ -72,53 +75,81 @@ def align(source: DataFrame, schema: StructType) -> DataFrame:
     return source.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
-def unusual_keys(source: DataFrame, key: str) -> tuple[DataFrame, int, bool]:
-    """Keys that occur more than once, their number, and whether some key is null.
+def key_facts(target: DataFrame, source: DataFrame, key: str, small_source: bool) -> Row:
+    """What decides how to join, from the key columns alone and in one job.
+
+    ``clash`` is a key repeated in the source and present in the target,
+    ``repeated`` the number of repeated source keys, ``nulls`` the source rows
+    without a key, ``most`` the highest number of target rows on one key.
+    """
+    old, new = target.select(key), source.select(key)
+    if small_source:
+        old = old.join(new, key, "left_semi")
+    tagged = old.withColumn("_old", F.lit(1)).union(new.withColumn("_old", F.lit(0)))
+    n_old, n_new, has_key = F.col("n_old"), F.col("n_new"), F.col(key).isNotNull()
+    return (
+        tagged.groupBy(key)
+        .agg(F.sum("_old").alias("n_old"), F.sum(1 - F.col("_old")).alias("n_new"))
+        .agg(
+            F.max(F.when(has_key & (n_new > 1) & (n_old > 0), F.col(key))).alias("clash"),
+            F.count_if(has_key & (n_new > 1)).alias("repeated"),
+            F.coalesce(F.max(F.when(~has_key, n_new)), F.lit(0)).alias("nulls"),
+            F.coalesce(F.max(n_old), F.lit(0)).alias("most"),
+        )
+        .first()
+    )
+
+
+def repeated_keys(source: DataFrame, key: str) -> DataFrame:
+    """The repeated keys, as a table in the shared folder.
 
-    Copies are counted within each task before the shuffle. The keys go to a
-    table in the shared folder: usually it is empty, and otherwise its size is
-    known, so that Spark broadcasts it only where that is safe.
+    Its size is known, so that Spark broadcasts it only where that is safe.
     """
     spark = source.sparkSession
-    counts = source.groupBy(key).count().where(f"count > 1 OR `{key}` IS NULL").select(key)
-    nulls = F.count_if(F.col(key).isNull()).alias("nulls")
-    place, seen = write_version(counts, f"{shared_dir(spark)}/repeated-keys", [nulls])
-    repeated = spark.read.schema(counts.schema).parquet(place).where(F.col(key).isNotNull())
-    return repeated, seen["rows"] - seen["nulls"], seen["nulls"] > 0
+    repeated = source.groupBy(key).count().where("count > 1").select(key)
+    place, _ = write_version(repeated, f"{shared_dir(spark)}/repeated-keys")
+    return spark.read.schema(repeated.schema).parquet(place)
 
 
-def merged(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, key: str, small_source: bool = False) -> DataFrame:
     """The target after an upsert: matched rows updated in all columns, source
     rows without a match added, all other target rows kept.
 
     A null key matches nothing. A source key that is repeated *and* present in
     the target is refused, since it would not be clear which row wins. So null
-    and repeated source keys are pure inserts that take no part in the joins:
-    there the source side is unique, and AQE can split the rows of a frequent
-    target key. With a small source the target is not shuffled at all.
+    and repeated source keys are pure inserts that take no part in the joins,
+    where the source side is unique.
+
+    One full outer join does the rest, unless the target has a frequent key,
+    whose rows AQE can split in a left join only, or the source is small, so
+    that the target need not be shuffled in a left join. Then the rows to add
+    come from an anti join, which reads the same shuffle of the source.
     """
     source = align(source, target.schema)
-    repeated, n_repeated, has_nulls = unusual_keys(source, key)
-    # The same filter below both joins lets them share one shuffle of the source.
+    facts = key_facts(target, source, key, small_source)
+    if facts.clash is not None:
+        raise ValueError(f"several source rows match target key {facts.clash!r}")
     single, inserts = source.where(F.col(key).isNotNull()), []
-    if has_nulls:
+    if facts.nulls:
         inserts.append(source.where(F.col(key).isNull()))
-    if n_repeated:
-        clash = target.select(key).join(repeated, key, "left_semi").take(1)
-        if clash:
-            raise ValueError(f"several source rows match target key {clash[0][0]!r}")
+    if facts.repeated:
+        repeated = repeated_keys(source, key)
         inserts.append(single.join(repeated, key, "left_semi").select(source.columns))
         single = single.join(repeated, key, "left_anti").select(source.columns)
 
     t, s = target.alias("t"), single.alias("s")
     hit = F.col(f"t.`{key}`") == F.col(f"s.`{key}`")
+    apart = small_source or facts.most > FREQUENT
     matched = F.col(f"s.`{key}`").isNotNull()
-    kept = t.join(s, hit, "left").select(
+    kept = t.join(s, hit, "left" if apart else "full_outer").select(
         [F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in target.columns]
     )
-    known = target.select(key).distinct().alias("t").join(s, hit, "left_semi").alias("t")
-    added = s.join(known, hit, "left_anti")
-    return reduce(DataFrame.union, [added, *inserts], kept)
+    if apart:
+        known = target.select(key).distinct().alias("t")
+        if small_source:
+            known = known.join(s, hit, "left_semi").alias("t")
+        inserts.append(s.join(known, hit, "left_anti"))
+    return reduce(DataFrame.union, inserts, kept)
 
 
 def upsert(
@@ -128,8 +159,10 @@ def upsert(
     if not key:
         raise ValueError(f"a merge key is needed to write into the existing table {table}")
     target = spark.table(table)
-    with sized_for(spark, input_bytes(target, source)):
-        location, observed = write_version(merged(target, source, key), path)
+    old_bytes, new_bytes = input_bytes(target), input_bytes(source)
+    with sized_for(spark, old_bytes + new_bytes):
+        result = merged(target, source, key, new_bytes * SMALL_SHARE < old_bytes)
+        location, observed = write_version(result, path)
     publish(spark, table, location, target.schema)
     return observed
 

@@ -77,12 +77,13 @@ def test_left_join_splits_a_hot_key_of_the_kept_side(spark, stored):
         assert rows == run(left.join(right, "k", "left"))[0]
 
 
-def test_upsert_splits_a_hot_target_key(spark, stored):
+def test_upsert_splits_a_hot_target_key(spark, stored, monkeypatch):
+    monkeypatch.setattr(store, "FREQUENT", 1000)
     target = stored(hot(spark, 150_000, THIRD_ON_7), "t")
     source = stored(spark.range(0, 9000, 1, 4).selectExpr("id * 5 + 2 AS k", "'new' AS v"), "s")
     with conf(spark, SKEW):
         rows, plan = run(store.merged(target, source, "k"))
-    assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", plan)
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", plan) and "ReusedExchange" in plan
     assert rows[(7, "new")] == 50_000 + 1 * (7 % 3 != 0)
     assert sum(rows.values()) == 150_000 + source.join(target, "k", "left_anti").count()
 
@@ -100,10 +101,19 @@ def test_upsert_splits_hot_unmatched_source_keys(spark, stored):
     assert updated > 0 and sum(rows.values()) == 180_000 - updated
 
 
+def test_upsert_of_a_whole_snapshot_is_one_join(spark, stored):
+    target = stored(hot(spark, 50_000, "id AS k"), "t")
+    source = stored(hot(spark, 50_000, "id + 1000 AS k"), "s")
+    with conf(spark, SKEW):
+        rows, plan = run(store.merged(target, source, "k"))
+    assert plan.count("Join") == 1 and "FullOuter" in plan
+    assert sum(rows.values()) == 51_000
+
+
 def test_small_upsert_does_not_shuffle_the_target(spark, stored):
     target = stored(hot(spark, 50_000, "id AS k"), "t")
     source = spark.createDataFrame([(1, "a"), (-1, "b")], "k bigint, v string")
-    rows, plan = run(store.merged(target, stored(source, "s"), "k"))
+    rows, plan = run(store.merged(target, stored(source, "s"), "k", small_source=True))
     assert rows[(1, "a")] == rows[(-1, "b")] == 1 and sum(rows.values()) == 50_001
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     outer = plan[: plan.index("LeftAnti")]

@@ -156,14 +156,15 @@ pairs = st.lists(
 
 
 @settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-@given(target=pairs, source=pairs)
-def test_upsert_against_plain_lists(spark, target, source):
+@given(target=pairs, source=pairs, small=st.booleans(), frequent=st.sampled_from([0, 100]))
+def test_upsert_against_plain_lists(spark, monkeypatch, target, source, small, frequent):
+    monkeypatch.setattr(store, "FREQUENT", frequent)
     t, s = spark.createDataFrame(target, KV), spark.createDataFrame(source, KV)
     want = by_hand(target, source)
     if want is None:
         with pytest.raises(ValueError):
-            store.merged(t, s, "k")
+            store.merged(t, s, "k", small)
     else:
-        assert Counter(tuple(r) for r in store.merged(t, s, "k").collect()) == want
+        assert Counter(tuple(r) for r in store.merged(t, s, "k", small).collect()) == want
