@@ -220,6 +220,12 @@ ORACLES = {
         SELECT * FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)""",
     "run_log": run_row("SUCCESS", "count(*) FILTER (c_nationkey <> 3)", "NULL", ", true AS timed"),
     "failed_run_log": run_row("FAILED", "NULL", "'Unknown transformation action: lowercase'"),
+    "gold_sql_text": """
+        SELECT o_orderkey AS order_key, l_linestatus AS line_status,
+               coalesce(l_extendedprice, 0) AS value,
+               CASE WHEN l_extendedprice >= o_totalprice THEN 'YES' ELSE 'NO' END AS covers,
+               'gold_text' AS _pipeline, 'gold' AS _layer
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
     "credit_risk_run": f"""
         WITH collateral AS (
           SELECT DISTINCT l_orderkey, l_linenumber,

@@ -14,7 +14,7 @@ from catalogue.inputs import (
     write_credit_sources,
     write_csv,
 )
-from terrace import run_all, run_pipeline, table_spec
+from terrace import run_all, run_gold, run_pipeline, table_spec
 from terrace.functions import coverage_flag, or_zero, risk_band
 from terrace.operators import quality, store
 from terrace.operators.joins import left_join
@@ -474,6 +474,27 @@ def credit_risk_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{prefix(base)}gold.credit_risk_fact").drop("_loaded_at")
 
 
+def gold_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gold table from SQL text over two silver tables."""
+    base = work_folder(spark)
+    silver, folder = f"{prefix(base)}silver", f"{base}/managed/silver"
+    store.ensure_database(spark, silver, folder)
+    for name in ("orders", "lineitem"):
+        store.overwrite(spark, table(spark, sf_dir, name), f"{silver}.{name}", f"{folder}/{name}")
+    spec = settings(base) | {
+        "pipeline_name": "gold_text",
+        "targets": {"gold": {"database": f"{prefix(base)}gold", "table": "order_lines"}},
+        "gold_sql": f"""
+            SELECT o.o_orderkey AS order_key, upper(l.l_linestatus) AS line_status,
+                   COALESCE(l.l_extendedprice, 0) AS value,
+                   CASE WHEN l.l_extendedprice >= o.o_totalprice THEN 'YES' ELSE 'NO' END AS covers
+            FROM {{catalog}}.{silver}.orders o
+            LEFT JOIN {{catalog}}.{silver}.lineitem l ON o.o_orderkey = l.l_orderkey""",
+    }
+    run_gold(spec, spark=spark)
+    return spark.table(f"{prefix(base)}gold.order_lines").drop("_loaded_at")
+
+
 QUERIES = {
     f.__name__.removesuffix("_query"): f
     for f in (
@@ -515,5 +536,6 @@ QUERIES = {
         run_log,
         failed_run_log,
         credit_risk_run,
+        gold_sql_text,
     )
 }

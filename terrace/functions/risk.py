@@ -19,10 +19,12 @@ def coverage_flag(value: Column, balance: Column) -> Column:
 def risk_band(defaulted: Column, score: Column, high_below: int, medium_below: int) -> Column:
     """``HIGH`` if defaulted or the score is low, then ``MEDIUM``, then ``LOW``.
 
-    A missing score passes neither comparison and ends up as ``LOW``.
+    A missing score passes neither comparison and ends up as ``LOW``. The score of
+    a defaulted credit is not looked at.
     """
     return (
-        F.when(defaulted | (score < high_below), "HIGH")
+        F.when(defaulted, "HIGH")
+        .when(score < high_below, "HIGH")
         .when(score < medium_below, "MEDIUM")
         .otherwise("LOW")
     )

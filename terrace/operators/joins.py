@@ -1,35 +1,42 @@
-"""Joins shaped so that one hot key cannot end up in a single task."""
+"""Left outer join shaped so that a hot key cannot end up in a single task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEY_COPIES = 32
+SAMPLE_SHARE = 0.001
+SAMPLE_HITS = 1_000  # a key with about a million rows
+MAX_FREQUENT = 1_000
 
 
-def key_set(df: DataFrame, key: str) -> DataFrame:
-    """The keys of a frame without nulls, reduced before any shuffle.
+def frequent_keys(df: DataFrame, key: str) -> list:
+    """The most frequent keys of a frame, at most ``MAX_FREQUENT``.
 
-    Up to ``KEY_COPIES`` copies of a key may remain. That is harmless to the
-    semi and anti joins this is for, and it makes the join shuffle the keys
-    once more by ``key`` alone: AQE splits a skewed join only if both of its
-    inputs come straight from such a shuffle.
+    They are found in a sample of the key column. The sample only decides how
+    a join is run: whichever keys it yields, the join gives the same rows. Keys
+    beyond the bound each have less than a thousandth of the rows.
     """
-    copies = (F.spark_partition_id() % KEY_COPIES).alias("_copy")
-    return df.where(F.col(key).isNotNull()).select(key, copies).distinct().select(key)
+    counts = df.where(F.col(key).isNotNull()).select(key).sample(SAMPLE_SHARE, 1).groupBy(key).count()
+    top = counts.where(F.col("count") >= SAMPLE_HITS).orderBy(F.desc("count"), key)
+    return [row[0] for row in top.limit(MAX_FREQUENT).collect()]
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, keys_of: DataFrame | None = None
+) -> DataFrame:
     """Left outer equi-join on a shared column, safe when ``right`` has hot keys.
 
-    In an outer join AQE cannot split the optional side, so the join is taken
-    apart into an inner join (either side can be split), an anti join against
-    the reduced key set, and the rows without a key. Matched and unmatched rows
-    read the same shuffle of ``left``, which Spark runs once.
+    AQE can split skewed rows on either side of an inner join but not on the
+    optional side of an outer one. Frequent keys of ``right`` surely have a match,
+    so their rows come from an inner join, and all others from the outer join.
+    Each row takes part in one of the two; without frequent keys there is only
+    the outer join. ``keys_of`` may name a frame in which the same keys are
+    cheaper to read, for instance the table that ``right`` was enriched from.
     """
-    keyed = left.where(F.col(key).isNotNull())
-    matched = keyed.join(right, key, "inner")
-    single = keyed.join(key_set(right, key), key, "left_anti")
-    keyless = left.where(F.col(key).isNull())
-    return matched.unionByName(single.unionByName(keyless), allowMissingColumns=True)
+    keys = frequent_keys(right if keys_of is None else keys_of, key)
+    if not keys:
+        return left.join(right, key, "left")
+    frequent = F.col(key).isin(keys)
+    others = left.where(~frequent | F.col(key).isNull()).join(right.where(~frequent), key, "left")
+    return others.unionByName(left.where(frequent).join(right.where(frequent), key, "inner"))

@@ -2,56 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial
 
-from terrace.operators.joins import KEY_COPIES
-from terrace.plans.spec import table_spec
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# One row per credit and collateral, and one for a credit without any. The optional
-# side of an outer join cannot be split when one credit has very many collaterals,
-# so credits with collaterals come from an inner join, the others from an anti join
-# on the reduced ids, and credits without an id are added as they are. `pledges` has
-# the collaterals as they enter the fact, `pledged` any relation with their credit ids.
-FACT_SQL = f"""
-WITH exposure AS (
-  SELECT c.client_id, c.name, c.city, cr.credit_id, cr.credit_type, cr.total_amount_eur,
-         cr.balance_amount_eur, cr.status AS credit_status,
-         CASE WHEN cr.status = {{defaulted}} THEN 'HIGH'
-              WHEN c.credit_score < {{high_below}} THEN 'HIGH'
-              WHEN c.credit_score < {{medium_below}} THEN 'MEDIUM'
-              ELSE 'LOW' END AS overall_risk
-  FROM {{clients}} c JOIN {{credits}} cr ON c.client_id = cr.client_id
-),
-pledged_id AS (
-  SELECT credit_id FROM (
-    SELECT DISTINCT credit_id, spark_partition_id() % {KEY_COPIES} AS copy
-    FROM {{pledged}} WHERE credit_id IS NOT NULL)
-),
-secured AS (
-  SELECT e.*, p.collateral_type, p.valuation_eur
-  FROM (SELECT * FROM exposure WHERE credit_id IS NOT NULL) e
-  JOIN {{pledges}} p ON e.credit_id = p.credit_id
-  UNION ALL
-  SELECT e.*, NULL, NULL
-  FROM (SELECT * FROM exposure WHERE credit_id IS NOT NULL) e
-  LEFT ANTI JOIN pledged_id p ON e.credit_id = p.credit_id
-  UNION ALL
-  SELECT e.*, NULL, NULL FROM exposure e WHERE credit_id IS NULL
-)
-SELECT client_id, name, city, credit_id, credit_type, total_amount_eur, balance_amount_eur,
-       credit_status, collateral_type,
-       COALESCE(valuation_eur, 0) AS collateral_value_eur,
-       CASE WHEN COALESCE(valuation_eur, 0) >= balance_amount_eur THEN 'YES'
-            ELSE 'NO' END AS is_covered,
-       overall_risk
-FROM secured
-"""
-
-# Market adds no column, but a collateral counts once per market row it matches.
-SILVER_PLEDGES = """(
-  SELECT col.credit_id, col.collateral_type, col.valuation_eur
-  FROM {silver}.collaterals col LEFT JOIN {silver}.market m ON col.stock_id = m.market_id
-)"""
+from terrace.functions import coverage_flag, or_zero, risk_band
+from terrace.operators.joins import left_join
+from terrace.plans.spec import table_spec
 
 # The status and score limits of the risk bands.
 DEFAULTED = "DEFAULTED"
@@ -62,7 +20,8 @@ MEDIUM_BELOW = 700
 def credit_risk_specs(prefix: str = "") -> list[dict]:
     """Specs of the four tables and the gold fact, in run order.
 
-    Collaterals look up market prices, so market comes first.
+    Collaterals look up market prices, so market comes first. ``prefix`` goes
+    before the database names.
     """
     silver = f"{{catalog}}.{prefix}silver"
     market = table_spec(
@@ -123,37 +82,72 @@ def credit_risk_specs(prefix: str = "") -> list[dict]:
     gold = {
         "pipeline_name": "gold_pipeline",
         "targets": {"gold": {"database": f"{prefix}gold", "table": "credit_risk_fact"}},
-        "gold_sql": FACT_SQL.format(
-            defaulted=f"'{DEFAULTED}'",
-            high_below=HIGH_BELOW,
-            medium_below=MEDIUM_BELOW,
-            clients=f"{silver}.clients",
-            credits=f"{silver}.credits",
-            pledges=SILVER_PLEDGES.format(silver=silver),
-            pledged=f"{silver}.collaterals",
-        ),
+        "gold_frame": partial(fact_of_silver, silver=silver),
     }
     return [market, clients, credits, collaterals, gold]
 
 
+def fact_of_silver(spark: SparkSession, catalog: str, silver: str) -> DataFrame:
+    """The fact over the silver tables.
+
+    Market adds no column, but a collateral counts once per market row it matches.
+    """
+    silver = silver.replace("{catalog}", catalog)
+    clients, credits, collaterals, market = (
+        spark.table(f"{silver}.{t}") for t in ("clients", "credits", "collaterals", "market")
+    )
+    # Most collaterals are no stocks; without a stock there is nothing to match or to shuffle.
+    has_stock = F.col("stock_id").isNotNull()
+    matched = F.col("stock_id") == F.col("market_id")
+    stocks = collaterals.where(has_stock).join(market.select("market_id"), matched, "left")
+    pledges = stocks.drop("market_id").union(collaterals.where(~has_stock))
+    return credit_risk_fact(clients, credits, pledges, keys_of=collaterals)
+
+
 def credit_risk_fact(
     clients: DataFrame,
     credits: DataFrame,
     pledges: DataFrame,
-    pledged: DataFrame | None = None,
+    keys_of: DataFrame | None = None,
     defaulted: str = DEFAULTED,
     high_below: int = HIGH_BELOW,
     medium_below: int = MEDIUM_BELOW,
 ) -> DataFrame:
-    """The fact over frames instead of silver tables.
+    """One row per credit and collateral, and one for a credit without any.
 
-    ``pledged`` is where the credit ids of ``pledges`` are cheaper to read, for
-    instance the table it was enriched from.
+    Each collateral is tested for coverage alone. ``keys_of`` is a frame with the
+    credit ids of ``pledges`` that is cheaper to read.
     """
-    tables = {"clients": clients, "credits": credits, "pledges": pledges}
-    tables["pledged"] = pledges if pledged is None else pledged
-    limits = {"high_below": high_below, "medium_below": medium_below}
-    return clients.sparkSession.sql(FACT_SQL, defaulted=defaulted, **limits, **tables)
+    band = risk_band(
+        F.col("status") == defaulted, F.col("credit_score"), high_below, medium_below
+    )
+    exposure = clients.join(credits, "client_id").select(
+        "client_id",
+        "name",
+        "city",
+        "credit_id",
+        "credit_type",
+        "total_amount_eur",
+        "balance_amount_eur",
+        F.col("status").alias("credit_status"),
+        band.alias("overall_risk"),
+    )
+    pledged = pledges.select("credit_id", "collateral_type", "valuation_eur")
+    value, balance = F.col("valuation_eur"), F.col("balance_amount_eur")
+    return left_join(exposure, pledged, "credit_id", keys_of).select(
+        "client_id",
+        "name",
+        "city",
+        "credit_id",
+        "credit_type",
+        "total_amount_eur",
+        "balance_amount_eur",
+        "credit_status",
+        "collateral_type",
+        or_zero(value).alias("collateral_value_eur"),
+        coverage_flag(value, balance).alias("is_covered"),
+        "overall_risk",
+    )
 
 
 def ordered_by_risk(fact: DataFrame) -> DataFrame:

@@ -46,10 +46,18 @@ def write_silver(spark: SparkSession, df, spec: dict) -> int:
 
 
 def write_gold(spark: SparkSession, spec: dict) -> int:
-    """Replace the gold table by the result of the spec's SQL; returns its row count."""
-    if "gold_sql" not in spec or "gold" not in spec.get("targets", {}):
+    """Replace the gold table by the result of the spec's SQL; returns its row count.
+
+    Instead of ``gold_sql`` a spec can give ``gold_frame``, a function of the
+    session and the catalog name that returns the frame to write.
+    """
+    if not {"gold_sql", "gold_frame"} & set(spec) or "gold" not in spec.get("targets", {}):
         return 0
-    df = add_audit_columns(spark.sql(spec["gold_sql"]), spec["pipeline_name"], "gold")
+    if "gold_frame" in spec:
+        df = spec["gold_frame"](spark, spec["catalog"])
+    else:
+        df = spark.sql(spec["gold_sql"])
+    df = add_audit_columns(df, spec["pipeline_name"], "gold")
     return store.overwrite(spark, df, *_place(spark, spec, "gold"))["rows"]
 
 

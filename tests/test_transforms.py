@@ -140,6 +140,14 @@ def test_score_text_that_is_no_integer_is_an_error(spark):
         df.select(risk_band(F.lit(False), F.col("score"), 500, 700)).collect()
 
 
+def test_score_of_a_defaulted_credit_is_not_looked_at(spark, tmp_path):
+    df = spark.createDataFrame([("abc", "D"), ("650", "A")], "score string, status string")
+    df.write.parquet(str(tmp_path / "d"))
+    band = risk_band(F.col("status") == "D", F.col("score"), 500, 700)
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    assert collected(stored.select("score", band)) == [("650", "MEDIUM"), ("abc", "HIGH")]
+
+
 def test_left_join_like_a_plain_one(spark):
     left = spark.createDataFrame(
         [(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, l string"
