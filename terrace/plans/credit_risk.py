@@ -96,11 +96,8 @@ def fact_of_silver(spark: SparkSession, catalog: str, silver: str) -> DataFrame:
     clients, credits, collaterals, market = (
         spark.table(f"{silver}.{t}") for t in ("clients", "credits", "collaterals", "market")
     )
-    # Most collaterals are no stocks; without a stock there is nothing to match or to shuffle.
-    has_stock = F.col("stock_id").isNotNull()
     matched = F.col("stock_id") == F.col("market_id")
-    stocks = collaterals.where(has_stock).join(market.select("market_id"), matched, "left")
-    pledges = stocks.drop("market_id").union(collaterals.where(~has_stock))
+    pledges = collaterals.join(market.select("market_id"), matched, "left")
     return credit_risk_fact(clients, credits, pledges, keys_of=collaterals)
 
 
