@@ -46,10 +46,11 @@ def input_bytes(*frames: DataFrame) -> int:
     places = {unquote(f) for df in frames for f in df.inputFiles()}
     if not places:
         return 0
-    if len(places) > MAX_LISTED_FILES:
-        places = {os.path.dirname(f) for f in places}
-    files = frames[0].sparkSession.read.format("binaryFile").load(sorted(places))
-    return files.agg(F.sum("length")).first()[0] or 0
+    files = frames[0].sparkSession.read.format("binaryFile")
+    if len(places) <= MAX_LISTED_FILES:
+        return sum(f.length for f in files.load(sorted(places)).select("length").collect())
+    folders = sorted({os.path.dirname(f) for f in places})
+    return files.load(folders).agg(F.sum("length")).first()[0]
 
 
 def shuffle_settings(spark: SparkSession, n_bytes: int) -> dict[str, str]:

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from terrace import session
 from terrace.operators import joins, quality, store
 from terrace.operators.joins import left_join
 from terrace.operators.transforms import enrich
@@ -234,8 +235,14 @@ def test_shuffles_follow_the_input(spark, stored):
         assert spark.conf.get(name) == "2000"
     assert spark.conf.get(name, None) is None
 
-    df = stored(spark.range(1000), "sized")
-    assert input_bytes(df) == input_bytes(df.where("id > 5")) > 1000
+
+
+def test_input_size_is_the_same_by_file_and_by_folder(spark, stored, monkeypatch):
+    df = stored(spark.range(1000), "with space")
+    size = input_bytes(df)
+    assert size > 1000 and size == input_bytes(df.where("id > 5"))
+    monkeypatch.setattr(session, "MAX_LISTED_FILES", 2)
+    assert input_bytes(df) == size
     assert input_bytes(spark.range(5)) == 0
 
 
