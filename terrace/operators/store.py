@@ -186,12 +186,14 @@ def append(spark: SparkSession, df: DataFrame, table: str, path: str) -> None:
         spark.catalog.createTable(
             table, path=path, source="parquet", schema=df.schema, recursiveFileLookup="true"
         )
-    known = {f.name.lower(): f for f in spark.table(table).schema}
+    known = {f.name.lower(): f.dataType for f in spark.table(table).schema}
     for field in df.schema:
-        old = known.get(field.name.lower())
-        if old is None:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{field.name}` {field.dataType.simpleString()})")
-        elif old.dataType != field.dataType:
-            raise ValueError(f"column {field.name} of {table} is {old.dataType.simpleString()}")
+        old = known.get(field.name.lower(), field.dataType)
+        if old != field.dataType:
+            raise ValueError(f"column {field.name} of {table} is {old.simpleString()}")
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     df.write.parquet(f"{path}/{uuid4().hex}")
     spark.catalog.refreshTable(table)

@@ -84,7 +84,8 @@ def test_append_refuses_another_type(spark, new_table):
     name, path = new_table
     store.append(spark, spark.createDataFrame([(1, "a")], KV), name, path)
     with pytest.raises(ValueError, match="column k"):
-        store.append(spark, spark.createDataFrame([("1", "a")], "k string, v string"), name, path)
+        store.append(spark, spark.createDataFrame([(1, "1")], "new int, k string"), name, path)
+    assert spark.table(name).columns == ["k", "v"]
     assert spark.table(name).count() == 1
 
 
