@@ -7,6 +7,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +58,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_chunks(batch: pa.RecordBatch, column: str, chars: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``chars`` bytes of text each; a longer text is a slice alone."""
-    sizes = np.frombuffer(
-        pa.compute.binary_length(batch.column(column).cast(pa.large_string())).fill_null(0).cast(pa.int64()).to_numpy(),
-        dtype=np.int64,
-    )
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if held and held + n > chars or i - start >= 4096:
