@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import pieces, secrets
+from terrace.llm import pieces, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -24,12 +24,17 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
 QUERIES = {
     "op4_secret_scans": op4_secret_scans,
+    "op9_quality_rules": op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLES: dict[str, str] = {}
