@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import pieces, rules, secrets
+from terrace.llm import fm, iblt, mix, pieces, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -20,10 +20,22 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECES)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,7 +45,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op4_secret_scans": op4_secret_scans,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece,
 }

@@ -56,12 +56,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, chars: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``chars`` bytes of text each; a longer text is a slice alone."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+def bounded(batch: pa.RecordBatch, sizes: np.ndarray, most: int, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose ``sizes`` add up to about ``most``; a larger row is a slice alone."""
     start, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if held and held + n > chars or i - start >= 4096:
+        if held and held + n > most or i - start >= rows:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -69,6 +68,17 @@ def text_chunks(batch: pa.RecordBatch, column: str, chars: int = 1 << 21) -> Ite
         yield batch.slice(start)
 
 
+def text_chunks(batch: pa.RecordBatch, column: str, chars: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``chars`` bytes of text each."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    yield from bounded(batch, sizes, chars)
+
+
+def list_chunks(batch: pa.RecordBatch, column: str, values: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``values`` list values each."""
+    yield from bounded(batch, np.diff(batch.column(column).offsets.to_numpy()), values)
+
+
 def list_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and row offsets (from 0) of a list column without nulls."""
     lists = batch.column(name)
