@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import fm, iblt, mix, pieces, rules, secrets
+from terrace.llm import fm, iblt, mix, ngrams, pieces, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -24,6 +24,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digests(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_lm_scores": op3_lm_scores,
     "op4_secret_scans": op4_secret_scans,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
