@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import fm, iblt, mix, ngrams, pieces, rules, secrets
+from terrace.llm import fm, iblt, lines, mix, ngrams, pieces, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -32,6 +32,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,9 +56,12 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_lm_scores": op3_lm_scores,
     "op4_secret_scans": op4_secret_scans,
+    "op5_line_dedup": op5_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": lines.ORACLE,
+}
