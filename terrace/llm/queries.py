@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import fm, iblt, lines, mix, ngrams, pieces, rules, secrets
+from terrace.llm import fm, iblt, lines, mix, ngrams, pieces, pii, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -20,6 +20,10 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECES)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_fingerprints": op2_fingerprints,
     "op3_lm_scores": op3_lm_scores,
     "op4_secret_scans": op4_secret_scans,

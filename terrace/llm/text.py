@@ -28,6 +28,33 @@ def whole(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def running(numbers: Column, block: int = 256) -> Column:
+    """The running sums of an array of ints that has elements.
+
+    Sums are appended one by one within blocks and over the blocks' totals, so
+    that the copying this takes stays small for long arrays.
+    """
+
+    def sums(part: Column) -> Column:
+        def add(done: Column, x: Column) -> Column:
+            return F.concat(done, F.array(F.coalesce(F.get(done, F.size(done) - 1), F.lit(0)) + x))
+
+        return F.aggregate(part, F.array().cast("array<int>"), add)
+
+    def of(all_: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(all_) - 1, F.lit(block))
+        return let(F.transform(starts, lambda b: sums(F.slice(all_, b + 1, block))), after)
+
+    def after(parts: Column) -> Column:
+        totals = sums(F.transform(parts, lambda p: F.element_at(p, -1)))
+        return let(totals, lambda t: F.flatten(F.transform(parts, lambda p, i: raised(p, F.get(t, i - 1)))))
+
+    def raised(part: Column, by: Column) -> Column:
+        return F.transform(part, lambda x: x + F.coalesce(by, F.lit(0)))
+
+    return let(numbers, of)
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)
