@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import fm, iblt, lines, mix, ngrams, pieces, pii, rules, secrets
+from terrace.llm import fm, iblt, jaccard, lines, mix, ngrams, pieces, pii, rules, secrets
 
 PIECES = "piece_bpe_32k.model"
 
@@ -40,6 +40,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_lm_scores": op3_lm_scores,
     "op4_secret_scans": op4_secret_scans,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
