@@ -84,7 +84,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     side, so that Spark can split the other.
     """
     found = rows.select(
-        "__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), F.explode(chunks(F.col("__text"))).alias("c")
+        "__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), F.explode(chunks(whole())).alias("c")
     ).where("c.counted")
     found = stored(
         found.select("__key", "doc", F.col("c.pos").alias("pos"), F.md5(F.col("c.text").cast("binary")).alias("digest")),
@@ -96,8 +96,8 @@ def repeats(rows: DataFrame) -> DataFrame:
     keepers = repeated.groupBy(F.col("first.__key").alias("__key")).agg(
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "digest")).alias("kept")
     )
-    pieces = rows.select("__key", "__text").join(keepers, "__key")
-    pieces = pieces.select(F.explode(let(chunks(F.col("__text")), lambda c: F.transform(
+    pieces = rows.select("__key", "text").join(keepers, "__key")
+    pieces = pieces.select(F.explode(let(chunks(whole()), lambda c: F.transform(
         "kept", lambda k: F.struct(k["digest"].alias("digest"), F.get(c, k["pos"])["text"].alias("text"))
     ))).alias("p"))
     texts = pieces.groupBy("p.digest").agg(F.min("p.text").alias("text"))
@@ -114,7 +114,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     text; no row is dropped. Rows with the same doc_id and text are treated
     alike. All other columns stay as they are.
     """
-    rows = keyed(docs).withColumn("__text", whole())
+    rows = keyed(docs)
     again = repeats(rows)
     joined = rows.join(again, "__key", "left")
 
@@ -129,9 +129,9 @@ def dedup(docs: DataFrame) -> DataFrame:
         )
 
     untouched = F.struct(
-        F.col("text").cast("string").alias("text"), F.size(chunks(F.col("__text"))).alias("n"), F.lit(0).alias("removed")
+        F.col("text").cast("string").alias("text"), F.size(chunks(whole())).alias("n"), F.lit(0).alias("removed")
     )
-    result = F.when(F.col("__again").isNull(), untouched).otherwise(let(chunks(F.col("__text")), kept))
+    result = F.when(F.col("__again").isNull(), untouched).otherwise(let(chunks(whole()), kept))
     out = joined.withColumn("__out", result)
     return out.select(
         *[F.col("__out.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
