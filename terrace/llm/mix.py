@@ -147,7 +147,7 @@ def copies(docs: DataFrame, column: str = "text") -> DataFrame:
         expected.alias("rate"),
         F.pmod(F.xxhash64("mark", "doc_id"), F.ceil(F.col("n") / RUN)).alias("run"),
     )
-    schema = "doc_id long, source string, size long, source_size long, target double, copies long"
+    schema = "doc_id long, source string, mark string, size long, source_size long, target double, copies long"
     return rows.groupBy("source", "run").applyInPandas(rounded, schema)
 
 
@@ -161,7 +161,31 @@ def rounded(run: pd.DataFrame) -> pd.DataFrame:
         behind -= taken * size
         out.append(taken)
     run["copies"] = out
-    return run[["doc_id", "source", "size", "source_size", "target", "copies"]]
+    return run[["doc_id", "source", "mark", "size", "source_size", "target", "copies"]]
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as often as the mix takes it, with its own columns.
+
+    Rows alike in doc_id, source and text are one document here, with the
+    copies that all of them get.
+    """
+    # the digest of the text is that of ``copies``; a null must not be equal to a value
+    key = F.concat_ws(
+        ":",
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
+        F.md5(whole().cast("binary")),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-")),
+    )
+    taken = copies(docs.select("doc_id", "source", "text"))
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("-"))
+    mark = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "mark", source)
+    totals = taken.groupBy(mark.alias("__key")).agg(F.sum("copies").alias("__n")).where("__n > 0")
+    rows = docs.withColumn("__key", key).join(totals, "__key")
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    rows = rows.withColumn("__nth", nth).where("__nth = 1")
+    every = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+    return every.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
