@@ -162,24 +162,23 @@ def compare(pairs: DataFrame, old: str, new: str) -> DataFrame:
     empty. Input columns of the same names as those added are replaced.
     """
     added = ("only_old", "only_new", "likeness", "cells")
-    kept = [c for c in pairs.columns if c.lower() not in added]
-    df = pairs.select(*[F.col(f"`{c}`") for c in kept], whole(old).alias("__old"), whole(new).alias("__new"))
+    kept = [F.col(f"`{c}`") for c in pairs.columns if c.lower() not in added]
+    df = pairs.select(F.struct(*kept).alias("row"), whole(old).alias("old"), whole(new).alias("new"))
     empty = F.array().cast("array<long>")
-    schema = df.drop("__old", "__new").withColumns(
-        {"only_old": empty, "only_new": empty, "likeness": F.lit(0.0), "cells": F.lit(0)}
-    ).schema
+    blank = dict(zip(added, (empty, empty, F.lit(0.0), F.lit(0))))
+    schema = df.select("row", *[x.alias(c) for c, x in blank.items()]).schema
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        a = [digests(t) for t in chunk.column("__old").to_pylist()]
-        b = [digests(t) for t in chunk.column("__new").to_pylist()]
+        a = [digests(t) for t in chunk.column("old").to_pylist()]
+        b = [digests(t) for t in chunk.column("new").to_pylist()]
         found = differences(a, b)
         signed = lambda x: np.sort(x).view(np.int64)
-        columns = [chunk.column(c) for c in kept]
+        columns = [chunk.column("row")]
         columns += [pa.array([signed(f[i]) for f in found], pa.list_(pa.int64())) for i in (0, 1)]
         columns += [pa.array(likeness(a, b), pa.float64()), pa.array([f[2] for f in found], pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+        return pa.RecordBatch.from_arrays(columns, names=["row", *added])
 
-    return df.mapInArrow(over_chunks(work, "__old"), schema)
+    return df.mapInArrow(over_chunks(work, "old"), schema).select("row.*", *added)
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, int]:

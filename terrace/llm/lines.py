@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terrace.llm.text import let, stored, whole
 
 BASE, MODULUS = 131, 1_000_003  # of the rolling hash over the hashes of two lines
-DIVISOR = 2  # a chunk has about so many lines
+DIVISOR = 2  # every so many lines a chunk may end
 LONG = 50  # words at which a line is a chunk of its own, that counts like several lines
 NONE = 1 << 62  # stands for a null doc_id in the order of documents
 
@@ -17,10 +17,11 @@ def chunks(text: Column) -> Column:
     """The chunks of a text in order, as (pos, text, lines, counted).
 
     A chunk ends after a line where a rolling hash over the hashes of this line
-    and the one before is divisible by ``DIVISOR``, and around a line of
-    ``LONG`` words or more (told by its blanks). So the same lines are cut the same
-    way wherever they stand. ``counted`` is set for chunks that may be removed:
-    those with something in them, and several lines or a long one.
+    and the one before is divisible by ``DIVISOR``, unless it would have one
+    line only, and around a line of ``LONG`` words or more (told by its blanks).
+    So the same lines are cut the same way wherever they stand. ``counted`` is
+    set for chunks that may be removed: those with something in them, and
+    several lines or a long one.
     """
 
     def of(lines: Column) -> Column:
@@ -34,14 +35,17 @@ def chunks(text: Column) -> Column:
         return let(facts, lambda f: let(ends(f), lambda e: cut(lines, f, e)))
 
     def ends(f: Column) -> Column:
-        def last(x: Column, i: Column) -> Column:
+        def mark(x: Column, i: Column) -> Column:
             before = F.coalesce(F.get(f, i - 1)["hash"], F.lit(0))
             rolled = (before * BASE + x["hash"]) % MODULUS
             # a text ends with a chunk, as does what stands before a long line
-            return (rolled % DIVISOR == 0) | x["long"] | F.coalesce(F.get(f, i + 1)["long"], F.lit(True))
+            forced = x["long"] | F.coalesce(F.get(f, i + 1)["long"], F.lit(True))
+            return F.when(forced, "F").when(rolled % DIVISOR == 0, "1").otherwise("0")
 
-        marks = F.transform(f, lambda x, i: F.when(last(x, i), i + 1))
-        return F.filter(marks, lambda m: m.isNotNull())
+        # of ends that follow each other every second one goes, so that chunks have two lines
+        marks = F.regexp_replace(F.concat(F.lit("F"), F.array_join(F.transform(f, mark), "")), "([1F])1", "$10")
+        places = F.transform(F.split(marks.substr(F.lit(2), F.length(marks)), ""), lambda m, i: F.when(m != "0", i + 1))
+        return F.filter(places, lambda m: m.isNotNull())
 
     def cut(lines: Column, f: Column, e: Column) -> Column:
         def piece(end: Column, i: Column) -> Column:
@@ -112,8 +116,10 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     Null texts stay null. A document of which nothing remains has an empty
     text; no row is dropped. Rows with the same doc_id and text are treated
-    alike. All other columns stay as they are.
+    alike. All other columns stay as they are, but for those named like the
+    added ones.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_chunks", "n_removed")])
     rows = keyed(docs)
     again = repeats(rows)
     joined = rows.join(again, "__key", "left")
@@ -160,10 +166,12 @@ split AS (SELECT k, doc_id, string_split(text, chr(10)) AS ls FROM (SELECT DISTI
 line AS (SELECT k, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM split),
 fact AS (SELECT *, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h,
                 length(l) - length(replace(l, ' ', '')) >= 49 AS long FROM line),
-mark AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 131 + h) % 1000003 % 2 = 0 OR long
-                   OR coalesce(lead(long) OVER w, true) AS ends FROM fact WINDOW w AS (PARTITION BY k ORDER BY i)),
-numbered AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY k ORDER BY i
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM mark),
+mark AS (SELECT *, CASE WHEN long OR coalesce(lead(long) OVER w, true) THEN 'F'
+                        WHEN (coalesce(lag(h) OVER w, 0) * 131 + h) % 1000003 % 2 = 0 THEN '1' ELSE '0' END AS m
+         FROM fact WINDOW w AS (PARTITION BY k ORDER BY i)),
+flags AS (SELECT k, substr(regexp_replace('F' || string_agg(m, '' ORDER BY i), '([1F])1', '\10', 'g'), 2) AS ms FROM mark GROUP BY k),
+numbered AS (SELECT *, coalesce(sum((substr(ms, i::BIGINT, 1) <> '0')::INT) OVER (PARTITION BY k ORDER BY i
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM mark JOIN flags USING (k)),
 chunk AS (SELECT k, doc_id, pos, string_agg(l, chr(10) ORDER BY i) AS t, count(*) AS n, bool_or(long) AS long
           FROM numbered GROUP BY ALL),
 counted AS (SELECT *, (n > 1 OR long) AND trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' AS may,

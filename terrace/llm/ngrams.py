@@ -15,7 +15,7 @@ from terrace.llm.text import list_chunks, list_column, lowered, remainder, store
 from terrace.llm.trie import Trie
 
 FREQUENT = 4096  # a word with this part of all tokens, or more, is dealt out by its pairs; there are no more such words
-PER_SHARD = 3_000_000  # tokens of a shard, about
+PER_SHARD = 1_200_000  # tokens of a shard, about
 PRIOR = 64.0  # tokens that the word's own probability weighs against the counts of a context
 TRAINED = 1 << 15
 ENTRY = np.dtype([("doc", "<u2"), ("score", "<f8"), ("base", "<f8"), ("known", "<u4")])
@@ -33,6 +33,14 @@ def tokens(docs: DataFrame, held_out: Column) -> DataFrame:
     )
 
 
+def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each chunk of texts with their numbers."""
+    for batch in batches:
+        for chunk in list_chunks(batch, "tokens", 1 << 20) if batch.num_rows else ():
+            word, n = np.unique(list_column(chunk, "tokens")[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(n, pa.int64())], names=["word", "n"])
+
+
 def scrambled(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     return x ^ (x >> np.uint64(29))
@@ -92,7 +100,7 @@ def score_shard(
     if not parts:
         return []
     split = [dealt(p) for p in parts]
-    part = np.repeat(np.arange(len(split)), [len(s[0]) for s in split])
+    part = np.repeat(np.arange(len(split), dtype=np.int32), [len(s[0]) for s in split])
     word, context, doc = (np.concatenate([s[i] for s in split]) for i in range(3))
     del split
     order = np.lexsort((context, word))
@@ -128,7 +136,7 @@ def score_shard(
     score = numerator[pair] - np.log10(count + PRIOR)[of_word]
     base = np.log10(count + 1.0)[of_word]
 
-    key = part * TRAINED + (doc & (TRAINED - 1))
+    key = part.astype(np.int64) * TRAINED + (doc & (TRAINED - 1))
     keys, inverse = np.unique(key, return_inverse=True)
     sums = np.zeros(len(keys), dtype=ENTRY)
     sums["doc"] = keys % TRAINED
@@ -147,8 +155,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     the contexts of one word by 32 bits.
     """
     rows = tokens(docs, held_out)
-    vocabulary = rows.where(~F.col("held_out")).select(F.explode("tokens").alias("word")).groupBy("word").count()
-    vocabulary = stored(vocabulary, "vocabulary")
+    some = rows.where(~F.col("held_out")).select("tokens").mapInArrow(counted, "word long, n long")
+    vocabulary = stored(some.groupBy("word").agg(F.sum("n").alias("count")), "vocabulary")
     distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     top = vocabulary.where(F.col("count") * FREQUENT >= total).toPandas()  # at most FREQUENT rows
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)

@@ -275,17 +275,16 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     Null and empty texts have the end id alone and decode to the empty text.
     Clashing input columns named ``ids`` or ``decoded`` are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    df = docs.select(*[F.col(f"`{c}`") for c in kept], whole(column).alias("__text"))
-    out = df.drop("__text").withColumns({"ids": F.array().cast("array<int>"), "decoded": F.lit("")}).schema
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")]
+    df = docs.select(F.struct(*kept).alias("row"), whole(column).alias("text"))
+    out = df.select("row", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        got = encode_chunk(model_at(path), chunk.column("__text").to_pylist(), with_ids=True)
-        columns = [chunk.column(c) for c in kept]
-        columns += [pa.array(got["ids"], pa.list_(pa.int32())), pa.array(got["decoded"], pa.string())]
-        return pa.RecordBatch.from_arrays(columns, names=[*kept, "ids", "decoded"])
+        got = encode_chunk(model_at(path), chunk.column("text").to_pylist(), with_ids=True)
+        columns = [chunk.column("row"), pa.array(got["ids"], pa.list_(pa.int32())), pa.array(got["decoded"], pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=["row", "ids", "decoded"])
 
-    return df.mapInArrow(over_chunks(work, "__text"), out)
+    return df.mapInArrow(over_chunks(work, "text"), out).select("row.*", "ids", "decoded")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
