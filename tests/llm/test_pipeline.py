@@ -1,0 +1,102 @@
+"""The pipeline against plain Python, stage by stage, and its queries."""
+
+import hashlib
+from collections import Counter
+
+import sentencepiece
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from terrace.llm import mix
+from terrace.llm.queries import ORACLES, QUERIES, piece_model
+from tests.compare import assert_same, oracle
+from tests.llm import test_jaccard, test_lines, test_mix
+from tests.llm.cases import words
+from tests.llm.test_rules import brute as counts
+from tests.llm.test_rules import labelled
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op2_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op3_lm_scores": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op4_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op5_line_dedup": "doc_id n_chunks n_removed n_chars text_sha256",
+    "op6_ngram_jaccard": "doc_id n_shingles component_id",
+    "op7_quality_classifier": "doc_id held_out score predicted",
+    "op8_mixing": "doc_id size source_size target taken",
+    "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op10_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
+}
+
+
+def corpus(spark):
+    docs, labels = labelled(spark, 160)
+    passage = "\n".join(f"shared line {i} that many documents have" for i in range(30))
+    out = [(i, text, "en", f"s{i % 4}", n) for i, text, _, _, n in docs]
+    out += [(1000 + i, f"{docs[i + 1][1]}\n{passage}", "fr", "s1", 0) for i in range(0, 120, 4)]
+    out += [(2000 + i, docs[5][1] + (f" more{i}" if i else ""), "de", "s2", 0) for i in range(6)]
+    return out, labels
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    rows, labels = corpus(spark)
+    sf_dir = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf_dir}/documents.parquet")
+    labels.write.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plain, steps = rows, []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf_dir)
+        if k < 4:
+            assert out.columns == docs.columns, name
+        out.write.parquet(f"{sf_dir}/out/{k}")
+        docs = spark.read.parquet(f"{sf_dir}/out/{k}")
+        steps.append(docs.collect())
+    texts = lambda found: Counter((r[0], r[1]) for r in found)
+
+    def good(row):
+        n, _, symbols, _, repeated = counts(row[1])
+        return n >= 50 and 100 * repeated <= 50 * n and not symbols
+
+    plain = [r for r in plain if good(r)]
+    assert texts(steps[0]) == texts(plain)
+    left = test_lines.brute(plain)
+    plain = [(i, left[i, t][0], lang, source, len(left[i, t][0])) for i, t, lang, source, _ in plain]
+    assert Counter(map(tuple, steps[1])) == Counter(plain)
+    sizes, roots = test_jaccard.brute(plain)
+    first = {}
+    for row, root, n in zip(plain, roots, sizes):
+        if n and (root not in first or row[0] < first[root][0]):
+            first[root] = row
+    plain = [r for r, root, n in zip(plain, roots, sizes) if not n or first[root] is r]
+    assert Counter(map(tuple, steps[2])) == Counter(plain)
+    _, target = test_mix.goals(plain)
+    taken = Counter()
+    for r in steps[3]:
+        taken[r.source] += len(words(r.text))
+    assert set(map(tuple, steps[3])) <= set(plain) and max(Counter(map(tuple, steps[3])).values()) <= mix.CAP
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] + 60 for s in target)
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    coded = lambda r: (r.doc_id, tuple([*library.encode(r.text), 2]), hashlib.sha256(r.text.encode()).hexdigest())
+    assert Counter(map(coded, steps[3])) == Counter((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in steps[4])
+
+
+def test_run(spark):
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+    assert queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_queries_return_what_is_agreed(spark):
+    n = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert set(QUERIES) == set(COLUMNS) and set(QUERIES) <= set(queries())
+    for name, query in QUERIES.items():
+        out = query(spark, SF_DIR)
+        assert " ".join(out.columns) == COLUMNS[name]
+        assert out.select("doc_id").distinct().count() == out.count() == n
+
+
+def test_queries_agree_with_sql(spark):
+    assert set(ORACLES) <= set(oracle_sql())
+    for name, sql in ORACLES.items():
+        assert_same(QUERIES[name](spark, SF_DIR).toArrow(), oracle(SF_DIR, sql))
