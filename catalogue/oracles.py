@@ -89,6 +89,35 @@ def run_row(status: str, silver_count: str, error: str, more: str = "") -> str:
         FROM customer"""
 
 
+CREDIT_RISK = f"""
+        WITH collateral AS (
+          SELECT DISTINCT l_orderkey, l_linenumber,
+                 CASE l_returnflag WHEN 'R' THEN 'STOCKS' WHEN 'A' THEN 'HOME' ELSE 'CAR' END AS type,
+                 cast(l_quantity AS int) AS numbers,
+                 CASE WHEN l_returnflag <> 'R' THEN cast(l_extendedprice AS decimal(15, 2)) END AS price,
+                 CASE WHEN l_returnflag = 'R' THEN l_partkey END AS stock
+          FROM lineitem),
+        valued AS (
+          SELECT l_orderkey, type,
+                 CASE WHEN type = 'STOCKS'
+                      THEN cast(numbers AS double) * cast({money('p_retailprice')} AS double)
+                      ELSE cast(price AS double) END AS value
+          FROM collateral LEFT JOIN part ON stock = p_partkey)
+        SELECT 'CLT-' || c_custkey AS client_id, c_name AS name, c_mktsegment AS city,
+               'CRD-' || o_orderkey AS credit_id, o_orderpriority AS credit_type,
+               {money('o_totalprice')} AS total_amount_eur,
+               cast(cast(floor(o_totalprice / 10) AS bigint) AS varchar) AS balance_amount_eur,
+               CASE o_orderstatus WHEN 'F' THEN 'DEFAULTED' WHEN 'O' THEN 'ACTIVE'
+                    ELSE 'CLOSED' END AS credit_status,
+               type AS collateral_type, coalesce(value, 0) AS collateral_value_eur,
+               CASE WHEN coalesce(value, 0) >= floor(o_totalprice / 10)
+                    THEN 'YES' ELSE 'NO' END AS is_covered,
+               CASE WHEN o_orderstatus = 'F' OR 350 + c_custkey * 37 % 500 < 500 THEN 'HIGH'
+                    WHEN 350 + c_custkey * 37 % 500 < 700 THEN 'MEDIUM' ELSE 'LOW' END AS overall_risk,
+               'gold_pipeline' AS _pipeline, 'gold' AS _layer
+        FROM customer JOIN orders ON c_custkey = o_custkey
+        LEFT JOIN valued ON o_orderkey = l_orderkey"""
+
 ORACLES = {
     "gold_risk_fact": FACT,
     "ordered_fact": f"{FACT} ORDER BY overall_risk",
@@ -141,6 +170,9 @@ ORACLES = {
     "unused_left_join": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+    "unused_left_join_repeats": """
+        SELECT o_orderkey, o_custkey FROM orders
+        LEFT JOIN (SELECT l_orderkey FROM lineitem WHERE l_orderkey % 3 > 0) ON o_orderkey = l_orderkey""",
     "not_null_report": result(
         "o_orderstatus_not_null", "drop_row", gaps("o_orderstatus IS NULL")
     )
@@ -212,6 +244,14 @@ ORACLES = {
         SELECT o_orderkey AS k, o_orderstatus AS flag FROM orders
         UNION ALL
         SELECT CASE WHEN l_returnflag <> 'R' THEN -1 - l_orderkey END, l_linestatus FROM lineitem""",
+    "upsert_touched_partitions": f"""
+        WITH few AS (SELECT * FROM ({CHANGED}) WHERE o_orderkey % 97 = 5),
+        odd AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE -8 END AS o_orderkey, o_orderstatus, o_totalprice
+                FROM ({CHANGED}) WHERE o_orderkey % 89 = 7)
+        SELECT * FROM few
+        UNION ALL SELECT * FROM odd
+        UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+                  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM few)""",
     "csv_to_silver": silver_customers(0),
     "silver_reload": f"""
         WITH old AS ({silver_customers(0)}), new AS ({silver_customers(100)})
@@ -219,39 +259,18 @@ ORACLES = {
         UNION ALL
         SELECT * FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)""",
     "run_log": run_row("SUCCESS", "count(*) FILTER (c_nationkey <> 3)", "NULL", ", true AS timed"),
-    "failed_run_log": run_row("FAILED", "NULL", "'Unknown transformation action: lowercase'"),
+    "failed_run_log": run_row("FAILED", "NULL", "'a transformation step cannot be ''lowercase'''"),
     "gold_sql_text": """
         SELECT o_orderkey AS order_key, l_linestatus AS line_status,
                coalesce(l_extendedprice, 0) AS value,
                CASE WHEN l_extendedprice >= o_totalprice THEN 'YES' ELSE 'NO' END AS covers,
                'gold_text' AS _pipeline, 'gold' AS _layer
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
-    "credit_risk_run": f"""
-        WITH collateral AS (
-          SELECT DISTINCT l_orderkey, l_linenumber,
-                 CASE l_returnflag WHEN 'R' THEN 'STOCKS' WHEN 'A' THEN 'HOME' ELSE 'CAR' END AS type,
-                 cast(l_quantity AS int) AS numbers,
-                 CASE WHEN l_returnflag <> 'R' THEN cast(l_extendedprice AS decimal(15, 2)) END AS price,
-                 CASE WHEN l_returnflag = 'R' THEN l_partkey END AS stock
-          FROM lineitem),
-        valued AS (
-          SELECT l_orderkey, type,
-                 CASE WHEN type = 'STOCKS'
-                      THEN cast(numbers AS double) * cast({money('p_retailprice')} AS double)
-                      ELSE cast(price AS double) END AS value
-          FROM collateral LEFT JOIN part ON stock = p_partkey)
-        SELECT 'CLT-' || c_custkey AS client_id, c_name AS name, c_mktsegment AS city,
-               'CRD-' || o_orderkey AS credit_id, o_orderpriority AS credit_type,
-               {money('o_totalprice')} AS total_amount_eur,
-               cast(cast(floor(o_totalprice / 10) AS bigint) AS varchar) AS balance_amount_eur,
-               CASE o_orderstatus WHEN 'F' THEN 'DEFAULTED' WHEN 'O' THEN 'ACTIVE'
-                    ELSE 'CLOSED' END AS credit_status,
-               type AS collateral_type, coalesce(value, 0) AS collateral_value_eur,
-               CASE WHEN coalesce(value, 0) >= floor(o_totalprice / 10)
-                    THEN 'YES' ELSE 'NO' END AS is_covered,
-               CASE WHEN o_orderstatus = 'F' OR 350 + c_custkey * 37 % 500 < 500 THEN 'HIGH'
-                    WHEN 350 + c_custkey * 37 % 500 < 700 THEN 'MEDIUM' ELSE 'LOW' END AS overall_risk,
-               'gold_pipeline' AS _pipeline, 'gold' AS _layer
-        FROM customer JOIN orders ON c_custkey = o_custkey
-        LEFT JOIN valued ON o_orderkey = l_orderkey""",
+    "credit_risk_run": CREDIT_RISK,
+    "gold_sql_fact": CREDIT_RISK,
+    "typed_silver": """
+        SELECT CASE WHEN c_nationkey <> 3 THEN c_custkey END AS c_custkey, c_name, c_nationkey,
+               cast(NULL AS double) AS segment, 'segment_is_double' AS bad_rule,
+               (SELECT count(*) FROM customer WHERE lower(c_mktsegment) <> 'furniture') AS bad_rows
+        FROM customer""",
 }

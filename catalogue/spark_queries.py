@@ -17,7 +17,7 @@ from catalogue.inputs import (
 from terrace import run_all, run_gold, run_pipeline, table_spec
 from terrace.functions import coverage_flag, or_zero, risk_band
 from terrace.operators import quality, store
-from terrace.operators.joins import left_join
+from terrace.operators.joins import left_join, once_per_match
 from terrace.operators.transforms import (
     add_audit_columns,
     apply_transformations,
@@ -26,7 +26,12 @@ from terrace.operators.transforms import (
     uppercase,
 )
 from terrace.plans import audit
-from terrace.plans.credit_risk import credit_risk_fact, credit_risk_specs, ordered_by_risk
+from terrace.plans.credit_risk import (
+    credit_risk_fact,
+    credit_risk_specs,
+    gold_sql_spec,
+    ordered_by_risk,
+)
 from terrace.sources import read_csv, read_source
 
 VALUATION = (
@@ -85,7 +90,7 @@ def cast_double_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "cast(o_custkey AS string) AS o_custkey"
     )
-    return cast_double(text, ["o_custkey", "not_there"])
+    return cast_double(text, ["O_CUSTKEY"])
 
 
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,11 +205,18 @@ def left_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unused_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup adds no column, but every line must still come out once per match."""
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+    return once_per_match(lines, part, "l_partkey", "p_partkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"
     )
 
 
+def unused_left_join_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a lookup that has some keys several times and others not at all."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey").where("l_orderkey % 3 > 0")
+    return once_per_match(orders, lines, "o_orderkey", "l_orderkey")
+
+
 def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as clients, orders as credits, line items as collaterals, parts as market."""
     clients = table(spark, sf_dir, "customer").selectExpr(
@@ -394,6 +406,19 @@ def upsert_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, orders, "k", lines)
 
 
+def upsert_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in 16 partitions by the key's hash; the second load holds a few keys, repeated and null ones."""
+    name, path = _new_table(spark, "target")
+    balances = _balances(spark, sf_dir)
+    store.first_load_or_upsert(spark, balances, name, path, "o_orderkey", partition_by=16)
+    few = _changed_balances(spark, sf_dir).where("o_orderkey % 97 = 5")
+    odd = _changed_balances(spark, sf_dir).where("o_orderkey % 89 = 7").selectExpr(
+        "o_totalprice", "if(o_orderkey % 2 = 0, NULL, -8) AS o_orderkey", "o_orderstatus", "not_in_target"
+    )
+    store.first_load_or_upsert(spark, few.union(odd), name, path, "o_orderkey")
+    return spark.table(name).drop(store.PART)
+
+
 # --- runs ---------------------------------------------------------------------
 
 
@@ -474,6 +499,27 @@ def credit_risk_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{prefix(base)}gold.credit_risk_fact").drop("_loaded_at")
 
 
+def gold_sql_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold fact from SQL text over the four silver tables."""
+    base = work_folder(spark)
+    write_credit_sources(spark, sf_dir, f"{base}/source")
+    specs = credit_risk_specs(prefix(base))[:4] + [gold_sql_spec(prefix(base))]
+    run_all(specs, settings(base), spark)
+    return spark.table(f"{prefix(base)}gold.credit_risk_fact").drop("_loaded_at")
+
+
+def typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed silver columns; values that do not fit become null and are counted in the rule results."""
+    base = work_folder(spark)
+    spec = _customer_spec(base) | {"types": {"c_custkey": "bigint", "C_NATIONKEY": "int", "segment": "double"}}
+    spec["data_quality"] = []
+    write_csv(_customers(spark, sf_dir), f"{base}/source/customer.csv")
+    run_pipeline(spec, spark=spark)
+    bad = spark.table(f"{spec['audit_database']}.{spec['dq_table']}").where("status = 'FAIL'").first()
+    silver = spark.table(f"{spec['targets']['silver']['database']}.customer").drop("_loaded_at", "_layer", "_pipeline")
+    return silver.withColumns({"bad_rule": F.lit(bad.rule), "bad_rows": F.lit(bad.failed_rows).cast("bigint")})
+
+
 def gold_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A gold table from SQL text over two silver tables."""
     base = work_folder(spark)
@@ -515,6 +561,7 @@ QUERIES = {
         inner_join,
         left_outer_join,
         unused_left_join,
+        unused_left_join_repeats,
         ordered_fact,
         not_null_report,
         not_null_sequential,
@@ -531,11 +578,14 @@ QUERIES = {
         upsert_idempotent,
         upsert_repeated_target_keys,
         upsert_unmatched_keys,
+        upsert_touched_partitions,
         csv_to_silver,
         silver_reload,
         run_log,
         failed_run_log,
         credit_risk_run,
         gold_sql_text,
+        gold_sql_fact,
+        typed_silver,
     )
 }

@@ -1,42 +1,41 @@
-"""Left outer join shaped so that a hot key cannot end up in a single task."""
+"""Outer joins shaped so that a hot key cannot end up in a single task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_SHARE = 0.001
-SAMPLE_HITS = 1_000  # a key with about a million rows
-MAX_FREQUENT = 1_000
-
-
-def frequent_keys(df: DataFrame, key: str) -> list:
-    """The most frequent keys of a frame, at most ``MAX_FREQUENT``.
-
-    They are found in a sample of the key column. The sample only decides how
-    a join is run: whichever keys it yields, the join gives the same rows. Keys
-    beyond the bound each have less than a thousandth of the rows.
-    """
-    counts = df.where(F.col(key).isNotNull()).select(key).sample(SAMPLE_SHARE, 1).groupBy(key).count()
-    top = counts.where(F.col("count") >= SAMPLE_HITS).orderBy(F.desc("count"), key)
-    return [row[0] for row in top.limit(MAX_FREQUENT).collect()]
-
 
 def left_join(
     left: DataFrame, right: DataFrame, key: str, keys_of: DataFrame | None = None
 ) -> DataFrame:
-    """Left outer equi-join on a shared column, safe when ``right`` has hot keys.
+    """Left outer equi-join on a shared column, safe when either side has hot keys.
 
     AQE can split skewed rows on either side of an inner join but not on the
-    optional side of an outer one. Frequent keys of ``right`` surely have a match,
-    so their rows come from an inner join, and all others from the outer join.
-    Each row takes part in one of the two; without frequent keys there is only
-    the outer join. ``keys_of`` may name a frame in which the same keys are
-    cheaper to read, for instance the table that ``right`` was enriched from.
+    optional side of an outer one. So the rows with a match come from an inner
+    join, and the others from an anti join with the distinct keys, where a hot
+    key has shrunk to one row per task before it is shuffled. ``keys_of`` may
+    name a frame in which the same keys are cheaper to read, for instance the
+    table that ``right`` was enriched from.
+    """
+    rest = [f for f in right.schema if f.name != key]
+    known = (right if keys_of is None else keys_of).select(key).distinct()
+    alone = left.join(known, key, "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rest]
+    return left.join(right, key).union(alone.select("*", *empty))
+
+
+def once_per_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """The rows of a left outer join that takes no column of ``right``.
+
+    Only keys that ``right`` has several times make a difference, so ``left``
+    meets those alone, and nothing at all if there are none. That is looked up
+    when the frame is built, in the key column of ``right``.
     """
-    keys = frequent_keys(right if keys_of is None else keys_of, key)
-    if not keys:
-        return left.join(right, key, "left")
-    frequent = F.col(key).isin(keys)
-    others = left.where(~frequent | F.col(key).isNull()).join(right.where(~frequent), key, "left")
-    return others.unionByName(left.where(frequent).join(right.where(frequent), key, "inner"))
+    counts = right.where(F.col(right_key).isNotNull()).groupBy(right_key).agg(F.count("*").alias("_times"))
+    several = counts.where("_times > 1").withColumnRenamed(right_key, "_key")
+    if several.isEmpty():
+        return left
+    joined = left.join(several, F.col(left_key) == F.col("_key"), "left")
+    times = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_times", F.lit(1)))
+    return joined.withColumn("_time", F.explode(times)).select(left.columns)

@@ -123,14 +123,14 @@ def evaluate(
     known = _known(rules, df.columns)
     if counts is None:
         counts = df.agg(*failure_counts(rules, df.columns)).first().asDict() if known else {}
-    failed = [i for i in known if counts.get(f"rule_{i}", 0) > 0]
+    failed = [i for i in known if counts[f"rule_{i}"] > 0]
     samples = {}
     if failed and identify_by in df.columns:
         samples = {r.rule: r.ids for r in sample_ids(df, rules, failed, identify_by).collect()}
 
     results = []
     for i, rule in enumerate(rules):
-        n = counts.get(f"rule_{i}", 0) if i in known else None
+        n = counts[f"rule_{i}"] if i in known else None
         ids = None
         if n:
             ids = samples.get(i, NO_ID_TEXT)
@@ -147,6 +147,18 @@ def run_checks(df: DataFrame, spec: dict, counts: dict | None = None) -> tuple[D
     return drop_failing(df, rules), evaluate(df, rules, spec.get("identify_by"), counts)
 
 
+def type_failures(df: DataFrame, types: dict[str, str]) -> list[Result]:
+    """Per typed column a result with the number of values that do not fit and become null."""
+    if not types:
+        return []
+    bad = {c: F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull() for c, t in types.items()}
+    counts = df.agg(*[F.count_if(x).alias(f"t{i}") for i, x in enumerate(bad.values())]).first()
+    return [
+        Result(f"{c}_is_{t}", "FAIL" if counts[i] else "PASS", counts[i], None, "set_null")
+        for i, (c, t) in enumerate(types.items())
+    ]
+
+
 def summary(results: list[Result]) -> dict[str, int]:
     statuses = [r.status for r in results]
     return {"dq_passed": statuses.count("PASS"), "dq_failed": statuses.count("FAIL")}

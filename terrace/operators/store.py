@@ -1,23 +1,30 @@
 """Tables on Parquet: overwrite, upsert by key, and evolving append.
 
-Every write goes to a new folder below the table's path, and the table is then
-pointed at it. Readers see the old or the new content, never half of either,
-and a write that fails leaves the table as it was.
+Every write goes to a new folder below the table's path, and the table (or the
+partitions that a partitioned upsert touches) is then pointed at it. Readers
+see the old or the new content of a folder, never half of either, and a write
+that fails leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import queue
+import threading
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrace.session import input_bytes, shared_dir, sized_for
+from terrace.session import input_bytes, scratch, sized_for
 
-FREQUENT = 100_000  # target rows on one key that a single task may hold
-SMALL_SHARE = 10  # a source this many times smaller than the target counts as small
+PART = "_part"  # column of a partitioned table: the hash of the key
+METRICS_WAIT = 60.0  # seconds that observed metrics may lag behind the write
+
+
+class TableChanged(RuntimeError):
+    """Another writer has changed the table since it was read; nothing was written to it."""
 
 
 def ensure_database(spark: SparkSession, database: str, location: str) -> None:
@@ -29,37 +36,76 @@ def _same(a: StructType, b: StructType) -> bool:
     return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
 
 
-def publish(spark: SparkSession, table: str, location: str, schema: StructType) -> None:
-    """Point ``table`` at ``location``, replacing its schema if it changed."""
-    if spark.catalog.tableExists(table):
-        if _same(spark.table(table).schema, schema):
-            place = location.replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
-            spark.catalog.refreshTable(table)
-            return
-        spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
+def location_of(spark: SparkSession, table: str) -> str | None:
+    """Where a table's rows are just now; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0]
 
 
-def write_version(df: DataFrame, path: str, metrics: list[Column] = ()) -> tuple[str, dict]:
-    """Write a frame to a new folder; returns the folder and the observed metrics.
+def publish(
+    spark: SparkSession, table: str, location: str, schema: StructType, before: str | None
+) -> None:
+    """Point ``table`` at ``location``, replacing its schema if it changed.
+
+    ``before`` is where the table was when the writer began; if it has moved
+    since, the write is refused. A new schema takes a new table under another
+    name, which then takes the old one's place.
+    """
+    if location_of(spark, table) != before:
+        raise TableChanged(f"{table} was changed by another writer")
+    if before is None:
+        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
+    elif _same(spark.table(table).schema, schema):
+        place = location.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(table)
+    else:
+        new, old = (f"{table}_{uuid4().hex}" for _ in range(2))
+        spark.catalog.createTable(new, path=location, source="parquet", schema=schema)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
+
+
+def _observed(seen: Observation) -> dict | None:
+    """The metrics of a finished write; None if they do not arrive."""
+    box: queue.Queue = queue.Queue()
+    threading.Thread(target=lambda: box.put(dict(seen.get)), daemon=True).start()
+    try:
+        return box.get(timeout=METRICS_WAIT)
+    except queue.Empty:
+        return None
+
+
+def write_version(df: DataFrame, path: str, metrics: list[Column] = (), by: str | None = None) -> tuple[str, dict]:
+    """Write a frame to a new folder; returns the folder and the metrics of its rows.
 
     The row count and ``metrics`` ride on the write. They sit above the last
     shuffle, in the stage whose tasks count once however often they are retried.
+    Where Spark's listener loses them, the written folder is read instead.
     """
     location = f"{path}/{uuid4().hex}"
+    every = [F.count(F.lit(1)).alias("rows"), *metrics]
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(location)
-    return location, {"rows": 0, **seen.get}
+    writer = df.observe(seen, *every).write
+    (writer.partitionBy(by) if by else writer).parquet(location)
+    found = _observed(seen)
+    if found is None or len(found) != len(every):
+        written = df.sparkSession.read.schema(df.schema).parquet(location)
+        found = written.agg(*every).first().asDict()
+    return location, found
 
 
 def overwrite(
     spark: SparkSession, df: DataFrame, table: str, path: str, metrics: list[Column] = ()
 ) -> dict:
     """Replace content and schema of a table; returns ``rows`` and the metrics."""
+    before = location_of(spark, table)
     with sized_for(spark, input_bytes(df)):
         location, observed = write_version(df, path, metrics)
-    publish(spark, table, location, df.schema)
+    publish(spark, table, location, df.schema, before)
     return observed
 
 
@@ -75,105 +121,149 @@ def align(source: DataFrame, schema: StructType) -> DataFrame:
     return source.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
-def key_facts(target: DataFrame, source: DataFrame, key: str, small_source: bool) -> Row:
-    """What decides how to join, from the key columns alone and in one job.
-
-    ``clash`` is a key repeated in the source and present in the target,
-    ``repeated`` the number of repeated source keys, ``nulls`` the source rows
-    without a key, ``most`` the highest number of target rows on one key.
-    """
-    old, new = target.select(key), source.select(key)
-    if small_source:
-        old = old.join(new, key, "left_semi")
-    tagged = old.withColumn("_old", F.lit(1)).union(new.withColumn("_old", F.lit(0)))
-    n_old, n_new, has_key = F.col("n_old"), F.col("n_new"), F.col(key).isNotNull()
-    return (
-        tagged.groupBy(key)
-        .agg(F.sum("_old").alias("n_old"), F.sum(1 - F.col("_old")).alias("n_new"))
-        .agg(
-            F.max(F.when(has_key & (n_new > 1) & (n_old > 0), F.col(key))).alias("clash"),
-            F.count_if(has_key & (n_new > 1)).alias("repeated"),
-            F.coalesce(F.max(F.when(~has_key, n_new)), F.lit(0)).alias("nulls"),
-            F.coalesce(F.max(n_old), F.lit(0)).alias("most"),
-        )
-        .first()
-    )
-
-
-def repeated_keys(source: DataFrame, key: str) -> DataFrame:
-    """The repeated keys, as a table in the shared folder.
-
-    Its size is known, so that Spark broadcasts it only where that is safe.
-    """
-    spark = source.sparkSession
-    repeated = source.groupBy(key).count().where("count > 1").select(key)
-    place, _ = write_version(repeated, f"{shared_dir(spark)}/repeated-keys")
-    return spark.read.schema(repeated.schema).parquet(place)
-
-
-def merged(target: DataFrame, source: DataFrame, key: str, small_source: bool = False) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, key: str, place: str) -> DataFrame:
     """The target after an upsert: matched rows updated in all columns, source
     rows without a match added, all other target rows kept.
 
     A null key matches nothing. A source key that is repeated *and* present in
     the target is refused, since it would not be clear which row wins. So null
     and repeated source keys are pure inserts that take no part in the joins,
-    where the source side is unique.
+    where the source side is unique. Repeated keys, if there are any, are
+    written to ``place``, so that Spark knows their size.
 
-    One full outer join does the rest, unless the target has a frequent key,
-    whose rows AQE can split in a left join only, or the source is small, so
-    that the target need not be shuffled in a left join. Then the rows to add
-    come from an anti join, which reads the same shuffle of the source.
+    The rest is a left join of the target, in which AQE can split a frequent
+    key, and an anti join of the source with the target's distinct keys, which
+    shrink in each task. Both read the same shuffle of the source.
     """
     source = align(source, target.schema)
-    facts = key_facts(target, source, key, small_source)
-    if facts.clash is not None:
-        raise ValueError(f"several source rows match target key {facts.clash!r}")
-    single, inserts = source.where(F.col(key).isNotNull()), []
+    has_key = F.col(key).isNotNull()
+    counts = source.groupBy(key).agg(F.count("*").alias("_n"))
+    several = has_key & (F.col("_n") > 1)
+    facts = counts.agg(F.count_if(several).alias("repeated"), F.count_if(~has_key).alias("nulls")).first()
+    single, inserts = source.where(has_key), []
     if facts.nulls:
-        inserts.append(source.where(F.col(key).isNull()))
+        inserts.append(source.where(~has_key))
     if facts.repeated:
-        repeated = repeated_keys(source, key)
+        counts.where(several).select(key).write.parquet(place)
+        repeated = source.sparkSession.read.schema(source.select(key).schema).parquet(place)
+        clash = target.select(key).join(repeated, key, "left_semi").first()
+        if clash is not None:
+            raise ValueError(f"several source rows match target key {clash[0]!r}")
         inserts.append(single.join(repeated, key, "left_semi").select(source.columns))
         single = single.join(repeated, key, "left_anti").select(source.columns)
 
     t, s = target.alias("t"), single.alias("s")
     hit = F.col(f"t.`{key}`") == F.col(f"s.`{key}`")
-    apart = small_source or facts.most > FREQUENT
     matched = F.col(f"s.`{key}`").isNotNull()
-    kept = t.join(s, hit, "left" if apart else "full_outer").select(
+    kept = t.join(s, hit, "left").select(
         [F.when(matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in target.columns]
     )
-    if apart:
-        known = target.select(key).distinct().alias("t")
-        if small_source:
-            known = known.join(s, hit, "left_semi").alias("t")
-        inserts.append(s.join(known, hit, "left_anti"))
-    return reduce(DataFrame.union, inserts, kept)
+    known = target.select(key).where(has_key).distinct().alias("t")
+    return reduce(DataFrame.union, [s.join(known, hit, "left_anti"), *inserts], kept)
 
 
 def upsert(
-    spark: SparkSession, source: DataFrame, table: str, path: str, key: str | None
+    spark: SparkSession, source: DataFrame, table: str, path: str, key: str | None, materialize: bool = False
 ) -> dict:
-    """Upsert into a table by one key column; returns the ``rows`` it then has."""
+    """Upsert into a table by one key column; returns the ``rows`` it then has.
+
+    The source is read several times; ``materialize`` writes it first, for one
+    that is costly to compute.
+    """
     if not key:
         raise ValueError(f"a merge key is needed to write into the existing table {table}")
-    target = spark.table(table)
-    old_bytes, new_bytes = input_bytes(target), input_bytes(source)
-    with sized_for(spark, old_bytes + new_bytes):
-        result = merged(target, source, key, new_bytes * SMALL_SHARE < old_bytes)
-        location, observed = write_version(result, path)
-    publish(spark, table, location, target.schema)
+    before, target = location_of(spark, table), spark.table(table)
+    if PART in target.columns:
+        return _upsert_parts(spark, source, table, path, key)
+    sizes = input_bytes(target), input_bytes(source)
+    with sized_for(spark, sum(sizes) if None not in sizes else None), scratch(spark, "upsert") as place:
+        if materialize:
+            source.write.parquet(f"{place}/source")
+            source = spark.read.schema(source.schema).parquet(f"{place}/source")
+        location, observed = write_version(merged(target, source, key, f"{place}/repeated"), path)
+    publish(spark, table, location, target.schema, before)
     return observed
 
 
 def first_load_or_upsert(
-    spark: SparkSession, df: DataFrame, table: str, path: str, key: str | None
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    path: str,
+    key: str | None,
+    partition_by: int | None = None,
+    materialize: bool = False,
 ) -> dict:
-    """Create the table from the frame, or upsert into it once it exists."""
+    """Create the table from the frame, or upsert into it once it exists.
+
+    With ``partition_by`` a new table is dealt into so many partitions by the
+    hash of its key (in the extra last column ``_part``), and later upserts
+    rewrite only the partitions that hold a key of the source.
+    """
     if spark.catalog.tableExists(table):
-        return upsert(spark, df, table, path, key)
-    return overwrite(spark, df, table, path)
+        return upsert(spark, df, table, path, key, materialize)
+    if not partition_by:
+        return overwrite(spark, df, table, path)
+    if not key:
+        raise ValueError(f"{table} can only be partitioned by a merge key")
+    with sized_for(spark, input_bytes(df)):
+        parted = df.withColumn(PART, _part(key, partition_by))
+        location, observed = write_version(parted.repartition(PART, _spread(key)), path, by=PART)
+    place = location.replace("'", "\\'")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parted.schema)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({PART}) "
+        f"LOCATION '{place}' TBLPROPERTIES ('parts' = '{int(partition_by)}')"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    return observed
+
+
+def _part(key: str, n: int) -> Column:
+    """Partition of a key; null keys are in the first one."""
+    return F.coalesce(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)), F.lit(0)).cast("int")
+
+
+def _spread(key: str) -> Column:
+    """Deals the rows of a partition over some tasks; of a frequent key, too."""
+    return F.pmod(F.xxhash64(F.col(key), F.monotonically_increasing_id() % 64), F.lit(8))
+
+
+def _places(spark: SparkSession, table: str, parts: list[int]) -> dict[int, str]:
+    """Where the rows of some partitions are just now."""
+    known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    out = {}
+    for p in known & set(parts):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({PART} = {p})")
+        out[p] = rows.where("col_name = 'Location'").select("data_type").first()[0]
+    return out
+
+
+def _upsert_parts(spark: SparkSession, source: DataFrame, table: str, path: str, key: str) -> dict:
+    """Upsert that rewrites only the partitions with a key of the source, and leaves the others' files alone."""
+    target = spark.table(table)
+    parts = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('parts')").first()[1])
+    with scratch(spark, "upsert") as place:
+        dealt = source.withColumn(PART, _part(key, parts))
+        align(dealt, target.schema).write.parquet(f"{place}/source")
+        dealt = spark.read.schema(target.schema).parquet(f"{place}/source")
+        touched = sorted(r[0] for r in dealt.select(PART).distinct().collect())  # at most as many as there are partitions
+        before = _places(spark, table, touched)
+        old = target.where(F.col(PART).isin(touched))
+        sizes = input_bytes(dealt), input_bytes(target)
+        with sized_for(spark, sum(sizes) if None not in sizes else None):
+            new = merged(old, dealt, key, f"{place}/repeated").repartition(PART, _spread(key))
+            location, _ = write_version(new, path, by=PART)
+    if _places(spark, table, touched) != before:
+        raise TableChanged(f"{table} was changed by another writer")
+    for p in touched:
+        where = f"{location}/{PART}={p}".replace("'", "\\'")
+        if p in before:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({PART} = {p}) SET LOCATION '{where}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({PART} = {p}) LOCATION '{where}'")
+    spark.catalog.refreshTable(table)
+    return {"rows": spark.table(table).count()}
 
 
 def append(spark: SparkSession, df: DataFrame, table: str, path: str) -> None:

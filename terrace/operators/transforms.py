@@ -18,9 +18,24 @@ def uppercase(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.upper(c) for c in columns})
 
 
+def _named(df: DataFrame, columns: list[str]) -> list[str]:
+    """The frame's own spelling of some columns; a name it does not have is an error."""
+    own = {c.lower(): c for c in df.columns}
+    missing = [c for c in columns if c.lower() not in own]
+    if missing:
+        raise ValueError(f"no such column: {', '.join(missing)}")
+    return [own[c.lower()] for c in columns]
+
+
 def cast_double(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Cast those of ``columns`` that the frame has to double, in place."""
-    return df.withColumns({c: F.col(c).cast("double") for c in columns if c in df.columns})
+    """Cast ``columns`` to double, in place. Names compare without case, as in Spark."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in _named(df, columns)})
+
+
+def try_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Give columns their types, in place; a value that does not fit becomes null."""
+    named = zip(_named(df, list(types)), types.values())
+    return df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in named})
 
 
 def enrich(
@@ -39,13 +54,22 @@ def enrich(
     the lookup, so a name both sides share cannot get lost. No broadcast is
     forced: Spark broadcasts the lookup when its size allows, and otherwise AQE
     splits the shuffle where one lookup key, or a missing one, is frequent.
+    Names compare without case. Columns named in ``numeric`` must be on one of
+    the two sides; those of the default list are cast where they are found.
     """
-    numeric = NUMERIC_COLUMNS if numeric is None else numeric
-    left = cast_double(df, numeric).alias(left_alias)
-    right = cast_double(lookup, numeric).alias(right_alias)
+    wanted = NUMERIC_COLUMNS if numeric is None else numeric
+    if numeric is not None:
+        _named(df.select("*", *[F.lit(None).alias(c) for c in lookup.columns]), numeric)
+
+    def cast(side: DataFrame) -> DataFrame:
+        names = {c.lower() for c in side.columns}
+        return cast_double(side, [c for c in wanted if c.lower() in names])
+
+    left, right = cast(df).alias(left_alias), cast(lookup).alias(right_alias)
     value = F.expr(expression).alias(column)
-    kept = [value if c == column else F.col(f"{left_alias}.`{c}`") for c in df.columns]
-    if column not in df.columns:
+    same = column.lower()
+    kept = [value if c.lower() == same else F.col(f"{left_alias}.`{c}`") for c in df.columns]
+    if same not in {c.lower() for c in df.columns}:
         kept.append(value)
     return left.join(right, F.expr(join_on), "left").select(*kept)
 
@@ -65,7 +89,7 @@ def _step(spark: SparkSession, df: DataFrame, step: dict) -> DataFrame:
             step.get("right_alias", RIGHT_ALIAS),
             step.get("numeric_columns"),
         )
-    raise ValueError(f"Unknown transformation action: {action}")
+    raise ValueError(f"a transformation step cannot be {action!r}")
 
 
 def apply_transformations(spark: SparkSession, df: DataFrame, spec: dict) -> DataFrame:

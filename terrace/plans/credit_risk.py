@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import coverage_flag, or_zero, risk_band
-from terrace.operators.joins import left_join
+from terrace.operators.joins import left_join, once_per_match
 from terrace.plans.spec import table_spec
 
-# The status and score limits of the risk bands.
+# The status and score limits of the risk bands, and below the columns of the
+# tables, the lookup condition and the valuation.
 DEFAULTED = "DEFAULTED"
 HIGH_BELOW = 500
 MEDIUM_BELOW = 700
@@ -87,6 +88,29 @@ def credit_risk_specs(prefix: str = "") -> list[dict]:
     return [market, clients, credits, collaterals, gold]
 
 
+def gold_sql_spec(prefix: str = "") -> dict:
+    """The gold fact as SQL text over the four silver tables, a spec that fits into YAML.
+
+    The text runs as written: its outer joins cannot be split at a hot key.
+    """
+    silver = f"{{catalog}}.{prefix}silver"
+    return {
+        "pipeline_name": "gold_pipeline",
+        "targets": {"gold": {"database": f"{prefix}gold", "table": "credit_risk_fact"}},
+        "gold_sql": f"""
+            WITH pledge AS (
+              SELECT credit_id, collateral_type, COALESCE(valuation_eur, 0) AS collateral_value_eur
+              FROM {silver}.collaterals LEFT JOIN {silver}.market ON stock_id = market_id)
+            SELECT client_id, name, city, credit_id, credit_type, total_amount_eur, balance_amount_eur,
+                   status AS credit_status, collateral_type,
+                   COALESCE(collateral_value_eur, 0) AS collateral_value_eur,
+                   IF(COALESCE(collateral_value_eur, 0) >= balance_amount_eur, 'YES', 'NO') AS is_covered,
+                   CASE WHEN status = '{DEFAULTED}' OR credit_score < {HIGH_BELOW} THEN 'HIGH'
+                        WHEN credit_score < {MEDIUM_BELOW} THEN 'MEDIUM' ELSE 'LOW' END AS overall_risk
+            FROM {silver}.clients JOIN {silver}.credits USING (client_id) LEFT JOIN pledge USING (credit_id)""",
+    }
+
+
 def fact_of_silver(spark: SparkSession, catalog: str, silver: str) -> DataFrame:
     """The fact over the silver tables.
 
@@ -96,8 +120,7 @@ def fact_of_silver(spark: SparkSession, catalog: str, silver: str) -> DataFrame:
     clients, credits, collaterals, market = (
         spark.table(f"{silver}.{t}") for t in ("clients", "credits", "collaterals", "market")
     )
-    matched = F.col("stock_id") == F.col("market_id")
-    pledges = collaterals.join(market.select("market_id"), matched, "left")
+    pledges = once_per_match(collaterals, market, "stock_id", "market_id")
     return credit_risk_fact(clients, credits, pledges, keys_of=collaterals)
 
 

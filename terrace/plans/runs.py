@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from terrace.operators import quality, store
-from terrace.operators.transforms import AUDIT_COLUMNS, add_audit_columns, apply_transformations
+from terrace.operators.transforms import AUDIT_COLUMNS, add_audit_columns, apply_transformations, try_types
 from terrace.plans import audit
 from terrace.plans.spec import load_spec
 from terrace.sources import read_source
@@ -41,8 +41,11 @@ def write_bronze(spark: SparkSession, spec: dict) -> dict:
 def write_silver(spark: SparkSession, df, spec: dict) -> int:
     """First load or upsert by the spec's merge key; returns the table's row count."""
     df = add_audit_columns(df, spec["pipeline_name"], "silver")
-    key = spec["targets"]["silver"].get("merge_key")
-    return store.first_load_or_upsert(spark, df, *_place(spark, spec, "silver"), key)["rows"]
+    target = spec["targets"]["silver"]
+    joins = any("join_table" in step for step in spec.get("transformations") or [])
+    place = _place(spark, spec, "silver")
+    key, parts = target.get("merge_key"), target.get("partition_by")
+    return store.first_load_or_upsert(spark, df, *place, key, parts, materialize=joins)["rows"]
 
 
 def write_gold(spark: SparkSession, spec: dict) -> int:
@@ -70,7 +73,13 @@ def _to_silver(spark: SparkSession, spec: dict, meta: dict) -> None:
     audit.log_results(spark, spec, results)
     meta |= quality.summary(results)
 
-    meta["silver_count"] = write_silver(spark, apply_transformations(spark, clean, spec), spec)
+    silver = apply_transformations(spark, clean, spec)
+    if types := spec.get("types"):
+        fits = quality.type_failures(silver, types)
+        audit.log_results(spark, spec, fits)
+        meta |= quality.summary(results + fits)
+        silver = try_types(silver, types)
+    meta["silver_count"] = write_silver(spark, silver, spec)
 
 
 def _to_gold(spark: SparkSession, spec: dict, meta: dict) -> None:

@@ -20,11 +20,11 @@ def _as_dict(spec: dict | str | Path) -> dict:
 
 def _check(spec: dict) -> None:
     if "pipeline_name" not in spec:
-        raise ValueError("pipeline_name is missing")
+        raise ValueError("a spec must say its pipeline_name")
     source = spec.get("source")
     if source is not None:
         if "path" not in source:
-            raise ValueError("source.path is missing")
+            raise ValueError("a source needs the place of its files in source.path")
         if source.get("format", "csv") != "csv":
             raise ValueError("source.format can only be csv")
     for layer, target in (spec.get("targets") or {}).items():
@@ -45,17 +45,21 @@ def load_spec(spec: dict | str | Path, settings: dict | str | Path | None = None
     """
     merged = {**_as_dict(settings or {}), **_as_dict(spec)}
     _check(merged)
-    catalog, source_base = merged["catalog"], merged["source_base"]
-    if "source" in merged:
-        merged["source"]["path"] = merged["source"]["path"].replace("{source_base}", source_base)
-    for step in merged.get("transformations") or []:
-        if "join_table" in step:
-            step["join_table"] = step["join_table"].replace("{catalog}", catalog)
-    if "gold_sql" in merged:
-        merged["gold_sql"] = merged["gold_sql"].replace("{catalog}", catalog)
+    lookups = [s for s in merged.get("transformations") or [] if "join_table" in s]
+    values = {name: merged[name] for name in ("source_base", "catalog")}
+    _fill(values, "source_base", merged.get("source"), "path")
+    _fill(values, "catalog", merged, "gold_sql")
+    for step in lookups:
+        _fill(values, "catalog", step, "join_table")
     return merged
 
 
+def _fill(values: dict[str, str], name: str, part: dict | None, key: str) -> None:
+    """Put a value in the place of ``{name}`` in one text of a spec, if it has that text."""
+    if part and key in part:
+        part[key] = part[key].replace(f"{{{name}}}", values[name])
+
+
 def table_spec(
     pipeline_name: str,
     table: str,

@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import threading
+from collections.abc import Iterator
 from contextlib import contextmanager
-from urllib.parse import unquote
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-GIB = 1 << 30
-MAX_SHUFFLE_PARTITIONS = 50_000
+PARTITION = 128 << 20  # bytes of input for one shuffle partition
+MAX_SHUFFLE_PARTITIONS = 50_000  # what the driver's table of map outputs is good for
 MAX_SCAN_TASKS = 100_000
-MAX_LISTED_FILES = 1_000
+UNKNOWN = 1 << 62  # Spark gives a size that it does not know as one like this
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+_settings = threading.RLock()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, for tables a job writes on its way.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is
-    used only when nothing is set and the session is local, as in tests.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is not set it
+    is a folder in the warehouse, which all executors reach, too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="terrace-")
-    raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder in the shared one, which is removed afterwards."""
+    place = f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+    try:
+        yield place
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def few_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
@@ -38,37 +48,34 @@ def few_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataF
     return spark.createDataFrame(pa.Table.from_pylist(named, schema)).coalesce(1)
 
 
-def input_bytes(*frames: DataFrame) -> int:
-    """Total size of the files behind some frames; lists them, reads none.
+def input_bytes(*frames: DataFrame) -> int | None:
+    """Size of what some frames read, as Spark's plan has it; None if it does not know.
 
-    With very many files their folders are listed instead, as Spark tasks.
+    Spark has listed the files when the frame was built, so this lists and reads nothing.
     """
-    places = {unquote(f) for df in frames for f in df.inputFiles()}
-    if not places:
-        return 0
-    files = frames[0].sparkSession.read.format("binaryFile")
-    if len(places) <= MAX_LISTED_FILES:
-        return sum(f.length for f in files.load(sorted(places)).select("length").collect())
-    folders = sorted({os.path.dirname(f) for f in places})
-    return files.load(folders).agg(F.sum("length")).first()[0]
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total if total < UNKNOWN else None
 
 
-def shuffle_settings(spark: SparkSession, n_bytes: int) -> dict[str, str]:
-    """Scan and shuffle sizes for an input of ``n_bytes``.
+def shuffle_settings(spark: SparkSession, n_bytes: int | None) -> dict[str, str]:
+    """Scan and shuffle sizes for an input of ``n_bytes``; for an unknown one the session's own.
 
     AQE can merge shuffle partitions but never adds any, so the initial number
-    has to follow the data: one per GiB of input, bounded so that the map
-    output table still fits the driver. Scan tasks grow with the input for the
-    same reason. Small inputs keep the session's own numbers. Skewed joins are
-    split even where that costs another shuffle.
+    has to follow the data, bounded so that the map output table still fits the
+    driver. Scan tasks grow with the input for the same reason. Small inputs
+    keep the session's own numbers. Skewed joins are split even where that
+    costs another shuffle.
     """
+    settings = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    if n_bytes is None:
+        return settings
     own = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
     default = int(own)
-    partitions = min(max(default, n_bytes // GIB), max(default, MAX_SHUFFLE_PARTITIONS))
-    settings = {
-        INITIAL_PARTITIONS: str(partitions),
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    }
+    partitions = min(max(default, n_bytes // PARTITION), max(default, MAX_SHUFFLE_PARTITIONS))
+    settings[INITIAL_PARTITIONS] = str(partitions)
     if n_bytes // MAX_SCAN_TASKS > 128 << 20:
         settings["spark.sql.files.maxPartitionBytes"] = str(n_bytes // MAX_SCAN_TASKS)
     if partitions > default:
@@ -77,17 +84,21 @@ def shuffle_settings(spark: SparkSession, n_bytes: int) -> dict[str, str]:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, n_bytes: int):
-    """Run a block under ``shuffle_settings`` and put the old values back."""
-    settings = shuffle_settings(spark, n_bytes)
-    before = {name: spark.conf.get(name, None) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-        yield settings
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
+def sized_for(spark: SparkSession, n_bytes: int | None) -> Iterator[dict[str, str]]:
+    """Run a block under ``shuffle_settings`` and put the old values back.
+
+    The settings belong to the session, so threads that share one take turns.
+    """
+    with _settings:
+        settings = shuffle_settings(spark, n_bytes)
+        before = {name: spark.conf.get(name, None) for name in settings}
+        try:
+            for name, value in settings.items():
                 spark.conf.set(name, value)
+            yield settings
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)

