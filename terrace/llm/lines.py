@@ -84,8 +84,8 @@ def repeats(rows: DataFrame) -> DataFrame:
     Chunks are counted by digest over all documents. Of a repeated one, the
     first by doc_id (null last), key and place stays. The others are listed
     with the text of the first, so that who removes them compares bytes. Hot
-    digests shrink in partial aggregates; joins on them have one row on one
-    side, so that Spark can split the other.
+    digests shrink in partial aggregates; joins on them have one row per digest
+    in a table on one side, so that Spark can split the other.
     """
     found = rows.select(
         "__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), F.explode(chunks(whole())).alias("c")
@@ -105,8 +105,8 @@ def repeats(rows: DataFrame) -> DataFrame:
         "kept", lambda k: F.struct(k["digest"].alias("digest"), F.get(c, k["pos"])["text"].alias("text"))
     ))).alias("p"))
     texts = pieces.groupBy("p.digest").agg(F.min("p.text").alias("text"))
-    later = found.join(repeated, "digest").where(F.struct("doc", "__key", "pos") != F.col("first"))
-    later = later.select("__key", "pos", "digest").join(texts, "digest")
+    firsts = stored(repeated.join(texts, "digest"), "firsts")
+    later = found.join(firsts, "digest").where(place != F.col("first"))
     entry = F.concat_ws(":", F.col("pos").cast("string"), "text")
     return later.groupBy("__key").agg(F.collect_set(entry).alias("__again"))
 
