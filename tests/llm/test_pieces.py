@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -24,9 +25,10 @@ def test_encodes_and_decodes_as_the_library(text):
     want = [*library.encode(text), model.end]
     assert model.encode(text) == want
     assert model.decode(want) == library.decode(want)
-    got = pieces.encode_chunk(model, [text, text], with_ids=True)
-    assert got["ids"] == [want, want]
-    assert got["decoded"] == [library.decode(want)] * 2
+    known, codes, ends = pieces.encode_chunk(model, [text, "", text])
+    ids, offsets = pieces.ids_of(model, known, codes, ends)
+    assert [x.tolist() for x in np.split(ids, offsets[1:-1])] == [want, [model.end], want]
+    assert [t[1:] for t in pieces.texts_of(known, 2, codes, ends, "")] == [library.decode(want), "", library.decode(want)]
 
 
 def test_decodes_any_ids_as_the_library(library):
