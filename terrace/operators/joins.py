@@ -18,7 +18,7 @@ def left_join(
     name a frame in which the same keys are cheaper to read, for instance the
     table that ``right`` was enriched from.
     """
-    rest = [f for f in right.schema if f.name != key]
+    rest = [f for f in right.schema if f.name.lower() != key.lower()]
     known = (right if keys_of is None else keys_of).select(key).distinct()
     alone = left.join(known, key, "left_anti")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rest]
