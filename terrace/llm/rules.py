@@ -135,7 +135,7 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     rows = stored(stats.select("doc_id", *SHARES).join(marks, "doc_id"), "labelled")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
     bounds, rules, left = thresholds(rows), [], rows
-    while True:
+    while any(bounds.values()):
         rule = grow(left.where(part != 0), bounds)
         if not rule:
             break
