@@ -74,4 +74,5 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
+    "op6_ngram_jaccard": jaccard.ORACLE,
 }
