@@ -20,17 +20,17 @@ SHARES = (
 )
 
 
-def repeated_words(words_: Column) -> Column:
-    """Number of words that lie in a 3-word window found twice or more in the text.
+def repeated_words(hashes: Column) -> Column:
+    """Number of words, given by hashes, that lie in a 3-word window found twice or more in the text.
 
     Windows are compared by a 64-bit hash. Only a text with a repeated one is
     sorted, so that equal windows stand side by side.
     """
 
-    def of(w: Column) -> Column:
-        n = F.size(w) - 2
+    def of(h: Column) -> Column:
+        n = F.size(h) - 2
         windows = F.transform(
-            F.arrays_zip(F.slice(w, 1, n).alias("a"), F.slice(w, 2, n).alias("b"), F.slice(w, 3, n).alias("c")),
+            F.arrays_zip(F.slice(h, 1, n).alias("a"), F.slice(h, 2, n).alias("b"), F.slice(h, 3, n).alias("c")),
             lambda x: F.xxhash64(x["a"], x["b"], x["c"]),
         )
         return F.when(n > 1, let(windows, covered)).otherwise(F.lit(0))
@@ -51,7 +51,7 @@ def repeated_words(words_: Column) -> Column:
             F.size(F.array_distinct(windows)) < F.size(windows), let(F.array_sort(placed), places)
         ).otherwise(F.lit(0))
 
-    return let(words_, of)
+    return let(hashes, of)
 
 
 def counts(text: Column) -> Column:
@@ -60,11 +60,11 @@ def counts(text: Column) -> Column:
     def lines(all_lines: Column) -> Column:
         return F.struct(F.size(all_lines).alias("n"), F.size(F.array_distinct(all_lines)).alias("own"))
 
-    def of(w: Column) -> Column:
+    def of(hashes: Column) -> Column:
         return F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            repeated_words(w).cast("long").alias("n_repeat_words"),
-            F.size(F.array_distinct(w)).alias("distinct"),
+            F.size(hashes).cast("long").alias("n_words"),
+            repeated_words(hashes).cast("long").alias("n_repeat_words"),
+            F.size(F.array_distinct(hashes)).alias("distinct"),
         )
 
     return F.struct(
@@ -72,7 +72,7 @@ def counts(text: Column) -> Column:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.length(text) - F.length(F.translate(text, UPPER, ""))).alias("n_upper"),
         let(F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""), lines).alias("lines"),
-        let(words(text), of).alias("words"),
+        let(F.transform(words(text), lambda w: F.xxhash64(w)), of).alias("words"),
     )
 
 
