@@ -235,8 +235,9 @@ def detect(docs: DataFrame, *keep: str) -> DataFrame:
     """
     rows = stored(found(docs, *keep), "found")
     terms = stored(vocabulary(docs), "terms")
-    risky = disclosures(rows, terms, max(1, rows.count()))
-    spans = rows.drop("contexts").join(term_spans(rows, risky), "key", "left")
+    risky = stored(disclosures(rows, terms, max(1, rows.count())), "risky")
+    near = stored(term_spans(rows, risky), "near")  # tables: Spark can split a hot key of the other side
+    spans = rows.drop("contexts").join(near, "key", "left")
     none = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,shown:string>>")
     return spans.withColumn("terms", F.coalesce("terms", none))
 
