@@ -15,6 +15,7 @@ from terrace.llm.text import over_chunks, whole
 
 SPACE = "▁"
 NO_RANK = np.int64(1) << 40
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 CACHED = 400_000  # words whose pieces a worker remembers; only speed depends on it
 
 
@@ -62,7 +63,8 @@ class PieceModel:
                     triples.append((left << 22 | right, i, rank[i]))
         triples.sort()
         table = np.array(triples, dtype=np.int64).reshape(-1, 3)
-        self.pair, self.product, self.rank = table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy()
+        self._index(table[:, 0])
+        self.product, self.rank = np.r_[table[:, 1], -1], np.r_[table[:, 2], NO_RANK]
         self.follows = np.unique(np.array([ord(a) << 21 | ord(b) for a, b in follows], dtype=np.int64))
         self.n = n
         self.char_id = np.full(0x110000, -1, dtype=np.int64)
@@ -75,13 +77,29 @@ class PieceModel:
             return self.id_of[text]
         return len(self.piece) + ord(text) if len(text) == 1 else None
 
+    def _index(self, pairs: np.ndarray) -> None:
+        """A sparse hash table of the pairs: looking one up is mostly a single probe."""
+        bits = max(8, int(8 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        slots = ((pairs.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64).tolist()
+        self.pair = np.full((1 << bits) + len(pairs) + 1, -1, dtype=np.int64)
+        self.place = np.full(len(self.pair), len(pairs), dtype=np.int64)
+        for i, (slot, pair) in enumerate(zip(slots, pairs.tolist())):
+            while self.pair[slot] >= 0:
+                slot += 1
+            self.pair[slot], self.place[slot] = pair, i
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and product of pairs of symbols; ``NO_RANK`` where they do not merge."""
+        """Rank and product of pairs of symbols; ``NO_RANK`` and -1 where they do not merge."""
         keys = left << 22 | right
-        at = np.searchsorted(self.pair, keys)
-        at[at == len(self.pair)] = 0
-        hit = self.pair[at] == keys
-        return np.where(hit, self.rank[at], NO_RANK), np.where(hit, self.product[at], -1)
+        slot = ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+        other = np.flatnonzero((self.pair[slot] != keys) & (self.pair[slot] >= 0))
+        while len(other):
+            slot[other] += 1
+            there = self.pair[slot[other]]
+            other = other[(there != keys[other]) & (there >= 0)]
+        place = self.place[slot]
+        return self.rank[place], self.product[place]
 
     def merge(self, symbols: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge rounds over the symbols of many segments until no pair remains.
@@ -174,7 +192,7 @@ class PieceModel:
         return [self.byte_id[b] for b in chr(point).encode()] if self.byte_id else [self.unknown]
 
     def pieces_of(self, units: list[str]) -> list[tuple]:
-        """For each unit its number of ids, the ids joined by a space, and their text."""
+        """For each unit its number of ids, the ids joined by a space, their text, and the ids as bytes."""
         if len(self.cache) > CACHED:
             self.cache.clear()
         if fresh := [u for u in units if u not in self.cache]:
@@ -182,10 +200,10 @@ class PieceModel:
             plain = np.add.reduceat(np.r_[self.byte_of[ids] >= 0, False], np.r_[0, ends[:-1]]) == 0
             flat = ids.tolist()
             names, pieces = [self.name[i] for i in flat], [self.shown[i] for i in flat]
-            a = 0
+            raw, a = ids.astype("<i4").tobytes(), 0
             for unit, b, simple in zip(fresh, ends.tolist(), plain.tolist()):
                 text = "".join(pieces[a:b]) if simple else self.surface(flat[a:b])
-                self.cache[unit] = b - a, " ".join(names[a:b]), text
+                self.cache[unit] = b - a, " ".join(names[a:b]), text, raw[4 * a : 4 * b]
                 a = b
         return [self.cache[u] for u in units]
 
@@ -245,30 +263,45 @@ def model_at(path: str) -> PieceModel:
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
-def encode_chunk(model: PieceModel, texts: list[str], with_ids: bool = False) -> dict[str, list]:
-    """Encode and decode whole texts; equal words of a chunk are merged once."""
-    units, counts = [], []
+def encode_chunk(model: PieceModel, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """The distinct units of some texts as ``pieces_of`` gives them, the units of all texts, and where each text's end.
+
+    Equal words of a chunk are merged once.
+    """
+    units, ends = [], []
     for text in texts:
-        found = UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-        units += found
-        counts.append(len(found))
+        if text:
+            units += UNITS.findall(SPACE + text.replace(" ", SPACE))
+        ends.append(len(units))
     index: dict[str, int] = {}
-    codes_list = [index.setdefault(u, len(index)) for u in units]
-    codes = np.array(codes_list, dtype=np.int64)
-    known = model.pieces_of(list(index))
-    sizes = np.array([k[0] for k in known], dtype=np.int64)
-    out: dict[str, list] = {"n_tokens": [], "ids": [], "decoded": []}
-    at = 0
-    for n in counts:
-        own = codes_list[at : at + n]
-        out["n_tokens"].append(int(sizes[codes[at : at + n]].sum()) + 1 if n else 1)
-        ids = " ".join([*(known[c][1] for c in own), str(model.end)])
-        out["ids"].append([int(i) for i in ids.split(" ")] if with_ids else ids)
-        out["decoded"].append("".join([known[c][2] for c in own])[1:])
-        at += n
+    codes = np.array([index.setdefault(u, len(index)) for u in units], dtype=np.int64)
+    return model.pieces_of(list(index)), codes, np.array(ends, dtype=np.int64)
+
+
+def texts_of(known: list[tuple], part: int, codes: np.ndarray, ends: np.ndarray, between: str) -> list[str]:
+    """One of the texts of the units, joined for each text of the chunk."""
+    own, flat, a, out = [k[part] for k in known], codes.tolist(), 0, []
+    for b in ends.tolist():
+        out.append(between.join([own[c] for c in flat[a:b]]))
+        a = b
     return out
 
 
+def ids_of(model: PieceModel, known: list[tuple], codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids of all texts of the chunk, the end id after each, and offsets of the texts."""
+    sizes = np.fromiter((k[0] for k in known), np.int64, len(known))
+    ids = np.frombuffer(b"".join([k[3] for k in known]), "<i4")
+    starts = np.cumsum(sizes) - sizes
+    # a text's end is one more unit, of the last id
+    ids = np.r_[ids, np.int32(model.end)]
+    sizes, starts = np.r_[sizes, 1], np.r_[starts, len(ids) - 1]
+    every = np.insert(codes, ends, len(known))
+    size = sizes[every]
+    until = np.cumsum(size)
+    flat = ids[np.repeat(starts[every] - until + size, size) + np.arange(until[-1])] if len(every) else ids[:0]
+    return flat.astype(np.int32), np.r_[0, until[ends + np.arange(len(ends))]] if len(ends) else np.zeros(1, np.int64)
+
+
 def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``ids`` (an array, the end id last) and ``decoded``.
 
@@ -280,9 +313,14 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     out = df.select("row", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        got = encode_chunk(model_at(path), chunk.column("text").to_pylist(), with_ids=True)
-        columns = [chunk.column("row"), pa.array(got["ids"], pa.list_(pa.int32())), pa.array(got["decoded"], pa.string())]
-        return pa.RecordBatch.from_arrays(columns, names=["row", "ids", "decoded"])
+        model = model_at(path)
+        known, codes, ends = encode_chunk(model, chunk.column("text").to_pylist())
+        ids, offsets = ids_of(model, known, codes, ends)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+        decoded = [t[1:] for t in texts_of(known, 2, codes, ends, "")]
+        return pa.RecordBatch.from_arrays(
+            [chunk.column("row"), lists, pa.array(decoded, pa.string())], names=["row", "ids", "decoded"]
+        )
 
     return df.mapInArrow(over_chunks(work, "text"), out).select("row.*", "ids", "decoded")
 
@@ -293,13 +331,18 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     sha = lambda texts: [hashlib.sha256(t.encode()).hexdigest() for t in texts]
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        got = encode_chunk(model_at(path), chunk.column("text").to_pylist())
+        model = model_at(path)
+        known, codes, ends = encode_chunk(model, chunk.column("text").to_pylist())
+        sizes = np.fromiter((k[0] for k in known), np.int64, len(known))
+        n = np.diff(np.r_[0, np.r_[0, np.cumsum(sizes[codes])][ends]]) + 1
+        ids = [f"{t} {model.end}" if t else str(model.end) for t in texts_of(known, 1, codes, ends, " ")]
+        decoded = [t[1:] for t in texts_of(known, 2, codes, ends, "")]
         return pa.RecordBatch.from_arrays(
             [
                 chunk.column("doc_id"),
-                pa.array(got["n_tokens"], pa.int64()),
-                pa.array(sha(got["ids"]), pa.string()),
-                pa.array(sha(got["decoded"]), pa.string()),
+                pa.array(n, pa.int64()),
+                pa.array(sha(ids), pa.string()),
+                pa.array(sha(decoded), pa.string()),
             ],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
