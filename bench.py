@@ -20,7 +20,14 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from catalogue import QUERIES  # noqa: E402
-from catalogue.inputs import orders_with_gaps, prefix, settings, work_folder, write_credit_sources  # noqa: E402
+from catalogue.inputs import (  # noqa: E402
+    orders_with_gaps,
+    prefix,
+    settings,
+    work_folder,
+    write_credit_sources,
+    write_csv,
+)
 from terrace import run_all  # noqa: E402
 from terrace.operators import quality  # noqa: E402
 from terrace.plans.credit_risk import credit_risk_specs  # noqa: E402
@@ -61,8 +68,10 @@ def reload_seconds(spark: SparkSession, sf_dir: str) -> float:
     write_credit_sources(spark, sf_dir, f"{base}/source")
     specs = [s for s in credit_risk_specs(prefix(base)) if s["pipeline_name"][:6] in ("market", "collat")]
     run_all(specs, settings(base), spark)
+    lines = spark.read.csv(f"{base}/source/collaterals.csv", header=True).dropDuplicates(["collateral_id"])
+    write_csv(lines, f"{base}/again/collaterals.csv")  # a reload may not repeat a key
     start = time.perf_counter()
-    run_all(specs[1:], settings(base), spark)
+    run_all(specs[1:], settings(base) | {"source_base": f"{base}/again"}, spark)
     return time.perf_counter() - start
 
 
