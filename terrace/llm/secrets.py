@@ -29,6 +29,9 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+ALPHABETS = ("A-Za-z0-9+/_-", "A-Za-z0-9+/", "A-Za-z0-9_-")  # a run may be joined to words by characters of the other
+RUNS = [re.compile(rf"[{a}]{{16,}}={{0,2}}") for a in ALPHABETS]
+NEXT = [re.compile(rf"[ \t]*(?:\r\n?|\n)[ \t]*([{a}]*={{0,2}})") for a in ALPHABETS]
 UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�]")
 UNPACKED = 16 << 20  # bytes one compressed run may unpack to; a larger one is not unpacked
 
@@ -134,6 +137,41 @@ def printable(raw: bytes) -> str | None:
     return None if UNPRINTABLE.search(text) else text
 
 
+def runs(text: str) -> Iterator[tuple[tuple[int, int], ...]]:
+    """Runs that may be base64, each once, as the spans of their lines.
+
+    They are maximal over both alphabets and over each one. Lines of equal
+    length that follow each other are a run together, with and without the
+    shorter line after them, and each is one alone.
+    """
+    seen = set()
+    for run, more in zip(RUNS, NEXT):
+        joined_to = 0
+        for m in run.finditer(text):
+            found = [(m.span(),)]
+            if m.start() >= joined_to and m[0][-1] != "=":
+                found += wrapped(text, m.span(), more)
+                joined_to = found[-1][-1][1] if len(found) > 1 else 0
+            for lines in found:
+                if lines not in seen:
+                    seen.add(lines)
+                    yield lines
+    for m in BASE64.finditer(text):
+        if (m.span(),) not in seen:
+            yield (m.span(),)
+
+
+def wrapped(text: str, first: tuple[int, int], more: re.Pattern) -> list[tuple[tuple[int, int], ...]]:
+    """Runs of several lines from a first one: with the shorter line at the end, and last those of equal length."""
+    lines, width = [first], first[1] - first[0]
+    while (m := more.match(text, lines[-1][1])) and len(m[1].rstrip("=")) == len(m[1]) == width:
+        lines.append(m.span(1))
+    out = []
+    if m and m[1] and len(m[1].rstrip("=")) <= width:
+        out.append((*lines, m.span(1)))
+    return out + [tuple(lines)] if len(lines) > 1 or out else out
+
+
 def decoded(layer: Layer) -> Iterator[Layer]:
     """All layers that are one decoding away."""
     text = layer.text
@@ -141,8 +179,8 @@ def decoded(layer: Layer) -> Iterator[Layer]:
         yield from in_place(layer, PERCENT, percent, "url")
     if "\\" in text:
         yield from in_place(layer, ESCAPE, escapes, "unicode")
-    for m in BASE64.finditer(text):
-        run = m[0].rstrip("=")
+    for lines in runs(text):
+        run = "".join(text[a:b] for a, b in lines).rstrip("=")
         if len(run) % 4 == 1:
             continue
         try:
@@ -155,7 +193,7 @@ def decoded(layer: Layer) -> Iterator[Layer]:
             inner = unpack(raw) if len(raw) < UNPACKED else None
         shown = printable(raw)
         if shown:
-            yield layer.child([(shown, m.start(), m.end(), False)], how)
+            yield layer.child([(shown, lines[0][0], lines[-1][1], False)], how)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, str, str]]]:

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import urllib.parse
 import zlib
 
@@ -51,6 +52,31 @@ def test_nested_layers_map_back():
     assert found(f"see {mixed} there") == [(mixed, "assign", TOKEN)]
 
 
+def test_runs_in_either_alphabet():
+    r = random.Random(1)
+    for _ in range(200):
+        secret = f"note {r.randbytes(30).hex()[:23]} password=" + "".join(r.choices("abcdefgh0123456789", k=12))
+        for raw in (secret.encode(), zlib.compress(secret.encode()), ("ÿ¿þ" * 9 + secret).encode()):
+            for code in (base64.urlsafe_b64encode, base64.b64encode):
+                run = code(raw).decode().rstrip("=")
+                for text in (f"see {run} there", f"see key-{run}" if code is base64.b64encode else f"see a/b/{run}"):
+                    assert {v for _, k, v in found(text) if k == "assign"} == {secret[29:]}, text
+
+
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\n    "])
+def test_wrapped_runs(between):
+    r = random.Random(2)
+    for n in range(60):
+        filler = "".join(r.choices("abcdefgh ijklmn", k=150 + n))
+        for raw in (gzip.compress(f"{filler} {TOKEN}".encode()), f"{filler} {TOKEN} {filler}".encode()):
+            run = between.join(base64.encodebytes(raw).decode().split())
+            for text in (f"see\n{run}\n-----END", f"see\n{run}", f"see\n{run}\nthere is more"):
+                assert ("assign", TOKEN) in [f[1:] for f in found(text)], text
+    run = base64.encodebytes(gzip.compress(r.randbytes(200).hex().encode() + TOKEN.encode())).decode().strip()
+    a, b, kind = next(s[:3] for s in secrets.scan(f"see {run} there")[1] if s[2] == "assign")
+    assert (a, b) == (4, 4 + len(run))
+
+
 def test_base_spans_stay_and_plain_text_has_none():
     text = f"{TOKEN} and %41%42"
     base, every = secrets.scan(text)
