@@ -8,8 +8,9 @@ import hashlib
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
 ALPHABETS = ("A-Za-z0-9+/_-", "A-Za-z0-9+/", "A-Za-z0-9_-")  # a run may be joined to words by characters of the other
 RUNS = [re.compile(rf"[{a}]{{16,}}={{0,2}}") for a in ALPHABETS]
 NEXT = [re.compile(rf"[ \t]*(?:\r\n?|\n)[ \t]*([{a}]*={{0,2}})") for a in ALPHABETS]
-UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�]")
-UNPACKED = 16 << 20  # bytes one compressed run may unpack to; a larger one is not unpacked
+UNPRINTABLE = re.compile("[\x00-\x08\x0e-\x1f\x7f�\udc80-\udcff]")  # the last are bytes that are not UTF-8
+SHOWN = re.compile("[^\x00-\x08\x0e-\x1f\x7f�\udc80-\udcff]{12,}")  # no secret is shorter, however encoded
+UNPACKED = 16 << 20  # bytes of unpacked content that are scanned at a time; each such part has half of the one before
+STEP, OUT = 1 << 10, 1 << 16  # bytes that are unpacked at a time, and that may come out
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -67,21 +70,20 @@ class Layer:
                 end.append(at + 1 if self.end is None else self.end[a:b])
             else:
                 x, y = self.origin(a, b)
-                start.append(np.full(len(text), x))
-                end.append(np.full(len(text), y))
+                start.append(np.broadcast_to(np.int64(x), len(text)))
+                end.append(np.broadcast_to(np.int64(y), len(text)))
+        if len(parts) == 1:
+            return Layer(parts[0][0], start[0], end[0], (*self.path, how))
         return Layer("".join(p[0] for p in parts), np.concatenate(start), np.concatenate(end), (*self.path, how))
 
 
 def in_place(layer: Layer, pattern: re.Pattern, decode, how: str) -> Iterator[Layer]:
-    """The layer with all decodable runs of a pattern replaced, if there is one."""
+    """The layer with all runs of a pattern decoded, if there is one."""
     parts, last = [], 0
     for m in pattern.finditer(layer.text):
-        pieces = decode(m[0])
-        if pieces is None:
-            continue
         a = m.start()
         parts.append((layer.text[last:a], last, a, True))
-        for text, length in pieces:
+        for text, length in decode(m[0]):
             parts.append((text, a, a + length, False))
             a += length
         last = m.end()
@@ -90,51 +92,122 @@ def in_place(layer: Layer, pattern: re.Pattern, decode, how: str) -> Iterator[La
         yield layer.child(parts, how)
 
 
-def percent(run: str) -> list[tuple[str, int]] | None:
-    """Characters of a percent-encoded run with the lengths they take up."""
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    return [(c, 3 * len(c.encode())) for c in text]
+def percent(run: str) -> list[tuple[str, int]]:
+    """Characters of a percent-encoded run with the lengths they take up; bytes that are not UTF-8 are "�"."""
+    text = bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape")
+    return [("�", 3) if "\udc80" <= c <= "\udcff" else (c, 3 * len(c.encode())) for c in text]
 
 
-def escapes(run: str) -> list[tuple[str, int]] | None:
-    """Characters of a run of Unicode escapes; surrogate pairs are one character."""
+def escapes(run: str) -> list[tuple[str, int]]:
+    """Characters of a run of Unicode escapes; surrogate pairs are one character, what is none is "�"."""
     out: list[tuple[str, int]] = []
     for m in ESCAPED.finditer(run):
         point = int(m[1] or m[2] or m[3], 16)
         if 0xDC00 <= point < 0xE000 and out and 0xD800 <= ord(out[-1][0]) < 0xDC00:
             high, length = out.pop()
             out.append((chr(0x10000 + (ord(high) - 0xD800 << 10) + point - 0xDC00), length + 6))
-        elif point > 0x10FFFF:
-            return None
         else:
-            out.append((chr(point), m.end() - m.start()))
+            out.append((chr(point) if point <= 0x10FFFF else "�", m.end() - m.start()))
     return [("�" if 0xD800 <= ord(c) < 0xE000 else c, n) for c, n in out]
 
 
-def unpack(raw: bytes) -> bytes | None:
-    """The content of gzip or zlib bytes; None if they are neither or unpack to too much."""
+def packed(raw: bytes) -> int | None:
+    """The ``wbits`` of gzip or zlib bytes, told by how they start."""
     if raw[:2] == b"\x1f\x8b":
-        made = zlib.decompressobj(wbits=31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        made = zlib.decompressobj()
-    else:
-        return None
+        return 31
+    return 15 if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0 else None
+
+
+def unpack(parts: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of gzip or zlib bytes: all members, and of a broken one what comes before its fault."""
+    made, data = None, b""
+    for part in parts:
+        data += part
+        while data:
+            if made is None:
+                data = data.lstrip(b"\0")  # between members
+                if len(data) < 3:
+                    break
+                if (bits := packed(data)) is None:
+                    return
+                made = zlib.decompressobj(wbits=bits)
+            before = made.copy()
+            try:
+                out = made.decompress(data, OUT)
+            except zlib.error:
+                yield up_to_fault(before, data)
+                return
+            if out:
+                yield out
+            data = made.unconsumed_tail
+            if made.eof:
+                made, data = None, made.unused_data
+    if made is not None:
+        yield made.flush()
+
+
+def up_to_fault(made, data: bytes) -> bytes:
+    out = bytearray()
     try:
-        out = made.decompress(raw, UNPACKED)
+        while data and not made.eof:
+            out += made.decompress(data, 1)
+            data = made.unconsumed_tail
     except zlib.error:
-        return None
-    return out if made.eof else None
+        pass
+    return bytes(out)
+
+
+def in_parts(content: Iterable[bytes]) -> Iterator[bytes]:
+    """Content in parts of about ``UNPACKED`` bytes, each with the last half of the one before.
+
+    Parts begin and end at blanks where they can, so that what stands at a cut
+    is whole in one of the two.
+    """
+    held = bytearray()
+    for some in content:
+        held += some
+        if len(held) >= UNPACKED:
+            cut = max(held.rfind(b" "), held.rfind(b"\n")) + 1
+            yield bytes(held[: cut or len(held)])
+            blank = re.search(rb"[ \n]", held[UNPACKED // 2 :])
+            del held[: UNPACKED // 2 + (blank.end() if blank else 0)]
+    if held:
+        yield bytes(held)
 
 
 def printable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if UNPRINTABLE.search(text) else text
+    """Bytes as text, if any of it may hold a secret; what is no printable character is a null character."""
+    text = raw.decode("utf-8", "surrogateescape")
+    return UNPRINTABLE.sub("\0", text) if SHOWN.search(text) else None
+
+
+def contents(raw: bytes, all_: bool) -> Iterator[tuple[str, str]]:
+    """The texts that decoded bytes show, and how: themselves, then (for ``all_``) what they unpack to, again and again."""
+    if shown := printable(raw):
+        yield shown, "base64"
+    make, how, seen = lambda: (raw[i : i + STEP] for i in range(0, len(raw), STEP)), "base64", set()
+    start = raw[:3]
+    while all_ and packed(start) is not None:
+        make, how = partial(unpacked, make), how + "+unpack"
+        start, digest = b"", hashlib.sha256()
+
+        def noted(content: Iterator[bytes]) -> Iterator[bytes]:
+            nonlocal start
+            for some in content:
+                start = start if len(start) >= 3 else start + some[:3]
+                digest.update(some)
+                yield some
+
+        for part in in_parts(noted(make())):
+            if shown := printable(part):
+                yield shown, how
+        if digest.digest() in seen:  # what unpacks to itself
+            break
+        seen.add(digest.digest())
+
+
+def unpacked(make: Callable[[], Iterator[bytes]]) -> Iterator[bytes]:
+    return unpack(some[i : i + STEP] for some in make() for i in range(0, len(some), STEP))
 
 
 def runs(text: str) -> Iterator[tuple[tuple[int, int], ...]]:
@@ -179,20 +252,18 @@ def decoded(layer: Layer) -> Iterator[Layer]:
         yield from in_place(layer, PERCENT, percent, "url")
     if "\\" in text:
         yield from in_place(layer, ESCAPE, escapes, "unicode")
-    for lines in runs(text):
+    every, longest = list(runs(text)), {}
+    for lines in every:
+        longest[lines[0][0]] = max(longest.get(lines[0][0], 0), lines[-1][1])
+    for lines in every:
         run = "".join(text[a:b] for a, b in lines).rstrip("=")
-        if len(run) % 4 == 1:
-            continue
+        run = run[: len(run) - (len(run) % 4 == 1)]
         try:
             raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
         except binascii.Error:
             continue
-        how, inner = "base64", unpack(raw)
-        while inner is not None:  # compressed bytes may hold compressed bytes
-            how, raw = how + "+unpack", inner
-            inner = unpack(raw) if len(raw) < UNPACKED else None
-        shown = printable(raw)
-        if shown:
+        # of runs with the same start the longest unpacks to all that the others do
+        for shown, how in contents(raw, lines[-1][1] == longest[lines[0][0]]):
             yield layer.child([(shown, lines[0][0], lines[-1][1], False)], how)
 
 

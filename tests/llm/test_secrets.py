@@ -95,6 +95,44 @@ def test_cycles_and_bombs_end():
     assert secrets.scan("%25" * 1000)[1] == []
 
 
+def values(raw):
+    return {v for _, k, v in found(f"see {base64.b64encode(raw).decode()} there") if k == "assign"}
+
+
+def test_unclean_layers_are_scanned():
+    assert values(b"user=a\0password=hunter2secret") == {"password=hunter2secret"}
+    assert values(gzip.compress(f"für José {TOKEN} ".encode("latin-1"))) == {TOKEN}
+    assert values(f"some � {TOKEN}".encode()) == {TOKEN}
+    assert [f[1:] for f in found("tok%65n%ff%3Dx %ff%74oken=abcdef123456")] == [("assign", TOKEN)]
+    escaped = "\\U00110000" + "".join(f"\\u{ord(c):04x}" for c in TOKEN)
+    assert [f[2] for f in found(escaped)] == [TOKEN]
+
+
+def test_broken_and_several_members():
+    own = random.Random(4).randbytes(2000).hex()
+    whole = gzip.compress(f"{TOKEN} {own}".encode())
+    assert values(whole[:-200]) == values(whole[:-8] + b"x" * 8) == {TOKEN}
+    for at in range(300, len(whole) - 8, 97):
+        assert values(whole[:at] + b"\xff" * 40 + whole[at + 40 :]) == {TOKEN}
+    assert values(gzip.compress(b"nothing here") + whole) == {TOKEN}
+    assert values(gzip.compress(b"nothing here") + bytes(9) + whole) == {TOKEN}
+    assert values(gzip.compress(b"nothing here") + f" {TOKEN}".encode()) == {TOKEN}
+    assert values(zlib.compress(gzip.compress(b"nothing here") + whole)) == {TOKEN}
+
+
+def test_large_content_is_scanned_in_parts(monkeypatch):
+    at_end = zlib.compress(b"0 " * (secrets.UNPACKED // 2 + 1) + TOKEN.encode(), 9)
+    assert values(at_end) == {TOKEN}
+    monkeypatch.setattr(secrets, "UNPACKED", 4096)
+    monkeypatch.setattr(secrets, "OUT", 64)
+    inner = base64.b64encode(zlib.compress(f"secret=innermost {random.Random(5).randbytes(300).hex()}".encode())).decode()
+    for before in range(1900, 4400, 61):
+        for hidden, value in ((TOKEN, TOKEN), (inner, "secret=innermost")):
+            raw = ("b c " * 1200)[:before] + f" {hidden} " + "d e " * 3000
+            assert values(gzip.compress(raw.encode())) == {value}
+            assert values(gzip.compress(zlib.compress(raw.encode()))) == {value}
+
+
 def test_rows(spark):
     rows = [*hard(), (50, f"a {TOKEN} b {urllib.parse.quote('passwd=zzzzzzz')}", "en", "a", 1)]
     got = secrets.scan_digests(frame(spark, rows, extra=True)).collect()
