@@ -264,7 +264,23 @@ def decoded(layer: Layer) -> Iterator[Layer]:
             continue
         # of runs with the same start the longest unpacks to all that the others do
         for shown, how in contents(raw, lines[-1][1] == longest[lines[0][0]]):
-            yield layer.child([(shown, lines[0][0], lines[-1][1], False)], how)
+            if how == "base64":
+                yield in_groups(layer, lines, shown, raw)
+            else:
+                yield layer.child([(shown, lines[0][0], lines[-1][1], False)], how)
+
+
+def in_groups(layer: Layer, lines: tuple[tuple[int, int], ...], shown: str, raw: bytes) -> Layer:
+    """The layer of a base64 run that is not compressed: characters come from the groups of four that hold their bytes."""
+    codes = np.frombuffer(raw.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), "<u4")
+    stray = (codes >= 0xDC80) & (codes <= 0xDCFF)  # one byte each
+    ends = np.cumsum(np.where(stray, 1, 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)))
+    firsts = np.r_[0, ends[:-1]]
+    at = np.concatenate([np.arange(a, b) for a, b in lines])
+    start, end = at[firsts // 3 * 4], at[np.minimum((ends - 1) // 3 * 4 + 3, len(at) - 1)] + 1
+    if layer.start is not None:
+        start, end = layer.start[start], layer.end[end - 1]
+    return Layer(shown, start, end, (*layer.path, "base64"))
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, str, str]]]:
@@ -275,7 +291,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
     given as the part of the text that its characters were decoded from.
     """
     base = sorted(base_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))
-    spans = {(a, b, k): (text[a:b], "") for a, b, k in base}
+    spans = {(a, b, k, text[a:b]): "" for a, b, k in base}
     work, seen = deque([Layer(text, None, None)]), {hash_of(text, 0, len(text))}
     while work:
         layer = work.popleft()
@@ -288,10 +304,10 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
             seen.add(mark)
             for a, b, kind in base_spans(new.text):
                 x, y = new.origin(a, b)
-                spans.setdefault((x, y, kind), (new.text[a:b], ">".join(new.path)))
+                spans.setdefault((x, y, kind, new.text[a:b]), ">".join(new.path))
             work.append(new)
     every = sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
-    return base, [(a, b, k, *spans[a, b, k]) for a, b, k in every]
+    return base, [(*s, spans[s]) for s in every]
 
 
 def hash_of(text: str, a: int, b: int) -> bytes:
@@ -299,7 +315,8 @@ def hash_of(text: str, a: int, b: int) -> bytes:
 
 
 def joined(spans: list[tuple]) -> str:
-    return ",".join(f"{s[2]}:{s[0]}:{s[1]}" for s in spans)
+    """kind:start:end of each span, once also where it hides several values."""
+    return ",".join(dict.fromkeys(f"{s[2]}:{s[0]}:{s[1]}" for s in spans))
 
 
 def scan_documents(docs: DataFrame, column: str = "text") -> DataFrame:

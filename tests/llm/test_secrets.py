@@ -133,6 +133,23 @@ def test_large_content_is_scanned_in_parts(monkeypatch):
             assert values(gzip.compress(zlib.compress(raw.encode()))) == {value}
 
 
+def test_every_value_of_a_run(spark):
+    two = "first password=hunter22 then é� password=hunter33 end"
+    run = base64.b64encode(two.encode()).decode()
+    wrapped = "\n".join([run[:28], run[28:56], run[56:]])
+    for text in (f"see {run} there", f"see {wrapped} there", f"see {urllib.parse.quote(run)} there"):
+        spans = [s for s in secrets.scan(text)[1] if s[3] in ("password=hunter22", "password=hunter33")]
+        assert [s[3] for s in spans] == ["password=hunter22", "password=hunter33"], text
+        for a, b, _, value, _ in spans:
+            assert value.encode() in base64.b64decode(urllib.parse.unquote(text[a:b])) and b - a < 40
+    packed = base64.b64encode(gzip.compress(two.encode())).decode()
+    rows = [(1, f"see {packed} there", "en", "a", 1)]
+    got = secrets.scan_documents(frame(spark, rows)).collect()
+    assert sorted(r.value for r in got) == ["password=hunter22", "password=hunter33"]
+    assert {(r.start, r.end) for r in got} == {(4, 4 + len(packed))}
+    assert secrets.scan_digests(frame(spark, rows)).first().spans == f"assign:4:{4 + len(packed)}"
+
+
 def test_rows(spark):
     rows = [*hard(), (50, f"a {TOKEN} b {urllib.parse.quote('passwd=zzzzzzz')}", "en", "a", 1)]
     got = secrets.scan_digests(frame(spark, rows, extra=True)).collect()
