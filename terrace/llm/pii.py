@@ -24,9 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MARKS = ".,;:!?()[]{}<>|*#$%&=\"'`"
 SPANS = "array<struct<start:int,end:int,value:string>>"
 FOUND = "array<struct<start:int,end:int,kind:int,value:string>>"
-WINDOW = 4  # words on either side of an entity that may reveal it
-REACH = 160  # characters on either side that are searched for them
-SUPPORT = 3  # different contexts in which a term must stand by an entity
+HIDDEN = "\uffff"  # stands for a base span where terms are told apart; a noncharacter
+SUPPORT = 3  # different texts in which a term must stand with an entity
 DISCLOSURE = 0.9  # share of an entity's information at which a term is taken to reveal it
 PREFIX = 3  # letters that a generalised term keeps
 
@@ -104,53 +103,44 @@ def term(word: Column) -> Column:
     return lowered(F.btrim(word, F.lit(MARKS)))
 
 
-def contexts(text: Column, spans: Column) -> Column:
-    """The terms within ``WINDOW`` words of each span, as (entity, term, start, end, context).
+def text_terms(text: Column) -> Column:
+    """The different terms of a text that is not null."""
+    terms = F.array_distinct(F.transform(words(lowered(text)), lambda w: F.btrim(w, F.lit(MARKS))))
+    return F.filter(terms, lambda t: t != "")
 
-    ``context`` is a hash of all terms around the span. Words that are cut off
-    or part of another span are left out.
-    """
 
-    def around(s: Column, i: Column) -> Column:
-        # spans that may overlap words around this one: each takes 5 characters or more
-        n = REACH // 2
-        beside = F.slice(spans, F.greatest(i - n, F.lit(0)) + 1, 2 * n)
-        begin = F.greatest(s["start"] - REACH, F.lit(0))
-        before = places(text.substr(begin + 1, s["start"] - begin), WORD)
-        before = F.filter(before, lambda x: (begin == 0) | (x["start"] > 0))
-        after_text = text.substr(s["end"] + 1, F.lit(REACH))
-        after = F.filter(
-            places(after_text, WORD), lambda x: (x["end"] < REACH) | (s["end"] + REACH >= F.length(text))
-        )
-        near = F.concat(
-            shifted(let(before, lambda b: F.slice(b, F.greatest(F.size(b) - WINDOW, F.lit(0)) + 1, WINDOW)), begin),
-            shifted(F.slice(after, 1, WINDOW), s["end"]),
-        )
-        return let(near, lambda near: labelled(s, near, beside))
-
-    def shifted(words_: Column, by: Column) -> Column:
-        def trimmed(x: Column) -> Column:
-            start = x["start"] + by + F.length(x["value"]) - F.length(F.ltrim(x["value"], F.lit(MARKS)))
-            t = term(x["value"])
-            return F.struct(t.alias("term"), start.alias("start"), (start + F.length(t)).alias("end"))
-
-        return F.filter(F.transform(words_, trimmed), lambda x: x["term"] != "")
-
-    def labelled(s: Column, near: Column, beside: Column) -> Column:
-        seen = F.xxhash64(F.transform(near, lambda x: x["term"]))
-        clear = F.filter(near, lambda x: ~F.exists(beside, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"])))
-        return F.transform(
-            clear,
-            lambda x: F.struct(
-                entity(s).alias("entity"),
-                x["term"].alias("term"),
-                x["start"].alias("start"),
-                x["end"].alias("end"),
-                seen.alias("context"),
-            ),
+def own_terms(text: Column, spans: Column) -> Column:
+    """The different terms of a text, without words that are part of a span."""
+
+    def gap(s: Column, i: Column) -> Column:
+        # a span that holds blanks has at most 19 digits, so few spans begin within it
+        past = F.array_max(F.transform(F.slice(spans, F.greatest(i - 8, F.lit(0)) + 1, F.least(i, F.lit(8))), lambda o: o["end"]))
+        begin = F.coalesce(past, F.lit(0))
+        return text.substr(begin + 1, F.greatest(s["start"] - begin, F.lit(0)))
+
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+    rest = text.substr(last + 1, F.length(text))
+    clear = F.array_join(F.concat(F.transform(spans, gap), F.array(rest)), HIDDEN)
+    kept = F.filter(words(lowered(clear)), lambda w: ~F.contains(w, F.lit(HIDDEN)))
+    terms = F.array_distinct(F.transform(kept, lambda w: F.btrim(w, F.lit(MARKS))))
+    return F.filter(terms, lambda t: t != "")
+
+
+def occurrences(text: Column, shown: Column) -> Column:
+    """All places in a text of the terms that are keys of the map ``shown``."""
+
+    def trimmed(x: Column) -> Column:
+        start = x["start"] + F.length(x["value"]) - F.length(F.ltrim(x["value"], F.lit(MARKS)))
+        t = term(x["value"])
+        return F.struct(
+            start.alias("start"),
+            (start + F.length(t)).alias("end"),
+            F.lit(KINDS.index("term")).alias("kind"),
+            t.alias("value"),
+            F.try_element_at(shown, t).alias("shown"),
         )
 
-    return F.flatten(F.transform(spans, around))
+    return F.filter(F.transform(places(text, WORD), trimmed), lambda x: x["shown"].isNotNull())
 
 
 def joined(spans: Column) -> Column:
@@ -163,83 +153,113 @@ def joined(spans: Column) -> Column:
     return F.array_join(text, ",")
 
 
+def digest(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
 def found(docs: DataFrame, *keep: str) -> DataFrame:
-    """Per row: columns to keep, a digest of the text, its base spans and the terms around them."""
+    """Per row: columns to keep, a digest of the text, its base spans, and its terms if it has such spans."""
     text = F.col("__text")
     rows = docs.select(*keep, whole().alias("__text"))
-    rows = rows.select(*keep, "__text", F.md5(text.cast("binary")).alias("key"), base_spans(text).alias("spans"))
-    near = let(F.col("spans"), lambda s: contexts(text, s))
-    none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int,context:bigint>>")
-    return rows.select(*keep, "key", "spans", F.when(F.size("spans") > 0, near).otherwise(none).alias("contexts"))
+    rows = rows.select(*keep, "__text", digest(text).alias("key"), base_spans(text).alias("spans"))
+    none = F.array().cast("array<string>")
+    own = F.when(F.size("spans") > 0, let(F.col("spans"), lambda s: own_terms(text, s))).otherwise(none)
+    return rows.select(*keep, "key", "spans", own.alias("own"))
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """In how many rows of ``docs`` each term stands."""
-    terms = F.array_distinct(F.transform(words(lowered(whole())), lambda w: F.btrim(w, F.lit(MARKS))))
-    return docs.select(F.explode(terms).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("n_term"))
+    return docs.select(F.explode(text_terms(whole())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
 
 
 def disclosures(rows: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
     """Terms that reveal an entity, with what to put in their place.
 
     All probabilities are shares of documents. The information of an entity is
-    IC(e) = -log2 p(e), and a term near it gives away PMI(t;e) = log2 p(t,e) /
-    (p(t) p(e)) of that. From ``DISCLOSURE`` of it on the term is taken to
-    reveal the entity, if it stood by it in ``SUPPORT`` different contexts;
-    copies of a text are one context. A term is generalised to its first
-    letters if all terms with these reveal less than that, and removed if not.
+    IC(e) = -log2 p(e), and a term in the same document gives away PMI(t;e) =
+    log2 p(t,e) / (p(t) p(e)) of that. From ``DISCLOSURE`` of it on the term is
+    taken to reveal the entity, if it stood with it in ``SUPPORT`` different
+    texts; copies of a text are one. A term is generalised to its first letters
+    if all terms with these reveal less than that, and removed if not. As p(t,e)
+    is at most p(e), a term can only reveal entities that are not much rarer,
+    so that other pairs need not be formed.
     """
-    near = rows.where(F.size("contexts") > 0)
-    pair = lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))
-    triple = lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"), c["context"].alias("context"))
-    together = near.select(F.explode(F.array_distinct(F.transform("contexts", pair))).alias("p"))
-    together = together.groupBy("p.entity", "p.term").agg(F.count("*").alias("n_both"))
-    support = near.select(F.explode(F.array_distinct(F.transform("contexts", triple))).alias("t"))
-    support = support.select("t.*").distinct().groupBy("entity", "term").agg(F.count("*").alias("support"))
-    support = support.where(F.col("support") >= SUPPORT)
-    entities = rows.select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    candidates = stored(support.join(together, ["entity", "term"]).join(entities, "entity"), "candidates")
-
-    prefix = F.substring("term", 1, PREFIX)
-    families = candidates.groupBy("entity", "n_entity", prefix.alias("prefix")).agg(F.sum("n_both").alias("n_both_family"))
-    masses = terms.groupBy(prefix.alias("prefix")).agg(F.sum("n_term").alias("n_family"))
-    families = families.join(masses, "prefix")
+    n = F.lit(float(n_docs))
+    texts = rows.where(F.size("spans") > 0).groupBy("key").agg(
+        F.count("*").alias("copies"),
+        F.first(F.array_distinct(F.transform("spans", entity))).alias("entities"),
+        F.first("own").alias("own"),
+    )
+    texts = stored(texts, "texts")
+    named = texts.select("key", "copies", F.explode("entities").alias("entity"))
+    entities = named.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("n_texts"))
+    entities = stored(entities.where(F.col("n_texts") >= SUPPORT).drop("n_texts"), "entities")
+    most = n * F.pow(F.col("n_entity") / n, F.lit(DISCLOSURE)) * (1 + 1e-9)
+    named = named.join(entities, "entity").withColumn("most", most)
+    # only texts that name an entity so often, and only terms rare enough for one of it
+    named = stored(named, "named")
+    limits = stored(named.groupBy("key").agg(F.max("most").alias("limit")), "limits")
+    own = texts.select("key", F.explode("own").alias("term")).join(limits, "key")
+    rare = terms.where(F.col("n_term") >= SUPPORT)
+    own = own.join(rare, "term").where(F.col("n_term") <= F.col("limit")).drop("limit")
+    together = named.join(own, "key").where(F.col("n_term") <= F.col("most"))
+    candidates = together.groupBy("entity", "term", "n_entity", "n_term").agg(
+        F.sum("copies").alias("n_both"), F.count("*").alias("support")
+    )
 
     def share(both: str, of: str) -> Column:
-        n = F.lit(float(n_docs))
         pmi = F.log2(n * F.least(both, of) / (F.col(of) * F.col("n_entity")))
         return F.try_divide(pmi, F.log2(n / F.col("n_entity")))
 
-    risky = candidates.join(terms, "term").where(share("n_both", "n_term") >= DISCLOSURE)
-    general = families.select("entity", "prefix", (share("n_both_family", "n_family") < DISCLOSURE).alias("safe"))
-    risky = risky.withColumn("prefix", prefix).join(general, ["entity", "prefix"], "left")
+    prefix = F.substring("term", 1, PREFIX)
+    risky = candidates.where((F.col("support") >= SUPPORT) & (share("n_both", "n_term") >= DISCLOSURE))
+    risky = stored(risky.select("entity", "n_entity", "term", prefix.alias("prefix")), "risky")
+
+    families = stored(risky.select("entity", "prefix").distinct(), "families")
+    heads = texts.select("key", F.explode("own").alias("term")).groupBy("key", prefix.alias("prefix"))
+    heads = heads.agg(F.count("*").alias("n_heads")).join(families.select("prefix").distinct(), "prefix", "left_semi")
+    shared = named.join(families, "entity").join(heads, ["key", "prefix"]).groupBy("entity", "n_entity", "prefix")
+    shared = shared.agg(F.sum(F.col("copies") * F.col("n_heads")).alias("n_both_family"))
+    masses = terms.groupBy(prefix.alias("prefix")).agg(F.sum("n_term").alias("n_family"))
+    general = shared.join(masses, "prefix")
+    general = general.select("entity", "prefix", (share("n_both_family", "n_family") < DISCLOSURE).alias("safe"))
+    risky = risky.join(general, ["entity", "prefix"], "left")
     shown = F.when(F.col("safe") & (F.length("term") > PREFIX), F.concat("prefix", F.lit("*"))).otherwise(F.lit(""))
     return risky.select("entity", "term", shown.alias("shown"))
 
 
-def term_spans(rows: DataFrame, risky: DataFrame) -> DataFrame:
-    """For each text (by digest) with terms that reveal an entity beside them, their spans."""
-    one = rows.where(F.size("contexts") > 0).select("key", F.explode("contexts").alias("c"))
-    one = one.select("key", "c.entity", "c.term", "c.start", "c.end").distinct()
-    hits = one.join(risky, ["entity", "term"])
-    span = F.struct("start", "end", F.lit(KINDS.index("term")).alias("kind"), F.col("term").alias("value"), "shown")
-    return hits.groupBy("key").agg(F.collect_set(span).alias("terms"))
+def term_spans(docs: DataFrame, risky: DataFrame) -> DataFrame:
+    """For each text (by digest) with terms that reveal an entity, wherever that stands, all places of them.
+
+    What is removed for one entity is not shown in part for another.
+    """
+    risky = stored(risky.groupBy("term").agg(F.min("shown").alias("shown")), "shown")
+    texts = docs.select(whole().alias("text")).withColumn("key", digest(F.col("text")))
+    hits = texts.select("key", F.explode(text_terms(F.col("text"))).alias("term")).join(risky, "term")
+    hits = stored(hits.groupBy("key").agg(F.collect_set(F.struct("term", "shown")).alias("shown")), "hits")
+    # a small table that keeps texts without such terms from being shuffled
+    mark = F.xxhash64("key").alias("mark")
+    marks = stored(hits.select(mark).distinct(), "marks")
+    texts = texts.withColumn("mark", mark).join(marks, "mark", "left_semi")
+    every = texts.join(hits, "key").select("key", occurrences(F.col("text"), F.map_from_entries("shown")).alias("terms"))
+    return every.groupBy("key").agg(F.first("terms").alias("terms"))
 
 
 def detect(docs: DataFrame, *keep: str) -> DataFrame:
     """Base spans and term spans of every row of ``docs``, beside columns to keep.
 
     Null texts count as empty; rows are never merged or dropped. The terms of
-    equal texts are the same, so they are joined by the text's digest.
+    equal texts are the same, so they are joined by the text's digest. Terms
+    that are part of a base span have no span of their own.
     """
     rows = stored(found(docs, *keep), "found")
     terms = stored(vocabulary(docs), "terms")
-    risky = stored(disclosures(rows, terms, max(1, rows.count())), "risky")
-    near = stored(term_spans(rows, risky), "near")  # tables: Spark can split a hot key of the other side
-    spans = rows.drop("contexts").join(near, "key", "left")
+    risky = stored(disclosures(rows, terms, max(1, rows.count())), "disclosures")
+    near = stored(term_spans(docs, risky), "near")  # tables: Spark can split a hot key of the other side
+    spans = rows.drop("own").join(near, "key", "left")
     none = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,shown:string>>")
-    return spans.withColumn("terms", F.coalesce("terms", none))
+    clear = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return spans.withColumn("terms", F.when(F.col("terms").isNull(), none).otherwise(clear))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

@@ -85,6 +85,29 @@ def test_terms_that_reveal_an_entity(spark):
         assert terms == ({"Marigold", "Zeta"} if r.doc_id < 100 else set())
 
 
+def term_values(spark, rows):
+    got = {r.doc_id: r.spans for r in pii.digests(frame(spark, rows)).collect()}
+    text = {r[0]: r[1] for r in rows}
+    return {i: [text[i][int(a) : int(b)] for a, b in re.findall(r"term:(\d+):(\d+)", s)] for i, s in got.items()}
+
+
+def test_terms_go_wherever_they_stand(spark):
+    far = " ".join(f"far{k}" for k in range(40))
+    rows = [(i, f"Marigold own{i} {far} mari.z@corp.com then {far} (marigold) was{i}", "en", "a", 0) for i in range(4)]
+    rows += [(50, "no address here but Marigold, twice Marigold", "en", "a", 0)]
+    rows += [(100 + i, f"{far} then other text {i}", "en", "a", 0) for i in range(90)]
+    got = term_values(spark, rows)
+    assert all(got[i] == ["Marigold", "marigold"] for i in range(4))
+    assert got[50] == ["Marigold", "Marigold"] and not any(got[100 + i] for i in range(90))
+
+
+def test_the_same_signature_in_different_texts_reveals(spark):
+    rows = [(i, f"letter{i} body{i}\nJane Doe, Sales, Acme <jane@acme.org> phone +1 555 123 4567", "en", "a", 0) for i in range(20)]
+    rows += [(100 + i, f"sales and phone {i} for all", "en", "a", 0) for i in range(400)]
+    got = term_values(spark, rows)
+    assert all(got[i] == ["Jane", "Doe", "Acme"] for i in range(20)) and not any(got[100 + i] for i in range(400))
+
+
 def test_copies_of_one_context_reveal_nothing(spark):
     rows = [(i, "call Marigold at mari.z@corp.com today", "en", "a", 0) for i in range(50)]
     rows += [(100 + i, f"other text {i}", "en", "a", 0) for i in range(50)]
