@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from terrace.llm.text import list_chunks, list_column, lowered, remainder, stored, whole, words
 from terrace.llm.trie import Trie
 
-FREQUENT = 4096  # a word with this part of all tokens, or more, is dealt out by its pairs; there are no more such words
+#: A word with this part of all tokens, or more, is dealt out by its pairs, and a pair is scored where it stands;
+#: there are no more such words and pairs.
+FREQUENT = 4096
 PER_SHARD = 1_200_000  # tokens of a shard, about
 PRIOR = 64.0  # tokens that the word's own probability weighs against the counts of a context
 TRAINED = 1 << 15
 ENTRY = np.dtype([("doc", "<u2"), ("score", "<f8"), ("base", "<f8"), ("known", "<u4")])
-HEAD = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("held_out", "u1"), ("n_tokens", "<i8")])
+HEAD = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("held_out", "u1"), ("n_tokens", "<i8"), ("score", "<f8"), ("base", "<f8"), ("known", "<u4")])
 
 
 def tokens(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -34,11 +36,64 @@ def tokens(docs: DataFrame, held_out: Column) -> DataFrame:
 
 
 def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each chunk of texts with their numbers."""
+    """The words of each chunk of texts with their numbers, in training and in all."""
     for batch in batches:
         for chunk in list_chunks(batch, "tokens", 1 << 20) if batch.num_rows else ():
-            word, n = np.unique(list_column(chunk, "tokens")[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(n, pa.int64())], names=["word", "n"])
+            held_out = chunk.column("held_out")
+            for part, trained in ((chunk.filter(pc.invert(held_out)), 1), (chunk.filter(held_out), 0)):
+                if part.num_rows:
+                    word, n = np.unique(list_column(part, "tokens")[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word, pa.int64()), pa.array(n * trained, pa.int64()), pa.array(n, pa.int64())],
+                        names=["word", "n", "m"],
+                    )
+
+
+def placed(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, context and row of each token. A context is the upper half of the hash of the word before, 0 at the start."""
+    flat, offsets = list_column(chunk, "tokens")
+    word = flat.view(np.uint64)
+    context = np.r_[np.zeros(1, dtype=np.uint32), (word[:-1] >> np.uint64(32)).astype(np.uint32)]
+    context[offsets[:-1]] = 0
+    return word, context, np.repeat(np.arange(chunk.num_rows), np.diff(offsets))
+
+
+def position(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Where each value stands in a sorted array, -1 if nowhere."""
+    if not len(sorted_):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return np.where(sorted_[at] == values, at, -1)
+
+
+def pair_key(word_at: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """One number for a frequent word's place and a context."""
+    return word_at.astype(np.int64) << 32 | context.astype(np.int64)
+
+
+def frequent_pairs(rows: DataFrame, frequent: np.ndarray, every: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and training counts of the pairs with 1 / ``FREQUENT`` of all tokens or more, by key.
+
+    Both words of such a pair are frequent, unless it stands at the start.
+    """
+    contexts = np.unique(np.r_[np.zeros(1, dtype=np.uint32), (frequent >> np.uint64(32)).astype(np.uint32)])
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in list_chunks(batch, "tokens", 1 << 20) if batch.num_rows else ():
+                word, context, row = placed(chunk)
+                at = position(frequent, word)
+                may = (at >= 0) & (position(contexts, context) >= 0)
+                trained = ~chunk.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                keys, inverse = np.unique(pair_key(at[may], context[may]), return_inverse=True)
+                n = np.bincount(inverse, trained[row[may]], len(keys)).astype(np.int64)
+                m = np.bincount(inverse, minlength=len(keys))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, n, m)], names=["pair", "n", "m"])
+
+    some = rows.select("tokens", "held_out").mapInArrow(count, "pair long, n long, m long").groupBy("pair")
+    top = some.agg(F.sum("n").alias("n"), F.sum("m").alias("m")).where(F.col("m") * FREQUENT >= every).toPandas()
+    top = top.sort_values("pair")  # at most FREQUENT rows
+    return top["pair"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -46,19 +101,15 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def deal(chunk: pa.RecordBatch, shards: int, frequent: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def deal(
+    word: np.ndarray, context: np.ndarray, doc: np.ndarray, shards: int, frequent: np.ndarray
+) -> Iterator[tuple[int, bytes]]:
     """The tokens of some documents for each shard: words with their counts, contexts and documents.
 
-    A token goes by its word, that of a frequent word by its pair. A context is
-    the upper half of the hash of the word before, 0 at the start.
+    A token goes by its word, that of a frequent word by its pair.
     """
-    flat, offsets = list_column(chunk, "tokens")
-    word = flat.view(np.uint64)
-    doc = np.repeat(np.arange(chunk.num_rows, dtype=np.uint16), np.diff(offsets))
-    trained = ~chunk.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-    doc |= np.where(trained, TRAINED, 0).astype(np.uint16)[doc]
-    context = np.r_[np.zeros(1, dtype=np.uint32), (word[:-1] >> np.uint64(32)).astype(np.uint32)]
-    context[offsets[:-1]] = 0
+    if not len(word):
+        return
     mark = scrambled(word)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)
@@ -155,13 +206,19 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     the contexts of one word by 32 bits.
     """
     rows = tokens(docs, held_out)
-    some = rows.where(~F.col("held_out")).select("tokens").mapInArrow(counted, "word long, n long")
-    vocabulary = stored(some.groupBy("word").agg(F.sum("n").alias("count")), "vocabulary")
-    distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
-    top = vocabulary.where(F.col("count") * FREQUENT >= total).toPandas()  # at most FREQUENT rows
+    some = rows.select("tokens", "held_out").mapInArrow(counted, "word long, n long, m long")
+    vocabulary = stored(some.groupBy("word").agg(F.sum("n").alias("count"), F.sum("m").alias("every")), "vocabulary")
+    sums = [F.count_if(F.col("count") > 0), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("count", "every")]]
+    distinct, total, every = vocabulary.agg(*sums).first()
+    top = vocabulary.where(F.col("every") * FREQUENT >= every).toPandas()  # at most FREQUENT rows
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, counts = frequent[order], top["count"].to_numpy(np.int64)[order]
+    pairs, pair_counts = frequent_pairs(rows, frequent, every)
+    # what a shard would find for them, as their counts are known
+    pair_word = counts[pairs >> 32]
+    pair_prior = PRIOR * (pair_word + 1) / (total + distinct + 1)
+    pair_score = np.log10(pair_counts + pair_prior) - np.log10(pair_word + PRIOR)
     shards = total // PER_SHARD + 2
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +232,18 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 head["doc_id"] = chunk.column("doc_id").fill_null(0).to_numpy()
                 head["held_out"] = chunk.column("held_out").to_numpy(zero_copy_only=False)
                 head["n_tokens"] = np.diff(list_column(chunk, "tokens")[1])
+                word, context, row = placed(chunk)
+                at = position(frequent, word)
+                pair = np.where(at >= 0, position(pairs, pair_key(np.maximum(at, 0), context)), -1)
+                hot = pair >= 0
+                own, own_row = pair[hot], row[hot]
+                head["score"] = np.bincount(own_row, pair_score[own], chunk.num_rows)
+                head["base"] = np.bincount(own_row, np.log10(pair_word[own] + 1.0), chunk.num_rows)
+                head["known"] = np.bincount(own_row, pair_word[own] > 0, chunk.num_rows)
+                doc = row.astype(np.uint16) | np.where(head["held_out"] > 0, 0, TRAINED).astype(np.uint16)[row]
                 parts = [(where % shards, True, head.tobytes())]
-                parts += [(shard, False, raw) for shard, raw in deal(chunk, shards, frequent)]
+                rest = deal(word[~hot], context[~hot], doc[~hot], shards, frequent)
+                parts += [(shard, False, raw) for shard, raw in rest]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([p[0] for p in parts], pa.int64()),
@@ -204,8 +271,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         flags, raws = table["head"].to_pylist(), table["raw"].to_pylist()
         head = np.frombuffer(next(r for r, f in zip(raws, flags) if f), HEAD)
         n = len(head)
-        entries = np.concatenate([np.frombuffer(r, ENTRY) for r, f in zip(raws, flags) if not f])
-        add = lambda name: np.bincount(entries["doc"], entries[name], n)
+        entries = np.concatenate([np.zeros(0, ENTRY), *[np.frombuffer(r, ENTRY) for r, f in zip(raws, flags) if not f]])
+        add = lambda name: head[name] + np.bincount(entries["doc"], entries[name], n)
         return pa.table(
             {
                 "doc_id": pa.array(head["doc_id"], pa.int64(), mask=head["null"] > 0),

@@ -73,6 +73,25 @@ def test_scores_against_brute_force(spark, monkeypatch, per_shard):
         assert abs(g[5] - w[5]) < 1e-6 * abs(w[5]) and abs(g[6] - w[6]) < 2e-3 * abs(w[6])
 
 
+def test_a_hot_pair_is_not_one_group(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "PER_SHARD", 500)
+    monkeypatch.setattr(ngrams, "FREQUENT", 32)
+    score_shard = ngrams.score_shard
+
+    def bounded(parts, *more):
+        assert sum(len(ngrams.dealt(p)[0]) for p in parts) < 4 * 500
+        return score_shard(parts, *more)
+
+    monkeypatch.setattr(ngrams, "score_shard", bounded)
+    rng = np.random.default_rng(4)
+    own = lambda: " ".join(f"w{x}" for x in rng.integers(0, 900, 60))
+    docs = [(i, f"{own()} {'the ' * 100}{own()}", "", "", 0) for i in range(80)] + [(500, "the", "", "", 0), (501, None, "", "", 0)]
+    got = sorted(map(tuple, ngrams.score_documents(frame(spark, docs)).collect()), key=str)
+    for g, w in zip(got, brute(docs), strict=True):
+        assert g[:5] == w[:5]
+        assert abs(g[5] - w[5]) < 1e-6 * abs(w[5]) and abs(g[6] - w[6]) < 2e-3 * abs(w[6])
+
+
 def test_probabilities_sum_to_one(spark):
     docs = [(i, "a b a c", "", "", 0) for i in (1, 3)] + [(4, "b b", "", "", 0)]
     asked = ["a", "b", "c", "zz"]
