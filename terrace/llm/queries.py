@@ -4,20 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import fm, iblt, jaccard, lines, mix, ngrams, pieces, pii, rules, secrets
+from terrace.llm import (
+    fm,
+    iblt,
+    jaccard,
+    lines,
+    merkle,
+    mix,
+    ngrams,
+    packing,
+    pieces,
+    pii,
+    prefixes,
+    rules,
+    secrets,
+)
 
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def piece_model() -> str:
-    """Where the public vocabulary file lies."""
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies."""
     import public_tokenizers
 
-    return public_tokenizers.path(PIECES)
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return vocabulary(PIECES)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +79,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORDS))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_fingerprints": op2_fingerprints,
@@ -71,6 +102,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_packing": op11_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,

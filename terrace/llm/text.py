@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.session import shared_dir
@@ -83,6 +85,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def shipped(spark: SparkSession, path: str) -> Broadcast:
+    """The content of a file of the driver, such as a vocabulary of a few MB, for tasks to read."""
+    return spark.sparkContext.broadcast(Path(path).read_bytes())
+
+
 def bounded(batch: pa.RecordBatch, sizes: np.ndarray, most: int, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose ``sizes`` add up to about ``most``; a larger row is a slice alone."""
     start, held = 0, 0
