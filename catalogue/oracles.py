@@ -172,7 +172,7 @@ ORACLES = {
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "unused_left_join_repeats": """
         SELECT o_orderkey, o_custkey FROM orders
-        LEFT JOIN (SELECT l_orderkey FROM lineitem WHERE l_orderkey % 3 > 0) ON o_orderkey = l_orderkey""",
+        LEFT JOIN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') ON o_orderkey = l_orderkey""",
     "not_null_report": result(
         "o_orderstatus_not_null", "drop_row", gaps("o_orderstatus IS NULL")
     )
@@ -244,14 +244,24 @@ ORACLES = {
         SELECT o_orderkey AS k, o_orderstatus AS flag FROM orders
         UNION ALL
         SELECT CASE WHEN l_returnflag <> 'R' THEN -1 - l_orderkey END, l_linestatus FROM lineitem""",
-    "upsert_touched_partitions": f"""
-        WITH few AS (SELECT * FROM ({CHANGED}) WHERE o_orderkey % 97 = 5),
-        odd AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE -8 END AS o_orderkey, o_orderstatus, o_totalprice
-                FROM ({CHANGED}) WHERE o_orderkey % 89 = 7)
-        SELECT * FROM few
-        UNION ALL SELECT * FROM odd
-        UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-                  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM few)""",
+    "upsert_touched_partitions": """
+        WITH old AS (SELECT cast(cast(o_orderdate AS date) AS varchar) AS day, o_orderkey, o_orderpriority AS note FROM orders),
+        last AS (SELECT max(day) AS day FROM old)
+        SELECT day, CASE WHEN l THEN -1 ELSE o_orderkey END AS o_orderkey, CASE WHEN l THEN 'closed' ELSE note END AS note
+        FROM (SELECT *, day = (SELECT day FROM last) AS l FROM old)
+        UNION ALL
+        SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN 'no day' END, o_orderkey, 'open'
+        FROM orders WHERE o_orderstatus = 'P'""",
+    "upsert_bucketed": UPSERTED,
+    "append_compacted": """
+        SELECT id, name, nation, true AS few_files FROM (
+          SELECT c_custkey AS id, c_name AS name, cast(NULL AS int) AS nation FROM customer
+          UNION ALL SELECT s_suppkey, NULL, s_nationkey FROM supplier), range(3) AS times(k)""",
+    "csv_malformed": """
+        SELECT cast(o_orderkey AS varchar) AS id, o_orderstatus AS status, o_orderpriority AS priority, 'FAIL' AS bad_status,
+               (SELECT count(*) FROM orders WHERE o_orderpriority IN ('5-LOW', '1-URGENT')) AS bad_lines
+        FROM orders WHERE o_orderpriority NOT IN ('5-LOW', '1-URGENT')""",
+    "gold_sorted": f"SELECT *, cast(0 AS bigint) AS overlaps FROM ({FACT})",
     "csv_to_silver": silver_customers(0),
     "silver_reload": f"""
         WITH old AS ({silver_customers(0)}), new AS ({silver_customers(100)})

@@ -32,6 +32,7 @@ from terrace.plans.credit_risk import (
     gold_sql_spec,
     ordered_by_risk,
 )
+from terrace.session import written
 from terrace.sources import read_csv, read_source
 
 VALUATION = (
@@ -213,7 +214,7 @@ def unused_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unused_left_join_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a lookup that has some keys several times and others not at all."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey").where("l_orderkey % 3 > 0")
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey")
     return once_per_match(orders, lines, "o_orderkey", "l_orderkey")
 
 
@@ -251,7 +252,8 @@ def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered_by_risk(gold_risk_fact(spark, sf_dir))
+    fact = written(gold_risk_fact(spark, sf_dir), f"{work_folder(spark)}/fact")
+    return ordered_by_risk(fact)
 
 
 # --- data quality -------------------------------------------------------------
@@ -407,18 +409,42 @@ def upsert_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table in 16 partitions by the key's hash; the second load holds a few keys, repeated and null ones."""
+    """Orders by day in 16 partitions; the second load has the last day alone, a new key many times, and null keys."""
     name, path = _new_table(spark, "target")
-    balances = _balances(spark, sf_dir)
-    store.first_load_or_upsert(spark, balances, name, path, "o_orderkey", partition_by=16)
-    few = _changed_balances(spark, sf_dir).where("o_orderkey % 97 = 5")
-    odd = _changed_balances(spark, sf_dir).where("o_orderkey % 89 = 7").selectExpr(
-        "o_totalprice", "if(o_orderkey % 2 = 0, NULL, -8) AS o_orderkey", "o_orderstatus", "not_in_target"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "cast(cast(o_orderdate AS date) AS string) AS day", "o_orderkey", "o_orderpriority AS note"
+    )
+    store.first_load_or_upsert(spark, orders, name, path, "day", partition_by=16)
+    last = orders.groupBy().agg(F.max("day").alias("day")).selectExpr("day", "-1L AS o_orderkey", "'closed' AS note")
+    unknown = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").selectExpr(
+        "if(o_orderpriority = '1-URGENT', NULL, 'no day') AS day", "o_orderkey", "'open' AS note"
     )
-    store.first_load_or_upsert(spark, few.union(odd), name, path, "o_orderkey")
+    store.first_load_or_upsert(spark, last.union(unknown), name, path, "day")
     return spark.table(name).drop(store.PART)
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in 8 buckets by its key, loaded twice more without being shuffled."""
+    name, path = _new_table(spark, "target")
+    store.first_load_or_upsert(spark, _balances(spark, sf_dir), name, path, "o_orderkey", buckets=8)
+    for _ in range(2):
+        store.first_load_or_upsert(spark, _changed_balances(spark, sf_dir), name, path, "o_orderkey")
+    return spark.table(name)
+
+
+def append_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six appends to a table that holds three folders at most, and the number of its files against that."""
+    name, path = _new_table(spark, "parties")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS name").coalesce(1)
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_nationkey AS nation").coalesce(1)
+    for df in (customers, suppliers) * 3:
+        store.append(spark, df, name, path, most=3)
+    files = F.input_file_name()
+    rows = spark.table(name)
+    few = rows.select(files.alias("f")).distinct().count() <= 3
+    return rows.withColumn("few_files", F.lit(few))
+
+
 # --- runs ---------------------------------------------------------------------
 
 
@@ -508,6 +534,34 @@ def gold_sql_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{prefix(base)}gold.credit_risk_fact").drop("_loaded_at")
 
 
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field too many or too few do not reach silver; the rule results count them."""
+    base = work_folder(spark)
+    line = """concat(o_orderkey, ',', o_orderstatus, CASE o_orderpriority WHEN '5-LOW' THEN '' ELSE concat(',', o_orderpriority) END,
+              CASE o_orderpriority WHEN '1-URGENT' THEN ',now' ELSE '' END)"""
+    table(spark, sf_dir, "orders").selectExpr(f"{line} AS line").write.text(f"{base}/source/orders.csv")
+    spec = settings(base) | table_spec("orders_run", "orders", "id", "status", ["id", "status", "priority"], prefix=prefix(base))
+    spec["source"] |= {"has_header": False, "malformed": "drop_row"}
+    run_pipeline(spec, spark=spark)
+    results = spark.table(f"{spec['audit_database']}.{spec['dq_table']}")
+    bad = results.where("rule = 'source_well_formed'").first()
+    silver = spark.table(f"{spec['targets']['silver']['database']}.orders").select("id", "status", "priority")
+    return silver.withColumns({"bad_status": F.lit(bad.status), "bad_lines": F.lit(bad.failed_rows).cast("bigint")})
+
+
+def gold_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gold table sorted by band over its files: each row with the least band of its file, and how files overlap."""
+    name, path = _new_table(spark, "fact")
+    fact = gold_risk_fact(spark, sf_dir)
+    order = ["overall_risk", "client_id", "credit_id", "collateral_value_eur"]
+    store.overwrite(spark, fact, name, path, order_by=order)
+    rows = spark.table(name).withColumn("_file", F.input_file_name())
+    ends = rows.groupBy("_file").agg(F.min("overall_risk").alias("low"), F.max("overall_risk").alias("high"))
+    a, b = ends.alias("a"), ends.alias("b")
+    mixed = a.join(b, (F.col("a.low") < F.col("b.low")) & (F.col("a.high") > F.col("b.low"))).count()
+    return rows.drop("_file").withColumn("overlaps", F.lit(mixed).cast("bigint"))
+
+
 def typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed silver columns; values that do not fit become null and are counted in the rule results."""
     base = work_folder(spark)
@@ -579,6 +633,10 @@ QUERIES = {
         upsert_repeated_target_keys,
         upsert_unmatched_keys,
         upsert_touched_partitions,
+        upsert_bucketed,
+        append_compacted,
+        csv_malformed,
+        gold_sorted,
         csv_to_silver,
         silver_reload,
         run_log,

@@ -76,9 +76,10 @@ def failures(rules: list[Rule], columns: list[str]) -> dict[int, Column]:
     return conditions
 
 
-def failure_counts(rules: list[Rule], columns: list[str]) -> list[Column]:
-    """One counting aggregate per rule, for ``agg`` or ``observe``."""
-    return [F.count_if(c).alias(f"rule_{i}") for i, c in failures(rules, columns).items()]
+def failure_counts(rules: list[Rule], columns: list[str], among: Column | None = None) -> list[Column]:
+    """One counting aggregate per rule, for ``agg`` or ``observe``, over the rows ``among`` all where that is given."""
+    found = failures(rules, columns).items()
+    return [F.count_if(c if among is None else among & c).alias(f"rule_{i}") for i, c in found]
 
 
 def drop_failing(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -147,16 +148,23 @@ def run_checks(df: DataFrame, spec: dict, counts: dict | None = None) -> tuple[D
     return drop_failing(df, rules), evaluate(df, rules, spec.get("identify_by"), counts)
 
 
-def type_failures(df: DataFrame, types: dict[str, str]) -> list[Result]:
-    """Per typed column a result with the number of values that do not fit and become null."""
-    if not types:
-        return []
-    bad = {c: F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull() for c, t in types.items()}
-    counts = df.agg(*[F.count_if(x).alias(f"t{i}") for i, x in enumerate(bad.values())]).first()
-    return [
-        Result(f"{c}_is_{t}", "FAIL" if counts[i] else "PASS", counts[i], None, "set_null")
-        for i, (c, t) in enumerate(types.items())
-    ]
+UNFIT = "_unfit_"  # columns that mark values of the wrong type, see ``try_types``
+
+
+def type_counts(types: dict[str, str]) -> list[Column]:
+    """Per typed column an aggregate over the marks of ``try_types``, for ``agg`` or ``observe``."""
+    return [F.count_if(F.col(f"{UNFIT}{i}")).alias(f"type_{i}") for i in range(len(types))]
+
+
+def type_results(types: dict[str, str], counts: dict) -> list[Result]:
+    """Per typed column a result with the number of values that became null, from the counts of a write."""
+    found = [(f"{c}_is_{t}", counts[f"type_{i}"]) for i, (c, t) in enumerate(types.items())]
+    return [Result(name, "FAIL" if n else "PASS", n, None, "set_null") for name, n in found]
+
+
+def malformed_result(action: str, n: int) -> Result:
+    """The result for lines that did not have the fields of their file."""
+    return Result("source_well_formed", "FAIL" if n else "PASS", n, NO_ID_TEXT if n else None, action)
 
 
 def summary(results: list[Result]) -> dict[str, int]:

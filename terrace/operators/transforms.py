@@ -32,10 +32,17 @@ def cast_double(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in _named(df, columns)})
 
 
-def try_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Give columns their types, in place; a value that does not fit becomes null."""
-    named = zip(_named(df, list(types)), types.values())
-    return df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in named})
+def try_types(df: DataFrame, types: dict[str, str], unfit: str | None = None) -> DataFrame:
+    """Give columns their types, in place; a value that does not fit becomes null.
+
+    ``unfit`` adds a column of that name with a number after it for each type,
+    which tells whether the row's value did not fit.
+    """
+    columns = _named(df, list(types))
+    typed = {c: F.col(f"`{c}`").try_cast(t) for c, t in zip(columns, types.values())}
+    marks = [F.col(f"`{c}`").isNotNull() & x.isNull() for c, x in typed.items()] if unfit else []
+    kept = [typed[c].alias(c) if c in typed else F.col(f"`{c}`") for c in df.columns]
+    return df.select(*kept, *[m.alias(f"{unfit}{i}") for i, m in enumerate(marks)])
 
 
 def enrich(

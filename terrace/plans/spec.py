@@ -27,6 +27,11 @@ def _check(spec: dict) -> None:
             raise ValueError("a source needs the place of its files in source.path")
         if source.get("format", "csv") != "csv":
             raise ValueError("source.format can only be csv")
+        if source.get("malformed") not in (None, "report", "drop_row"):
+            raise ValueError("source.malformed can be report or drop_row")
+    for name, view in (spec.get("views") or {}).items():
+        if not callable(view) and len({"sql", "left_join", "once_per_match"} & set(view)) != 1:
+            raise ValueError(f"view {name} must be one of sql, left_join and once_per_match")
     for layer, target in (spec.get("targets") or {}).items():
         mode = target.get("write_mode", WRITE_MODES.get(layer))
         if mode != WRITE_MODES.get(layer):
@@ -41,7 +46,7 @@ def load_spec(spec: dict | str | Path, settings: dict | str | Path | None = None
 
     Both may be dicts or paths of YAML files; on equal keys the pipeline wins.
     ``{source_base}`` is filled in the source path, ``{catalog}`` in lookup
-    tables and in the SQL of a gold table.
+    tables, in views and in the SQL of a gold table.
     """
     merged = {**_as_dict(settings or {}), **_as_dict(spec)}
     _check(merged)
@@ -51,6 +56,12 @@ def load_spec(spec: dict | str | Path, settings: dict | str | Path | None = None
     _fill(values, "catalog", merged, "gold_sql")
     for step in lookups:
         _fill(values, "catalog", step, "join_table")
+    for view in (merged.get("views") or {}).values():
+        if not callable(view):
+            _fill(values, "catalog", view, "sql")
+            for how in (view.get("left_join"), view.get("once_per_match")):
+                for side in ("left", "right", "keys_of"):
+                    _fill(values, "catalog", how, side)
     return merged
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -16,7 +17,7 @@ MAX_SCAN_TASKS = 100_000
 UNKNOWN = 1 << 62  # Spark gives a size that it does not know as one like this
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-_settings = threading.RLock()
+_settings: dict[int, threading.RLock] = defaultdict(threading.RLock)  # by session
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,6 +43,12 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written(df: DataFrame, place: str) -> DataFrame:
+    """A frame as files at ``place``, read back: what follows, be it several reads, does not compute it again."""
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def few_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
     """A handful of driver-side rows as a frame of one partition."""
     named = [dict(zip(schema.names, row, strict=True)) for row in rows]
@@ -84,13 +91,17 @@ def shuffle_settings(spark: SparkSession, n_bytes: int | None) -> dict[str, str]
 
 
 @contextmanager
-def sized_for(spark: SparkSession, n_bytes: int | None) -> Iterator[dict[str, str]]:
+def sized_for(spark: SparkSession, n_bytes: int | None, buckets: int | None = None) -> Iterator[dict[str, str]]:
     """Run a block under ``shuffle_settings`` and put the old values back.
 
-    The settings belong to the session, so threads that share one take turns.
+    With ``buckets`` shuffles have as many partitions, so that a table dealt into
+    those by its key is joined where it is. The settings belong to the session,
+    so threads that share one take turns.
     """
-    with _settings:
+    with _settings[hash(spark._jsparkSession)]:
         settings = shuffle_settings(spark, n_bytes)
+        if buckets:
+            settings |= dict.fromkeys((INITIAL_PARTITIONS, "spark.sql.shuffle.partitions"), str(buckets))
         before = {name: spark.conf.get(name, None) for name in settings}
         try:
             for name, value in settings.items():

@@ -1,3 +1,3 @@
-from terrace.sources.csv import read_csv, read_source
+from terrace.sources.csv import MALFORMED, read_csv, read_marked_csv, read_source
 
-__all__ = ["read_csv", "read_source"]
+__all__ = ["MALFORMED", "read_csv", "read_marked_csv", "read_source"]

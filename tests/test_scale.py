@@ -6,6 +6,7 @@ from collections import Counter
 from contextlib import contextmanager
 from pathlib import Path
 from urllib.parse import urlparse
+from uuid import uuid4
 
 import pyarrow as pa
 import pytest
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from terrace.operators import quality, store
 from terrace.operators.joins import left_join, once_per_match
 from terrace.operators.transforms import enrich
-from terrace.plans.credit_risk import credit_risk_fact, ordered_by_risk
+from terrace.plans.credit_risk import credit_risk_fact, gold_sql_spec, ordered_by_risk
+from terrace.plans.runs import make_views
+from terrace.plans.spec import load_spec
 from terrace.session import few_rows, input_bytes, scratch, shared_dir, shuffle_settings, sized_for
 from terrace.sources import read_source
 
@@ -174,6 +177,37 @@ def test_fact_splits_hot_clients_and_credits(spark, stored):
     assert sum(n for r, n in rows.items() if r[3] == 7) == plain.where("credit_id = 7").count()
 
 
+def test_fact_of_sql_text_splits_a_hot_credit(spark, stored, tmp_path):
+    """Through the views of its spec, without ``gold_frame``."""
+    database = f"t{uuid4().hex}_silver"
+    store.ensure_database(spark, database, str(tmp_path / "lake"))
+    frames = {
+        "clients": "id AS client_id, 'n' AS name, 'c' AS city, 600 AS credit_score",
+        "credits": "id AS credit_id, id AS client_id, 't' AS credit_type, 1.0 AS total_amount_eur, "
+        "1.0 AS balance_amount_eur, 'ACTIVE' AS status",
+        "collaterals": "if(id % 3 = 0, 7, id % 5000) AS credit_id, 'LAND' AS collateral_type, "
+        "cast(id AS double) AS valuation_eur, id AS stock_id",
+        "market": "id AS market_id",
+    }
+    for name, columns in frames.items():
+        n = 150_000 if name == "collaterals" else 5000
+        df = spark.range(0, n, 1, 8).selectExpr(*split_columns(columns))
+        store.overwrite(spark, df, f"{database}.{name}", str(tmp_path / name))
+    spec = load_spec(gold_sql_spec(database.removesuffix("silver")), {"catalog": "spark_catalog", "source_base": ""})
+    with conf(spark, SKEW):
+        names = make_views(spark, spec)
+        rows, plan = run(spark.sql(spec["gold_sql"]).select("credit_id", "collateral_value_eur"))
+    for name in names:
+        spark.catalog.dropTempView(name)
+    assert re.search(r"SortMergeJoin\(skew=true\)", plan) and "LeftOuter" not in plan
+    assert sum(rows.values()) == 150_000 + 0 and sum(n for r, n in rows.items() if r[0] == 7) >= 50_000
+
+
+def split_columns(text):
+    """Expressions at the commas outside of brackets."""
+    return re.split(r", (?![^(]*\))", text)
+
+
 def test_sort_by_band_has_more_ranges_than_bands(spark, stored):
     fact = stored(
         spark.range(0, 30_000, 1, 4).selectExpr(

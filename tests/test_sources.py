@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
-from terrace.sources import read_csv, read_source
+from terrace.sources import read_csv, read_marked_csv, read_source
 
 
 def rows(df):
@@ -61,3 +61,21 @@ def test_copies_are_removed_after_the_projection_with_nulls_equal(spark, csv):
 def test_all_columns_without_a_list(spark, csv):
     df = read_source(spark, {"source": {"path": csv("a,b\n1,2\n1,2\n")}})
     assert rows(df) == [("1", "2")]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_malformed_lines_are_marked(spark, csv, header):
+    text = "1,2,3\r\n4\r\n5,6,7,8\r\n9,,\r\n\"a,b\",c,d\r\n"
+    path = csv("x,y,z\r\n" * header + text)
+    want = [("1", "3", False), ("4", None, True), ("5", "7", True), ("9", None, False), ("a,b", "d", False)]
+    if header:
+        assert rows(read_marked_csv(spark, path, ["x", "z"])) == want
+    else:
+        df = read_marked_csv(spark, path, ["x", "y", "z"], has_header=False)
+        assert rows(df.drop("y")) == want
+
+
+def test_a_row_is_malformed_if_one_of_its_lines_is(spark, csv):
+    path = csv("a,b\n1,2\n1,2,3\n1,2\n4,5\n")
+    df = read_source(spark, {"source": {"path": path, "columns": ["a", "b"], "malformed": "report"}})
+    assert rows(df) == [("1", "2", True), ("4", "5", False)]

@@ -1,5 +1,6 @@
 import re
 import threading
+import time
 from collections import Counter
 from uuid import uuid4
 
@@ -8,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrace.operators import quality, store
+from terrace.operators import claims, quality, store
 from tests.compare import collected
 
 KV = "k int, v string"
@@ -257,3 +258,225 @@ def test_a_missing_rule_count_is_an_error(spark):
     rules = quality.rules_of({"data_quality": [{"column": "k"}]})
     with pytest.raises(KeyError):
         quality.evaluate(spark.range(1).withColumnRenamed("id", "k"), rules, counts={"rows": 1})
+
+
+def test_errors_of_the_metrics_do_not_stop_a_write():
+    class Broken:
+        @property
+        def get(self):
+            raise RuntimeError("lost")
+
+    assert store._observed(Broken()) is None
+
+
+def test_spread_depends_on_the_row_alone(spark):
+    rows = spark.createDataFrame([(i % 3, f"v{i}") for i in range(500)], KV)
+    dealt = [
+        {tuple(r) for r in df.select("k", "v", store._spread(df).alias("task")).collect()}
+        for df in (rows, rows.repartition(7, "v"), rows.orderBy(F.desc("v")))
+    ]
+    assert dealt[0] == dealt[1] == dealt[2] and len({t for k, _, t in dealt[0] if k == 1}) == 8
+
+
+def test_bucketed_upsert_leaves_the_target_unshuffled(spark, new_table, tmp_path):
+    name, path = new_table
+    old = spark.range(3000).selectExpr("id AS k", "'old' AS v")
+    store.first_load_or_upsert(spark, old, name, path, "k", buckets=4)
+    assert store.buckets_of(spark, name) == 4
+    source = spark.range(0, 9000, 3).selectExpr("id AS k", "'new' AS v")
+    with store.sized_for(spark, 1, 4):
+        plan = store.merged(spark.table(name), store.align(source, spark.table(name).schema), "k", str(tmp_path / "r"), 4)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    side = text[text.index("SortMergeJoin") :]
+    scan = next(i for i, line in enumerate(side.splitlines()) if "Bucketed: true" in line)
+    assert "Exchange" not in "".join(side.splitlines()[:scan]) and "FullOuter" in side
+    for _ in range(2):
+        assert store.first_load_or_upsert(spark, source, name, path, "k")["rows"] == 5000
+        got = {r.k: r.v for r in spark.table(name).collect()}
+        assert len(got) == 5000 and all((v == "new") == (k % 3 == 0) for k, v in got.items())
+        assert store.buckets_of(spark, name) == 4
+    buckets = Counter(f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(name).inputFiles())
+    assert set(buckets.values()) == {1} and len(buckets) == 4
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=pairs, source=pairs)
+def test_bucketed_upsert_against_plain_lists(spark, tmp_path, target, source):
+    want, database = by_hand(target, source), f"t{uuid4().hex}"
+    store.ensure_database(spark, database, str(tmp_path / database))
+    name, path = f"{database}.t", str(tmp_path / database / "t")
+    store.first_load_or_upsert(spark, spark.createDataFrame(target, KV), name, path, "k", buckets=3)
+    if want is None:
+        with pytest.raises(ValueError):
+            store.first_load_or_upsert(spark, spark.createDataFrame(source, KV), name, path, "k")
+        want = Counter(target)
+    else:
+        store.first_load_or_upsert(spark, spark.createDataFrame(source, KV), name, path, "k")
+    assert Counter(tuple(r) for r in spark.table(name).collect()) == want
+
+
+def test_a_table_leaves_its_buckets_when_it_is_replaced(spark, new_table):
+    name, path = new_table
+    store.first_load_or_upsert(spark, spark.createDataFrame([(1, "a")], KV), name, path, "k", buckets=2)
+    store.overwrite(spark, spark.createDataFrame([(2, "b")], KV), name, path)
+    assert store.buckets_of(spark, name) is None and collected(spark.table(name)) == [(2, "b")]
+
+
+def test_one_of_two_interleaved_writers_is_refused(spark, new_table):
+    name, path = new_table
+    store.overwrite(spark, spark.range(3), name, path)
+    start, outcomes = threading.Barrier(2), []
+
+    def write(n):
+        own = spark.newSession()
+        write_version = store.write_version(own.range(n), path)[0]
+        start.wait()
+        try:
+            store.publish(own, name, path, write_version, own.range(1).schema, before)
+            outcomes.append(n)
+        except store.TableChanged:
+            outcomes.append("refused")
+
+    for _ in range(3):
+        before = store.location_of(spark, name)
+        writers = [threading.Thread(target=write, args=(n,)) for n in (10, 20)]
+        for w in writers:
+            w.start()
+        for w in writers:
+            w.join()
+        spark.catalog.refreshTable(name)
+        assert outcomes.count("refused") == 1
+        assert spark.table(name).count() == next(x for x in outcomes if x != "refused")
+        outcomes.clear()
+
+
+def crash_after(monkeypatch, spark, statement, n):
+    """From now on the driver "dies" at the (n+1)-th statement of a kind, and its claim stays."""
+    sql, seen = type(spark).sql, []
+
+    def dying(self, text, *args, **named):
+        if statement in text:
+            seen.append(text)
+            if len(seen) > n:
+                raise KeyboardInterrupt
+        return sql(self, text, *args, **named)
+
+    delete = claims.Folder.delete
+    monkeypatch.setattr(claims.Folder, "delete", lambda self, x: None if x == claims.CLAIM else delete(self, x))
+    monkeypatch.setattr(type(spark), "sql", dying)
+
+
+def parted(spark, new_table):
+    name, path = new_table
+    store.first_load_or_upsert(spark, spark.range(400).selectExpr("id AS k", "'old' AS v"), name, path, "k", 4)
+    return name, path, spark.range(0, 400, 2).selectExpr("id AS k", "'new' AS v")
+
+
+def test_a_half_switched_table_is_completed(spark, new_table, monkeypatch):
+    name, path, source = parted(spark, new_table)
+    with monkeypatch.context() as m:
+        crash_after(m, spark, "SET LOCATION", 1)
+        with pytest.raises(KeyboardInterrupt):
+            store.first_load_or_upsert(spark, source, name, path, "k")
+    spark.catalog.refreshTable(name)
+    assert 0 < spark.table(name).where("v = 'new'").count() < 200
+    monkeypatch.setattr(claims, "WAIT", 0.2)
+    with pytest.raises(claims.TableBusy):  # the claim is young: its writer may be alive
+        store.compact(spark, name, path)
+    monkeypatch.setattr(claims, "STALE", 0.0)
+    store.settle(spark, name, path)
+    assert spark.table(name).where("v = 'new'").count() == 200 and spark.table(name).count() == 400
+    assert claims.Folder(spark, path).age(claims.CLAIM) is None
+
+
+def test_a_claim_without_a_switch_is_dropped(spark, new_table, monkeypatch):
+    """Its writer died before it saw that another one had been faster."""
+    name, path, source = parted(spark, new_table)
+    places = store._places(spark, name, [0, 1, 2, 3])
+    store.first_load_or_upsert(spark, source, name, path, "k")
+    now = store._places(spark, name, [0, 1, 2, 3])
+    late = {"writer": "x", "intent": {"before": places, "parts": {p: f"{path}/gone/_part={p}" for p in places}}}
+    import json
+
+    claims.Folder(spark, path).create(claims.CLAIM, json.dumps(late))
+    monkeypatch.setattr(claims, "STALE", 0.0)
+    store.settle(spark, name, path)
+    assert store._places(spark, name, [0, 1, 2, 3]) == now
+
+
+def test_a_table_that_lost_its_name_on_the_way_gets_it_back(spark, new_table, monkeypatch):
+    name, path = new_table
+    store.overwrite(spark, spark.range(3), name, path)
+    with monkeypatch.context() as m:
+        crash_after(m, spark, "RENAME TO", 1)
+        with pytest.raises(KeyboardInterrupt):
+            store.overwrite(spark, spark.createDataFrame([(1, "a")], KV), name, path)
+    assert not spark.catalog.tableExists(name)
+    monkeypatch.setattr(claims, "STALE", 0.0)
+    store.settle(spark, name, path)
+    assert collected(spark.table(name)) == [(1, "a")]
+    assert len(spark.catalog.listTables(name.split(".")[0])) == 1
+
+
+def test_appends_are_compacted(spark, new_table):
+    name, path = new_table
+    for i in range(10):
+        store.append(spark, spark.createDataFrame([(i, "a")], KV).coalesce(1), name, path, most=4)
+        assert len(spark.table(name).inputFiles()) <= 4
+    store.append(spark, spark.createDataFrame([(10, 0.5)], "k int, x double"), name, path, most=4)
+    store.compact(spark, name, path)
+    assert len(spark.table(name).inputFiles()) == 1
+    got = spark.table(name).orderBy("k").collect()
+    assert [r.k for r in got] == list(range(11)) and got[10].x == 0.5 and got[0].v == "a"
+
+
+def test_appends_of_many_threads_all_arrive(spark, new_table):
+    name, path = new_table
+    frames = [spark.createDataFrame([(i, "a")], KV).coalesce(1) for i in range(12)]
+    threads = [threading.Thread(target=store.append, args=(spark, f, name, path, 5)) for f in frames]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    spark.catalog.refreshTable(name)
+    assert sorted(r.k for r in spark.table(name).collect()) == list(range(12))
+
+
+def test_old_versions_go_when_they_are_long_out_of_use(spark, new_table):
+    name, path = new_table
+    for n in (5, 6, 7):
+        store.overwrite(spark, spark.range(n), name, path)
+    reader = spark.read.parquet(store.location_of(spark, name))
+    store.overwrite(spark, spark.range(8), name, path)
+    assert store.remove_old_versions(spark, name, path, older_than=0.0) == []  # marked now, so out of use since now
+    assert store.remove_old_versions(spark, name, path, older_than=3600.0) == []
+    assert reader.count() == 7  # a version that was read just before
+    time.sleep(0.1)
+    assert len(store.remove_old_versions(spark, name, path, older_than=0.05)) == 3
+    assert spark.table(name).count() == 8
+
+
+def test_partitions_in_use_stay(spark, new_table):
+    name, path, _ = parted(spark, new_table)
+    one = spark.createDataFrame([(7, "new")], "k bigint, v string")
+    for _ in range(3):
+        store.first_load_or_upsert(spark, one, name, path, "k")
+    store.remove_old_versions(spark, name, path, 0.0)
+    time.sleep(0.1)
+    assert len(store.remove_old_versions(spark, name, path, 0.05)) == 3
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 400 and spark.table(name).where("v = 'new'").count() == 1
+
+
+def test_rows_are_sorted_over_all_files(spark, new_table):
+    name, path = new_table
+    df = spark.range(0, 5000, 1, 4).selectExpr("hash(id) AS h", "id")
+    store.overwrite(spark, df, name, path, order_by=["h", "id"])
+    files = [f for f in spark.table(name).inputFiles()]
+    ends = []
+    for f in files:
+        hs = [r.h for r in spark.read.parquet(f).collect()]
+        assert hs == sorted(hs)
+        ends += [(hs[0], hs[-1])] if hs else []
+    ends.sort()
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:])) and spark.table(name).count() == 5000

@@ -124,9 +124,13 @@ def test_values_that_do_not_fit_become_null(spark):
     out = transforms.try_types(df, {"A": "int", "b": "double"})
     assert out.dtypes == [("a", "int"), ("B", "double")]
     assert collected(out) == [(1, 2.5), (None, 3.0), (None, None)]
-    found = quality.type_failures(df, {"A": "int", "b": "double"})
+    types = {"A": "int", "b": "double"}
+    marked = transforms.try_types(df, types, quality.UNFIT)
+    assert marked.columns == ["a", "B", "_unfit_0", "_unfit_1"]
+    counts = marked.agg(*quality.type_counts(types)).first().asDict()
+    found = quality.type_results(types, counts)
     assert [(r.rule, r.status, r.failed_rows) for r in found] == [("A_is_int", "FAIL", 1), ("b_is_double", "FAIL", 1)]
-    assert quality.type_failures(df, {}) == []
+    assert quality.type_results({}, {}) == []
 
 
 def test_audit_columns_come_last(spark):
