@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from collections import deque
@@ -35,8 +37,24 @@ RUNS = [re.compile(rf"[{a}]{{16,}}={{0,2}}") for a in ALPHABETS]
 NEXT = [re.compile(rf"[ \t]*(?:\r\n?|\n)[ \t]*([{a}]*={{0,2}})") for a in ALPHABETS]
 UNPRINTABLE = re.compile("[\x00-\x08\x0e-\x1f\x7f�\udc80-\udcff]")  # the last are bytes that are not UTF-8
 SHOWN = re.compile("[^\x00-\x08\x0e-\x1f\x7f�\udc80-\udcff]{12,}")  # no secret is shorter, however encoded
-UNPACKED = 16 << 20  # bytes of unpacked content that are scanned at a time; each such part has half of the one before
+UNPACKED = 16 << 20  # bytes of unpacked content that are scanned at a time
+OVERLAP = 1 << 16  # bytes that a part repeats of the one before
+LONGEST = 64 << 20  # bytes of a run that is not cut between two parts
+BREAK = re.compile(rb"[\x00-\x20!-*,.:-@\[-^`{-\x7f]")  # a byte that no run of characters can hold
 STEP, OUT = 1 << 10, 1 << 16  # bytes that are unpacked at a time, and that may come out
+DICTIONARY = 256 << 20  # bytes of memory that unpacking xz may take
+
+# Runs that start like packed bytes of which some are percent-encoded, or escaped as in source code.
+STARTS = (rb"\x1f\x8b", rb"x[\x01\x5e\x9c\xda]", rb"BZh[1-9]1AY&SY", rb"\xfd7zXZ\x00")
+PACKED = re.compile(b"(?:%s)" % b"|".join(STARTS), re.DOTALL)
+URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~*!'()/$&,:;=@+^-])+")
+ESCAPES = r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[\\abtnvfr0'"]"""
+CODE_RUNS = [  # between quotes of either kind
+    re.compile(rf"(?:[^\x00-\x1f\x7f-\U0010ffff\\{quote}]|{ESCAPES})+") for quote in "'\""
+]
+URL_UNIT = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
+CODE_UNIT = re.compile(r"\\x..|\\u....|\\.|.", re.DOTALL)
+NAMED = dict(zip(b"\\abtnvfr0'\"", b"\\\a\b\t\n\v\f\r\0'\""))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -111,39 +129,80 @@ def escapes(run: str) -> list[tuple[str, int]]:
     return [("�" if 0xD800 <= ord(c) < 0xE000 else c, n) for c, n in out]
 
 
-def packed(raw: bytes) -> int | None:
-    """The ``wbits`` of gzip or zlib bytes, told by how they start."""
+def packed(raw: bytes) -> str | None:
+    """How some bytes are packed, told by how they start; None if they are not."""
     if raw[:2] == b"\x1f\x8b":
-        return 31
-    return 15 if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0 else None
+        return "gzip"
+    if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
+        return "zlib"
+    if raw[:3] == b"BZh" and raw[3:4] in b"123456789":
+        return "bz2"
+    return "xz" if raw[:6] == b"\xfd7zXZ\0" else None
+
+
+class Inflate:
+    """Unpacks one member; ``rest`` is what follows it, once it has ended."""
+
+    def __init__(self, how: str):
+        self.bits = {"gzip": 31, "zlib": 15, "deflate": -15}.get(how)
+        if self.bits:
+            self.made = zlib.decompressobj(wbits=self.bits)
+        else:
+            self.made = bz2.BZ2Decompressor() if how == "bz2" else lzma.LZMADecompressor(lzma.FORMAT_XZ, DICTIONARY)
+        self.broken, self.rest = False, b""
+
+    @property
+    def ended(self) -> bool:
+        return self.made.eof
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        """What comes out, ``OUT`` bytes at a time; up to a fault, if there is one."""
+        while True:
+            before = self.made.copy() if self.bits else None
+            try:
+                out = self.made.decompress(data, OUT)
+            except (zlib.error, lzma.LZMAError, OSError, EOFError):
+                self.broken = True
+                if before:
+                    yield up_to_fault(before, data)
+                return
+            if out:
+                yield out
+            if self.made.eof:
+                self.rest = self.made.unused_data
+                return
+            data = self.made.unconsumed_tail if self.bits else b""
+            if not data and (self.bits or self.made.needs_input):
+                return
+
+    def last(self) -> bytes:
+        return self.made.flush() if self.bits else b""
+
 
+def unpack(parts: Iterable[bytes], how: str | None = None) -> Iterator[bytes]:
+    """The content of packed bytes: all members, and of a broken one what comes before its fault.
 
-def unpack(parts: Iterable[bytes]) -> Iterator[bytes]:
-    """The content of gzip or zlib bytes: all members, and of a broken one what comes before its fault."""
-    made, data = None, b""
+    ``how`` is for a first member that does not tell.
+    """
+    made, data = Inflate(how) if how else None, b""
     for part in parts:
         data += part
         while data:
             if made is None:
                 data = data.lstrip(b"\0")  # between members
-                if len(data) < 3:
-                    break
-                if (bits := packed(data)) is None:
+                kind = packed(data)
+                if kind is None:
+                    if len(data) < 6:
+                        break
                     return
-                made = zlib.decompressobj(wbits=bits)
-            before = made.copy()
-            try:
-                out = made.decompress(data, OUT)
-            except zlib.error:
-                yield up_to_fault(before, data)
+                made = Inflate(kind)
+            yield from made.feed(data)
+            if made.broken:
                 return
-            if out:
-                yield out
-            data = made.unconsumed_tail
-            if made.eof:
-                made, data = None, made.unused_data
+            data = made.rest if made.ended else b""
+            made = None if made.ended else made
     if made is not None:
-        yield made.flush()
+        yield made.last()
 
 
 def up_to_fault(made, data: bytes) -> bytes:
@@ -157,20 +216,39 @@ def up_to_fault(made, data: bytes) -> bytes:
     return bytes(out)
 
 
+def bare_deflate(raw: bytes) -> bool:
+    """Whether bytes are one deflate stream without a header, from first to last."""
+    made = Inflate("deflate")
+    size = 0
+    for i in range(0, len(raw), STEP):
+        if made.ended:
+            return False
+        size += sum(map(len, made.feed(raw[i : i + STEP])))
+        if made.broken:
+            return False
+    return made.ended and not made.rest and size >= 12
+
+
 def in_parts(content: Iterable[bytes]) -> Iterator[bytes]:
-    """Content in parts of about ``UNPACKED`` bytes, each with the last half of the one before.
+    """Content in parts of ``UNPACKED`` bytes or somewhat more, each with the last ``OVERLAP`` bytes of the one before.
 
-    Parts begin and end at blanks where they can, so that what stands at a cut
-    is whole in one of the two.
+    A part ends where no run of letters and digits goes on, so that a run is whole
+    in one part; only one longer than ``LONGEST`` is cut. What spreads over such
+    an end, like a name and its value, is whole in the next part.
     """
-    held = bytearray()
+    held, sought = bytearray(), 0
     for some in content:
         held += some
-        if len(held) >= UNPACKED:
-            cut = max(held.rfind(b" "), held.rfind(b"\n")) + 1
-            yield bytes(held[: cut or len(held)])
-            blank = re.search(rb"[ \n]", held[UNPACKED // 2 :])
-            del held[: UNPACKED // 2 + (blank.end() if blank else 0)]
+        if len(held) >= UNPACKED + OVERLAP:
+            cut = 0
+            for m in BREAK.finditer(held, max(sought, OVERLAP)):
+                cut = m.end()
+            sought = len(held)
+            if cut or len(held) >= LONGEST:
+                cut = cut or len(held)
+                yield bytes(held[:cut])
+                del held[: cut - OVERLAP]
+                sought = 0
     if held:
         yield bytes(held)
 
@@ -181,33 +259,93 @@ def printable(raw: bytes) -> str | None:
     return UNPRINTABLE.sub("\0", text) if SHOWN.search(text) else None
 
 
-def contents(raw: bytes, all_: bool) -> Iterator[tuple[str, str]]:
-    """The texts that decoded bytes show, and how: themselves, then (for ``all_``) what they unpack to, again and again."""
-    if shown := printable(raw):
-        yield shown, "base64"
-    make, how, seen = lambda: (raw[i : i + STEP] for i in range(0, len(raw), STEP)), "base64", set()
-    start = raw[:3]
-    while all_ and packed(start) is not None:
-        make, how = partial(unpacked, make), how + "+unpack"
+def contents(raw: bytes, all_: bool, how: str = "base64") -> Iterator[tuple[str, str]]:
+    """The texts that decoded bytes show, and how: themselves, then (for ``all_``) what they unpack to, again and again.
+
+    A part of the content that came before is not given again.
+    """
+    if how == "base64" and (shown := printable(raw)):
+        yield shown, how
+    make, seen = lambda: (raw[i : i + STEP] for i in range(0, len(raw), STEP)), set()
+    start, whole_ones = raw[:6], set()
+    kind = packed(start) or ("deflate" if all_ and how == "base64" and bare_deflate(raw) else None)
+    while all_ and kind:
+        make, how = partial(unpacked, make, kind), how + "+unpack"
         start, digest = b"", hashlib.sha256()
 
         def noted(content: Iterator[bytes]) -> Iterator[bytes]:
             nonlocal start
             for some in content:
-                start = start if len(start) >= 3 else start + some[:3]
+                start = start if len(start) >= 6 else start + some[:6]
                 digest.update(some)
                 yield some
 
         for part in in_parts(noted(make())):
-            if shown := printable(part):
+            mark = hashlib.sha256(part).digest()
+            if mark not in seen and (shown := printable(part)):
                 yield shown, how
-        if digest.digest() in seen:  # what unpacks to itself
+            seen.add(mark)
+        if digest.digest() in whole_ones:  # what unpacks to itself
             break
-        seen.add(digest.digest())
+        whole_ones.add(digest.digest())
+        kind = packed(start)
+
+
+def unpacked(make: Callable[[], Iterator[bytes]], how: str) -> Iterator[bytes]:
+    return unpack((some[i : i + STEP] for some in make() for i in range(0, len(some), STEP)), how)
+
+
+def code_byte(unit: str) -> int:
+    """The byte of a character or an escape as in source code."""
+    if unit[0] != "\\":
+        return ord(unit)
+    return int(unit[-2:], 16) if unit[1] in "xu" else NAMED[ord(unit[1])]
+
 
+def url_byte(unit: str) -> int:
+    return int(unit[1:], 16) if unit[0] == "%" else ord(unit)
 
-def unpacked(make: Callable[[], Iterator[bytes]]) -> Iterator[bytes]:
-    return unpack(some[i : i + STEP] for some in make() for i in range(0, len(some), STEP))
+
+def form_byte(unit: str) -> int:
+    return 32 if unit == "+" else url_byte(unit)
+
+
+def extent(raw: bytes) -> int:
+    """How many of some bytes are packed members, from the first."""
+    at = 0
+    while (kind := packed(raw[at : at + 6])) is not None:
+        made, i = Inflate(kind), at
+        while i < len(raw) and not made.ended and not made.broken:
+            for _ in made.feed(raw[i : i + STEP]):
+                pass
+            i += STEP
+        if not made.ended:
+            return len(raw)
+        at = min(i, len(raw)) - len(made.rest)
+    return at
+
+
+def packed_runs(layer: Layer) -> Iterator[Layer]:
+    """What percent-encoded or escaped bytes unpack to, as parts that come from all of these bytes."""
+    for mark, pattern, unit, byte, how in (
+        ("%", URL_RUN, URL_UNIT, url_byte, "url"),
+        ("%", URL_RUN, URL_UNIT, form_byte, "url"),
+        *(("\\", run, CODE_UNIT, code_byte, "unicode") for run in CODE_RUNS),
+    ):
+        if mark not in layer.text:
+            continue
+        for m in pattern.finditer(layer.text):
+            if mark not in m[0]:
+                continue
+            units = unit.findall(m[0])
+            raw = bytes(map(byte, units))
+            for at in PACKED.finditer(raw):
+                some = raw[at.start() :]
+                a = m.start() + sum(map(len, units[: at.start()]))
+                b = a + sum(map(len, units[at.start() : at.start() + extent(some)]))
+                if a < b:
+                    for shown, way in contents(some, True, how):
+                        yield layer.child([(shown, a, b, False)], way)
 
 
 def runs(text: str) -> Iterator[tuple[tuple[int, int], ...]]:
@@ -252,6 +390,7 @@ def decoded(layer: Layer) -> Iterator[Layer]:
         yield from in_place(layer, PERCENT, percent, "url")
     if "\\" in text:
         yield from in_place(layer, ESCAPE, escapes, "unicode")
+    yield from packed_runs(layer)
     every, longest = list(runs(text)), {}
     for lines in every:
         longest[lines[0][0]] = max(longest.get(lines[0][0], 0), lines[-1][1])
@@ -322,8 +461,9 @@ def joined(spans: list[tuple]) -> str:
 def scan_documents(docs: DataFrame, column: str = "text") -> DataFrame:
     """One row per secret: doc_id, kind, start, end, value, and the decodings on the way to it.
 
-    Null and empty texts have none. Rows with a null or repeated doc_id are
-    scanned like any other; all other columns are ignored.
+    Null and empty texts have none, a table without rows gives no rows. Rows with a
+    null or repeated doc_id are scanned like any other; all other columns are
+    ignored. A text of any length is scanned whole, and what it unpacks to in parts.
     """
     schema = "doc_id long, kind string, start int, end int, value string, way string"
 
@@ -342,7 +482,11 @@ def scan_documents(docs: DataFrame, column: str = "text") -> DataFrame:
 
 
 def scan_digests(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: counts and digest of the base spans, and all spans as text."""
+    """Per row of ``docs``: counts and digest of the base spans, and all spans as text.
+
+    Null and empty texts have none, rows that repeat are each scanned, no rows give
+    no rows, other columns are ignored.
+    """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:

@@ -1,6 +1,8 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import urllib.parse
 import zlib
@@ -133,6 +135,85 @@ def test_large_content_is_scanned_in_parts(monkeypatch):
             assert values(gzip.compress(zlib.compress(raw.encode()))) == {value}
 
 
+def test_no_part_of_large_content_is_lost(monkeypatch):
+    """Blanks and secrets at random places, content many times what is scanned at once."""
+    monkeypatch.setattr(secrets, "UNPACKED", 4000)
+    monkeypatch.setattr(secrets, "OVERLAP", 200)
+    monkeypatch.setattr(secrets, "LONGEST", 12_000)
+    monkeypatch.setattr(secrets, "OUT", 300)
+    r = random.Random(8)
+    for n in range(120):
+        parts, want = [], set()
+        for k in range(r.randrange(1, 6)):
+            filler = r.choice(["x", "ab", "lorem-", "0", "a_b"]) * r.randrange(1, 2500)
+            if r.random() < 0.5:
+                filler = filler[: len(filler) // 2] + " " + filler[len(filler) // 2 :]
+            value = "".join(r.choices("ghijklmnop", k=13))
+            form = r.choice(['"password":"%s"', " token = %s ", "{secret: '%s'}", '"api_key":"%s",'])
+            parts.append(filler + r.choice(['"', ",", "(", " "]) + form % value)
+            want.add(value)
+        raw = "".join(parts).encode() + b";" + b"y" * r.randrange(9000)
+        for packer in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            got = " ".join(values(packer(raw)))
+            assert all(v in got for v in want), n
+    assert values(gzip.compress(b"x y," + b"z" * 9000 + b'"password":"hunter2secret"')) == {'password":"hunter2secret'}
+
+
+def deflated(raw):
+    made = zlib.compressobj(wbits=-15)
+    return made.compress(raw) + made.flush()
+
+
+PACKERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "deflate": deflated}
+UNPACKERS = {"gzip": gzip.decompress, "zlib": zlib.decompress, "bz2": bz2.decompress, "xz": lzma.decompress}
+UNPACKERS["deflate"] = lambda raw: zlib.decompress(raw, -15)
+ENCODERS = {
+    "base64": lambda raw: base64.b64encode(raw).decode(),
+    "urlsafe": lambda raw: base64.urlsafe_b64encode(raw).decode().rstrip("="),
+    "percent": lambda raw: "".join(f"%{b:02x}" for b in raw),
+    "quote": lambda raw: urllib.parse.quote(raw),
+    "escape": lambda raw: "".join(f"\\x{b:02X}" for b in raw),
+    "repr": lambda raw: repr(raw)[2:-1],
+}
+
+
+def brute_decode(text, way):
+    """Undo layers by their names, innermost last."""
+    for encoder, packer in way:
+        raw = {
+            "base64": base64.b64decode,
+            "urlsafe": lambda t: base64.urlsafe_b64decode(t + "=" * (-len(t) % 4)),
+            "percent": urllib.parse.unquote_to_bytes,
+            "quote": urllib.parse.unquote_to_bytes,
+            "escape": lambda t: bytes.fromhex(t.replace("\\x", "")),
+            "repr": lambda t: t.encode().decode("unicode_escape").encode("latin-1"),
+        }[encoder](text)
+        text = (UNPACKERS[packer](raw) if packer else raw).decode()
+    return text
+
+
+def test_layers_against_a_brute_force_decoder():
+    r, checked = random.Random(9), 0
+    for n in range(400):
+        inner = f"note {r.randrange(10**9)} {TOKEN} end"
+        text, way = inner, []
+        for _ in range(r.randrange(1, 4)):
+            encoder = r.choice(list(ENCODERS))
+            packer = r.choice([None, *PACKERS])
+            if packer == "deflate" and encoder not in ("base64", "urlsafe"):
+                packer = "gzip"  # without a header only where the run is all there is
+            if packer is None and encoder in ("quote", "repr"):
+                encoder = "percent"  # those leave plain text as it is
+            raw = PACKERS[packer](text.encode()) if packer else text.encode()
+            text, way = ENCODERS[encoder](raw), [(encoder, packer), *way]
+        assert TOKEN in brute_decode(text, way)
+        spans = [s for s in secrets.scan(f"see <{text}> there")[1] if s[3] == TOKEN]
+        assert spans, way
+        assert all(a >= 5 and b <= 5 + len(text) for a, b, *_ in spans), way
+        checked += 1
+    assert checked == 400
+
+
 def test_every_value_of_a_run(spark):
     two = "first password=hunter22 then é� password=hunter33 end"
     run = base64.b64encode(two.encode()).decode()
