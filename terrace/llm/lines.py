@@ -1,73 +1,39 @@
-"""Line dedup: content-defined chunks of lines, of which all but the first copy are removed."""
+"""Line dedup: chunks of lines that stand earlier in the corpus, whose ends rolling line hashes tell."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.text import let, stored, whole
+from terrace.llm.text import let, running, stored, whole, words
 
-BASE, MODULUS = 131, 1_000_003  # of the rolling hash over the hashes of two lines
-DIVISOR = 2  # every so many lines a chunk may end
-LONG = 50  # words at which a line is a chunk of its own, that counts like several lines
+LEAST = 50  # words of a chunk that is removed, and of a line that counts without its neighbours
 NONE = 1 << 62  # stands for a null doc_id in the order of documents
 
 
-def chunks(text: Column) -> Column:
-    """The chunks of a text in order, as (pos, text, lines, counted).
+def units(text: Column) -> Column:
+    """What is counted of a text: (pos, digest) of its line pairs, and of its long lines.
 
-    A chunk ends after a line where a rolling hash over the hashes of this line
-    and the one before is divisible by ``DIVISOR``, unless it would have one
-    line only, and around a line of ``LONG`` words or more (told by its blanks).
-    So the same lines are cut the same way wherever they stand. ``counted`` is
-    set for chunks that may be removed: those with something in them, and
-    several lines or a long one.
+    The hashes of two lines in a row are rolled into one. It does not depend on
+    what stands around them, so a passage has the same ones wherever it
+    stands. Long lines (told by their blanks) count alone, too. A pair's pos is twice
+    its first line, a long line's one more than that.
     """
 
     def of(lines: Column) -> Column:
-        facts = F.transform(
-            lines,
-            lambda x: F.struct(
-                F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long").alias("hash"),
-                (F.length(x) - F.length(F.translate(x, " ", "")) >= LONG - 1).alias("long"),
-            ),
+        hashes = F.transform(lines, lambda x: F.xxhash64(x))
+        long = F.filter(
+            F.transform(lines, lambda x, i: F.when(F.length(x) - F.length(F.translate(x, " ", "")) >= LEAST - 1, i)),
+            lambda i: i.isNotNull(),
         )
-        return let(facts, lambda f: let(ends(f), lambda e: cut(lines, f, e)))
-
-    def ends(f: Column) -> Column:
-        def mark(x: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(f, i - 1)["hash"], F.lit(0))
-            rolled = (before * BASE + x["hash"]) % MODULUS
-            # a text ends with a chunk, as does what stands before a long line
-            forced = x["long"] | F.coalesce(F.get(f, i + 1)["long"], F.lit(True))
-            return F.when(forced, "F").when(rolled % DIVISOR == 0, "1").otherwise("0")
-
-        # of ends that follow each other every second one goes, so that chunks have two lines
-        marks = F.regexp_replace(F.concat(F.lit("F"), F.array_join(F.transform(f, mark), "")), "([1F])1", "$10")
-        places = F.transform(F.split(marks.substr(F.lit(2), F.length(marks)), ""), lambda m, i: F.when(m != "0", i + 1))
-        return F.filter(places, lambda m: m.isNotNull())
-
-    def cut(lines: Column, f: Column, e: Column) -> Column:
-        def piece(end: Column, i: Column) -> Column:
-            start = F.coalesce(F.get(e, i - 1), F.lit(0))
-            own = F.array_join(F.slice(lines, start + 1, end - start), "\n")
-            return F.struct(
-                i.alias("pos"),
-                own.alias("text"),
-                (end - start).alias("lines"),
-                ((end - start > 1) | F.get(f, start)["long"]).alias("several"),
-            )
+        return F.concat(let(hashes, pairs), let(hashes, lambda h: F.transform(long, lambda i: alone(h, i))))
 
-        pieces = F.transform(e, piece)
-        return F.transform(
-            pieces,
-            lambda p: F.struct(
-                p["pos"].alias("pos"),
-                p["text"].alias("text"),
-                p["lines"].alias("lines"),
-                (p["several"] & (F.btrim(p["text"], F.lit(" \t\n\x0b\x0c\r")) != "")).alias("counted"),
-            ),
-        )
+    def pairs(h: Column) -> Column:
+        rolled = F.transform(h, lambda x, i: F.struct((2 * i).alias("pos"), F.xxhash64(x, F.get(h, i + 1)).alias("digest")))
+        return F.slice(rolled, 1, F.size(h) - 1)
+
+    def alone(h: Column, i: Column) -> Column:
+        return F.struct((2 * i + 1).alias("pos"), F.get(h, i).alias("digest"))
 
     return let(F.split(text, "\n"), of)
 
@@ -75,70 +41,118 @@ def chunks(text: Column) -> Column:
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a key of doc_id and text; rows alike in both are one document."""
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), whole()).cast("binary"))
-    return docs.withColumn("__key", key)
+    return docs.withColumn("__key", F.unhex(key))
 
 
-def repeats(rows: DataFrame) -> DataFrame:
-    """For each document with chunks to be removed its key and those chunks, as "pos:text".
+def again(rows: DataFrame) -> DataFrame:
+    """For each document the parts that seem to stand earlier, as (from, n, text): first line, lines, the earlier text.
 
-    Chunks are counted by digest over all documents. Of a repeated one, the
-    first by doc_id (null last), key and place stays. The others are listed
-    with the text of the first, so that who removes them compares bytes. Hot
-    digests shrink in partial aggregates; joins on them have one row per digest
-    in a table on one side, so that Spark can split the other.
+    Units are counted by digest over all documents. The first by doc_id (null
+    last), key and place stays; the others are later ones. Later pairs in a row
+    whose first places are in a row, too, make one part, whose earlier text is
+    sent once. Hot digests shrink in partial aggregates, and joins have one row
+    per digest or document in a table on one side, so that Spark can split the other.
     """
-    found = rows.select(
-        "__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), F.explode(chunks(whole())).alias("c")
-    ).where("c.counted")
-    found = stored(
-        found.select("__key", "doc", F.col("c.pos").alias("pos"), F.md5(F.col("c.text").cast("binary")).alias("digest")),
-        "chunks",
-    )
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc")
+    found = rows.select("__key", doc, F.explode(units(whole())).alias("u"))
+    found = stored(found.select("__key", "doc", F.col("u.pos").alias("pos"), F.col("u.digest").alias("digest")), "units")
     place = F.struct("doc", "__key", "pos")
-    ranges = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = stored(ranges.where("first <> last").select("digest", "first"), "repeated")
-    keepers = repeated.groupBy(F.col("first.__key").alias("__key")).agg(
-        F.collect_list(F.struct(F.col("first.pos").alias("pos"), "digest")).alias("kept")
+    single = (F.col("pos") % 2 == 1).alias("single")
+    ranges = found.groupBy("digest", single).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    firsts = stored(ranges.where("first <> last").select("digest", "single", "first"), "firsts")
+    later = found.withColumn("single", single).join(firsts, ["digest", "single"]).where(place != F.col("first"))
+    later = later.select(
+        "__key",
+        "single",
+        F.shiftright("pos", 1).alias("pos"),
+        F.col("first.__key").alias("source"),
+        F.shiftright("first.pos", 1).alias("at"),
+    ).distinct()
+    row = Window.partitionBy("__key", "single", "source", F.col("pos") - F.col("at")).orderBy("pos")
+    begins = F.coalesce(F.col("pos") - F.lag("pos").over(row) > 1, F.lit(True))
+    run = later.withColumn("run", F.sum(begins.cast("int")).over(row))
+    parts = run.groupBy("__key", "single", "source", (F.col("pos") - F.col("at")).alias("by"), "run").agg(
+        F.min("pos").alias("from"), (F.max("pos") - F.min("pos") + F.when(F.col("single"), 1).otherwise(2)).alias("n")
+    )
+    parts = stored(parts.select("__key", "source", "from", (F.col("from") - F.col("by")).alias("at"), "n"), "parts")
+    texts = rows.select(F.col("__key").alias("source"), whole().alias("text")).join(
+        parts.select("source").distinct(), "source", "left_semi"
     )
-    pieces = rows.select("__key", "text").join(keepers, "__key")
-    pieces = pieces.select(F.explode(let(chunks(whole()), lambda c: F.transform(
-        "kept", lambda k: F.struct(k["digest"].alias("digest"), F.get(c, k["pos"])["text"].alias("text"))
-    ))).alias("p"))
-    texts = pieces.groupBy("p.digest").agg(F.min("p.text").alias("text"))
-    firsts = stored(repeated.join(texts, "digest"), "firsts")
-    later = found.join(firsts, "digest").where(place != F.col("first"))
-    entry = F.concat_ws(":", F.col("pos").cast("string"), "text")
-    return later.groupBy("__key").agg(F.collect_set(entry).alias("__again"))
+    sources = stored(texts.dropDuplicates(["source"]), "sources")
+    slices = parts.join(sources, "source").select(
+        "__key", "from", "n", F.array_join(F.slice(F.split("text", "\n"), F.col("at") + 1, F.col("n")), "\n").alias("text")
+    )
+    return slices.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("from", "n", "text"))).alias("__again"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with the texts that remain, and beside them the numbers of chunks and of those removed.
+def marks(lines: Column, parts: Column) -> Column:
+    """A text with a 1 for each line that is in one of the parts, byte by byte, and a 0 for each other one."""
+    same = F.filter(parts, lambda p: F.array_join(F.slice(lines, p["from"] + 1, p["n"]), "\n") == p["text"])
 
-    Null texts stay null. A document of which nothing remains has an empty
-    text; no row is dropped. Rows with the same doc_id and text are treated
-    alike. All other columns stay as they are, but for those named like the
-    added ones.
+    def add(done: Column, p: Column) -> Column:
+        end = p["from"] + p["n"]
+        gap = F.greatest(F.lit(0), p["from"] - done["end"])
+        more = F.greatest(F.lit(0), end - F.greatest(done["end"], p["from"]))
+        return F.struct(
+            F.greatest(done["end"], end).alias("end"),
+            F.concat(done["text"], F.repeat(F.lit("0"), gap), F.repeat(F.lit("1"), more)).alias("text"),
+        )
+
+    covered = F.aggregate(same, F.struct(F.lit(0).alias("end"), F.lit("").alias("text")), add)["text"]
+    return F.rpad(covered, F.size(lines), "0")
+
+
+def without(lines: Column, parts: Column) -> Column:
+    """What remains of a text's lines, and the numbers of chunks found and removed.
+
+    A chunk is a row of lines each of which is in a repeated part. It goes if it has
+    ``LEAST`` words or more.
     """
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_chunks", "n_removed")])
-    rows = keyed(docs)
-    again = repeats(rows)
-    joined = rows.join(again, "__key", "left")
 
-    def kept(parts: Column) -> Column:
-        marked = F.transform(parts, lambda c: F.concat_ws(":", c["pos"].cast("string"), c["text"]))
-        left = F.array_except(marked, F.col("__again"))
-        plain = F.transform(left, lambda x: x.substr(F.instr(x, ":") + 1, F.length(x)))
+    def of(runs: Column) -> Column:
+        ends = running(F.transform(runs, lambda r: F.length(r)))
+        return let(ends, lambda e: of_ends(runs, e))
+
+    def of_ends(runs: Column, ends: Column) -> Column:
+        def piece(run: Column, i: Column) -> Column:
+            own = F.slice(lines, F.get(ends, i) - F.length(run) + 1, F.length(run))
+            chunk = run.startswith("1")
+            return F.struct(
+                own.alias("lines"),
+                chunk.alias("chunk"),
+                (chunk & (F.size(words(F.array_join(own, "\n"))) >= LEAST)).alias("gone"),
+            )
+
+        return let(F.transform(runs, piece), result)
+
+    def result(pieces: Column) -> Column:
+        left = F.filter(pieces, lambda p: ~p["gone"])
         return F.struct(
-            F.array_join(plain, "\n").alias("text"),
-            F.size(parts).alias("n"),
-            (F.size(parts) - F.size(left)).alias("removed"),
+            F.array_join(F.flatten(F.transform(left, lambda p: p["lines"])), "\n").alias("text"),
+            F.size(F.filter(pieces, lambda p: p["chunk"])).alias("n"),
+            F.size(F.filter(pieces, lambda p: p["gone"])).alias("removed"),
         )
 
-    untouched = F.struct(
-        F.col("text").cast("string").alias("text"), F.size(chunks(whole())).alias("n"), F.lit(0).alias("removed")
-    )
-    result = F.when(F.col("__again").isNull(), untouched).otherwise(let(chunks(whole()), kept))
-    out = joined.withColumn("__out", result)
+    return let(F.regexp_extract_all(marks(lines, parts), F.lit("(0+|1+)"), F.lit(1)), of)
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts that remain, and beside them the numbers of repeated chunks and of those removed.
+
+    A chunk is a maximal row of lines in which each pair of neighbours, or a line of
+    ``LEAST`` words alone, stands earlier in the corpus; it is removed if it has
+    ``LEAST`` words. So the earliest copy of every line stays. Null texts stay null.
+    A document of which nothing remains has an empty text; no row is dropped. Rows
+    with the same doc_id and text are treated alike. Very long texts are
+    treated whole, a table without rows gives none. All other columns stay as
+    they are, but for those named like the added ones.
+    """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_chunks", "n_removed")])
+    rows = keyed(docs)
+    joined = rows.join(again(rows), "__key", "left")
+    untouched = F.struct(F.col("text").cast("string").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("removed"))
+    left = let(F.split(whole(), "\n"), lambda x: without(x, F.col("__again")))
+    out = joined.withColumn("__out", F.when(F.col("__again").isNull(), untouched).otherwise(left))
     return out.select(
         *[F.col("__out.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.col("__out.n").alias("n_chunks"),
@@ -147,7 +161,10 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """Per row: chunks, how many of them were removed, and length and digest of what remains."""
+    """Per row: repeated chunks, how many of them were removed, and length and digest of what remains.
+
+    Null and empty texts have none; rows that repeat are treated alike, no rows give no rows.
+    """
     left = dedup(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     text = whole()
     return left.select(
@@ -164,21 +181,19 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
                   md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS k FROM documents),
 split AS (SELECT k, doc_id, string_split(text, chr(10)) AS ls FROM (SELECT DISTINCT * FROM d)),
 line AS (SELECT k, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM split),
-fact AS (SELECT *, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h,
+pair AS (SELECT *, lead(l) OVER (PARTITION BY k ORDER BY i) AS after,
                 length(l) - length(replace(l, ' ', '')) >= 49 AS long FROM line),
-mark AS (SELECT *, CASE WHEN long OR coalesce(lead(long) OVER w, true) THEN 'F'
-                        WHEN (coalesce(lag(h) OVER w, 0) * 131 + h) % 1000003 % 2 = 0 THEN '1' ELSE '0' END AS m
-         FROM fact WINDOW w AS (PARTITION BY k ORDER BY i)),
-flags AS (SELECT k, substr(regexp_replace('F' || string_agg(m, '' ORDER BY i), '([1F])1', '\10', 'g'), 2) AS ms FROM mark GROUP BY k),
-numbered AS (SELECT *, coalesce(sum((substr(ms, i::BIGINT, 1) <> '0')::INT) OVER (PARTITION BY k ORDER BY i
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM mark JOIN flags USING (k)),
-chunk AS (SELECT k, doc_id, pos, string_agg(l, chr(10) ORDER BY i) AS t, count(*) AS n, bool_or(long) AS long
-          FROM numbered GROUP BY ALL),
-counted AS (SELECT *, (n > 1 OR long) AND trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' AS may,
-                   row_number() OVER (PARTITION BY t, (n > 1 OR long) ORDER BY doc_id NULLS LAST, k, pos) AS nth FROM chunk),
-result AS (SELECT k, count(*) AS n_chunks, count(*) FILTER (may AND nth > 1) AS n_removed,
-                  coalesce(string_agg(t, chr(10) ORDER BY pos) FILTER (NOT may OR nth = 1), '') AS left_over
-           FROM counted GROUP BY k)
+nth AS (SELECT *, after IS NOT NULL AND
+               row_number() OVER (PARTITION BY l, after ORDER BY doc_id NULLS LAST, k, i) > 1 AS twice,
+               row_number() OVER (PARTITION BY l ORDER BY doc_id NULLS LAST, k, i) > 1 AND long AS alone FROM pair),
+mark AS (SELECT *, twice OR alone OR coalesce(lag(twice) OVER (PARTITION BY k ORDER BY i), false) AS m FROM nth),
+step AS (SELECT *, (m IS DISTINCT FROM lag(m) OVER (PARTITION BY k ORDER BY i))::INT AS s FROM mark),
+run AS (SELECT *, sum(s) OVER (PARTITION BY k ORDER BY i) AS r FROM step),
+chunk AS (SELECT k, r, m, string_agg(l, chr(10) ORDER BY i) AS t FROM run GROUP BY ALL),
+judged AS (SELECT *, m AND len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= 50 AS gone FROM chunk),
+result AS (SELECT k, count(*) FILTER (m) AS n_chunks, count(*) FILTER (gone) AS n_removed,
+                  coalesce(string_agg(t, chr(10) ORDER BY r) FILTER (NOT gone), '') AS left_over
+           FROM judged GROUP BY k)
 SELECT doc_id, n_chunks, n_removed, length(left_over)::BIGINT AS n_chars, sha256(left_over) AS text_sha256
 FROM d JOIN result USING (k)
 """
