@@ -5,18 +5,21 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.text import over_chunks, whole
+from terrace.llm.text import over_chunks, shipped, whole
 
 SPACE = "▁"
 NO_RANK = np.int64(1) << 40
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
-CACHED = 400_000  # words whose pieces a worker remembers; only speed depends on it
+CACHE = 64 << 20  # bytes of words and their pieces that a worker remembers, about; only speed depends on it
+ENTRY = 500  # bytes that a remembered word takes besides its characters and pieces
+LONGEST = 100  # characters of a word that is remembered
 
 
 class PieceModel:
@@ -27,10 +30,10 @@ class PieceModel:
     space put in front, as the model file demands; others are refused.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, data: bytes):
         from sentencepiece import SentencePieceProcessor
 
-        model = SentencePieceProcessor(model_file=path)
+        model = SentencePieceProcessor(model_proto=data)
         if model.normalize("ﬁ  a ") != f"{SPACE}ﬁ{SPACE * 2}a{SPACE}":
             raise ValueError("the model normalises its text; only identity with a leading space is supported")
         n = model.get_piece_size()
@@ -71,6 +74,7 @@ class PieceModel:
         for c, i in self.chars.items():
             self.char_id[ord(c)] = i
         self.cache: dict[str, tuple] = {}
+        self.held = 0
 
     def _symbol(self, text: str) -> int | None:
         if text in self.id_of:
@@ -193,19 +197,24 @@ class PieceModel:
 
     def pieces_of(self, units: list[str]) -> list[tuple]:
         """For each unit its number of ids, the ids joined by a space, their text, and the ids as bytes."""
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        if fresh := [u for u in units if u not in self.cache]:
-            ids, ends = self.encode_words(fresh)
+        if self.held > CACHE:
+            self.cache, self.held = {}, 0
+        found = [self.cache.get(u) for u in units]
+        lacking = [k for k, known in enumerate(found) if known is None]
+        if lacking:
+            ids, ends = self.encode_words([units[k] for k in lacking])
             plain = np.add.reduceat(np.r_[self.byte_of[ids] >= 0, False], np.r_[0, ends[:-1]]) == 0
             flat = ids.tolist()
             names, pieces = [self.name[i] for i in flat], [self.shown[i] for i in flat]
             raw, a = ids.astype("<i4").tobytes(), 0
-            for unit, b, simple in zip(fresh, ends.tolist(), plain.tolist()):
+            for k, b, simple in zip(lacking, ends.tolist(), plain.tolist()):
                 text = "".join(pieces[a:b]) if simple else self.surface(flat[a:b])
-                self.cache[unit] = b - a, " ".join(names[a:b]), text, raw[4 * a : 4 * b]
+                found[k] = b - a, " ".join(names[a:b]), text, raw[4 * a : 4 * b]
+                if len(units[k]) <= LONGEST:
+                    self.cache[units[k]] = found[k]
+                    self.held += ENTRY + 8 * len(units[k]) + 10 * (b - a)
                 a = b
-        return [self.cache[u] for u in units]
+        return found
 
     def surface(self, ids: list[int]) -> str:
         """Text of some ids, with the leading space still on it."""
@@ -256,8 +265,13 @@ def utf8(raw: bytes) -> str:
 
 
 @lru_cache(maxsize=2)
+def model_of(data: bytes) -> PieceModel:
+    """A model from the content of its file; one for each worker."""
+    return PieceModel(data)
+
+
 def model_at(path: str) -> PieceModel:
-    return PieceModel(path)
+    return model_of(Path(path).read_bytes())
 
 
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -311,9 +325,10 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")]
     df = docs.select(F.struct(*kept).alias("row"), whole(column).alias("text"))
     out = df.select("row", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
+    data = shipped(docs.sparkSession, path)
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        model = model_at(path)
+        model = model_of(data.value)
         known, codes, ends = encode_chunk(model, chunk.column("text").to_pylist())
         ids, offsets = ids_of(model, known, codes, ends)
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
@@ -326,12 +341,18 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per row of ``docs``: doc_id, number of ids, digests of the ids and of the decoded text."""
+    """Per row of ``docs``: doc_id, number of ids, digests of the ids and of the decoded text.
+
+    Null and empty texts have the end id alone. Repeated rows and null ids are rows
+    like others, no rows give no rows, other columns are not looked at. The model's
+    file is sent to the tasks; a worker remembers words up to ``CACHE`` bytes.
+    """
+    data = shipped(docs.sparkSession, path)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     sha = lambda texts: [hashlib.sha256(t.encode()).hexdigest() for t in texts]
 
     def work(chunk: pa.RecordBatch) -> pa.RecordBatch:
-        model = model_at(path)
+        model = model_of(data.value)
         known, codes, ends = encode_chunk(model, chunk.column("text").to_pylist())
         sizes = np.fromiter((k[0] for k in known), np.int64, len(known))
         n = np.diff(np.r_[0, np.r_[0, np.cumsum(sizes[codes])][ends]]) + 1

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import resource
 
 import numpy as np
 import pytest
@@ -44,6 +45,23 @@ def test_long_words_and_runs_of_equal_merges(library):
         assert model.encode(text)[:-1] == library.encode(text)
 
 
+def test_a_worker_remembers_a_bounded_number_of_bytes(library):
+    """Units of 300 CJK characters, and many short ones: the process grows by less than 200 MB."""
+    model = pieces.PieceModel(open(piece_model(), "rb").read())
+    r, most = random.Random(3), 0
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for k in range(60):
+        long = ["▁" + "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(300)) for _ in range(40)]
+        short = ["▁" + "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(12)) for _ in range(1500)]
+        known = model.pieces_of(long + short)
+        most = max(most, len(model.cache))
+        if k == 0:
+            assert [x[0] for x in known[:5]] == [len(library.encode(u[1:])) for u in long[:5]]
+    assert not any(len(u) > pieces.LONGEST for u in model.cache) and model.held <= pieces.CACHE * 1.1
+    assert most <= pieces.CACHE // pieces.ENTRY
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200 << 10
+
+
 def test_rows(spark, library):
     rows = hard()
     got = pieces.encode(frame(spark, rows, extra=True), piece_model()).collect()
