@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.ranks import positions
-from terrace.llm.text import remainder, stored
+from terrace.llm.text import remainder, sql_crc32, stored
 
 FAN = 3  # nodes of a run, which have one parent
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")  # what a leaf is made of, in this order
@@ -182,3 +182,69 @@ def verify(docs: DataFrame) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+ORACLE = f"""
+WITH RECURSIVE shown AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         coalesce({sql_crc32('doc_id')}, 0) % 2 = 0 AS cut
+  FROM documents),
+made AS (
+  SELECT doc_id, source,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') AS front,
+         text, CASE WHEN cut THEN replace(text, chr(10), '') ELSE text END AS less
+  FROM shown),
+leaves AS (
+  SELECT doc_id, source, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(front || coalesce(strlen(less) || ':' || less, '-')) AS changed FROM made),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes AS (
+  SELECT 0 AS level, source, i, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT level + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY level, source, i // 3, n),
+subroots AS (
+  SELECT source, level, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, i, n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY i))
+  FROM tops WHERE n > 1 GROUP BY level, i // 3, n),
+beside AS (
+  SELECT a.level, a.source, a.i,
+         coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM nodes a JOIN nodes b ON a.level = b.level AND a.source IS NOT DISTINCT FROM b.source AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY ALL),
+beside_top AS (
+  SELECT a.level, a.i, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM tops a JOIN tops b ON a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+steps AS (
+  SELECT p.source, p.i AS leaf_i, b.level, b.before, b.after
+  FROM placed p JOIN beside b ON p.source IS NOT DISTINCT FROM b.source
+       AND p.i // (3 ** b.level)::bigint = b.i
+  UNION ALL
+  SELECT p.source, p.i, s.level + b.level, b.before, b.after
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+       JOIN beside_top b ON s.i // (3 ** b.level)::bigint = b.i),
+folded AS (
+  SELECT source, i AS leaf_i, 0 AS level, changed AS h FROM placed
+  UNION ALL
+  SELECT f.source, f.leaf_i, f.level + 1, sha256(s.before || f.h || s.after)
+  FROM folded f JOIN steps s ON f.source IS NOT DISTINCT FROM s.source AND f.leaf_i = s.leaf_i AND f.level = s.level),
+ends AS (
+  SELECT source, leaf_i, arg_max(h, level) AS folded_root FROM folded GROUP BY ALL),
+proofs AS (
+  SELECT source, leaf_i, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM steps GROUP BY ALL)
+SELECT p.doc_id, p.leaf, s.node AS subroot, t.node AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+       e.folded_root, e.folded_root = t.node AS verified
+FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+JOIN (SELECT node FROM tops WHERE n = 1) t ON true
+JOIN ends e ON p.source IS NOT DISTINCT FROM e.source AND p.i = e.leaf_i
+LEFT JOIN proofs q ON p.source IS NOT DISTINCT FROM q.source AND p.i = q.leaf_i
+"""

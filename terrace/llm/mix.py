@@ -6,12 +6,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.text import stored, whole, words
+from terrace.llm.ranks import written_out
+from terrace.llm.text import by_all, stored, whole, words
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order of their names, repeating
 SHARE = 1.5  # words of the mix against those of all documents
 CAP = 2.0  # copies of one document, and words of a source, at most
-STEPS = 60
+STEPS = 200  # a bracket of 2e4 is halved to the last bit of a double in less than half of that
 CLOSE = 1e-9  # relative distance from the target at which a source is done
 DIGITS = 9  # rates are rounded to so many, so that reruns agree whatever the order of sums
 RUN = 1024  # documents that are rounded in one run, about
@@ -77,7 +78,7 @@ def tilts(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         (~open_).alias("done"),
     )
     state = stored(state, "tilts")
-    for _ in range(STEPS):
+    for step in range(STEPS):
         same = F.col("c.source").eqNullSafe(F.col("s.source"))
         both = cells.alias("c").join(state.alias("s"), same).where("NOT done")
         x, m = F.col("size").cast("double"), F.col("mean")
@@ -95,7 +96,10 @@ def tilts(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         high = F.when(excess > 0, F.col("tilt")).otherwise(F.col("high"))
         newton = F.col("tilt") - F.try_divide(excess, F.col("slope"))
         inside = (F.col("slope") > 0) & (newton > low) & (newton < high)
+        if step >= 20 and step % 3 == 0:  # should Newton steps creep, the bracket is halved in between
+            inside = F.lit(False)
         close = F.abs(excess) <= CLOSE * F.col("target")
+        close = close | (high - low <= 1e-12 * F.greatest(F.lit(1.0), F.abs(F.col("tilt"))))  # as near as doubles get
         moved = sums.select(
             "source",
             F.when(close, F.col("tilt")).when(inside, newton).otherwise((low + high) / 2).alias("tilt"),
@@ -106,27 +110,21 @@ def tilts(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         state = stored(moved.unionByName(state.where("done")), "tilts")
         if state.where("NOT done").isEmpty():
             break
+    else:
+        raise ArithmeticError(f"the dual of {state.where('NOT done').first()['source']!r} was not solved in {STEPS} steps")
     return state.select("source", F.round("tilt", 9).alias("tilt"))
 
 
-def copies(docs: DataFrame, column: str = "text") -> DataFrame:
-    """Every row of ``docs`` (doc_id, source) with sizes, its source's target, and its copies.
-
-    A text without words has size 0 and no copies; a null source is a source of
-    its own. Documents are rounded in runs, from the longest to the shortest:
-    each gets the copies that bring the words taken so far closest to those
-    expected, so a run ends within about half of its shortest document of its
-    share. Runs are dealt by a hash, so a large source is rounded in many of
-    them. Rows alike in doc_id and text stand in no order, but then it does not
-    matter which is which. Reruns agree.
-    """
+def sized_runs(docs: DataFrame, column: str = "text") -> DataFrame:
+    """Every row with its size, its source's size and target, its rate, and the run in which it is rounded."""
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.size(words(whole(column))).cast("long").alias("size"),
         F.md5(whole(column).cast("binary")).alias("mark"),
     )
-    sized = stored(sized, "sizes")
+    alike = sized.groupBy(*sized.columns).agg(F.count("*").alias("_n"))
+    sized = stored(written_out(stored(alike, "alike")), "sizes")
     goals = stored(targets(sized.select("source", "size")), "targets")
     found = tilts(sized.select("source", "size"), goals)
     counts = sized.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("size") > 0).alias("m"))
@@ -137,7 +135,7 @@ def copies(docs: DataFrame, column: str = "text") -> DataFrame:
     x = F.col("size").cast("double")
     expected = rate(F.coalesce(F.col("tilt"), F.lit(0.0)), x, F.col("source_size") / F.greatest("m", F.lit(1)))
     expected = F.when(F.col("size") > 0, F.round(F.least(F.lit(CAP), expected), DIGITS)).otherwise(F.lit(0.0))
-    rows = rows.select(
+    return rows.select(
         "doc_id",
         F.col("d.source").alias("source"),
         "size",
@@ -145,10 +143,24 @@ def copies(docs: DataFrame, column: str = "text") -> DataFrame:
         "target",
         "mark",
         expected.alias("rate"),
-        F.pmod(F.xxhash64("mark", "doc_id"), F.ceil(F.col("n") / RUN)).alias("run"),
+        F.pmod(F.xxhash64("mark", "doc_id", "_copy"), F.ceil(F.col("n") / RUN)).alias("run"),
     )
+
+
+def copies(docs: DataFrame, column: str = "text") -> DataFrame:
+    """Every row of ``docs`` (doc_id, source) with sizes, its source's target, and its copies.
+
+    A text without words has size 0 and no copies; a null source is a source of
+    its own. Documents are rounded in runs, from the longest to the shortest:
+    each gets the copies that bring the words taken so far closest to those
+    expected, so a run ends within about half of its shortest document of its
+    share. Runs are dealt by a hash, so a large source is rounded in many of
+    them; rows alike in all of this are numbered, and dealt like others. They stand
+    in no order, but then it does not matter which is which. Reruns agree. An
+    empty table gives an empty one; other columns are not looked at.
+    """
     schema = "doc_id long, source string, mark string, size long, source_size long, target double, copies long"
-    return rows.groupBy("source", "run").applyInPandas(rounded, schema)
+    return sized_runs(docs, column).groupBy("source", "run").applyInPandas(rounded, schema)
 
 
 def rounded(run: pd.DataFrame) -> pd.DataFrame:
@@ -168,7 +180,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` as often as the mix takes it, with its own columns.
 
     Rows alike in doc_id, source and text are one document here, with the
-    copies that all of them get.
+    copies that all of them get, each like the first of them by all columns.
     """
     # the digest of the text is that of ``copies``; a null must not be equal to a value
     key = F.concat_ws(
@@ -182,7 +194,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     mark = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "mark", source)
     totals = taken.groupBy(mark.alias("__key")).agg(F.sum("copies").alias("__n")).where("__n > 0")
     rows = docs.withColumn("__key", key).join(totals, "__key")
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy(*by_all(docs)))
     rows = rows.withColumn("__nth", nth).where("__nth = 1")
     every = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
     return every.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.merkle import digest, field
 from terrace.llm.ranks import positions, ranges_for
-from terrace.llm.text import remainder, stored
+from terrace.llm.text import remainder, sql_crc32, stored
 
 BAND = 16  # depths of a band: a node goes to so many ancestors at most
 HEADS = 6  # a rebuilt conversation begins with fewer turns of another one
@@ -284,3 +284,39 @@ def trie(steps: DataFrame) -> DataFrame:
 def prefix_trie(conversations: DataFrame) -> DataFrame:
     """The trie of all rebuilt conversations; an empty table has no node."""
     return trie(rebuilt(turns_of(conversations)))
+
+
+MARK = " || ".join(f"strlen(coalesce({c}, '')) || ':' || coalesce({c}, '')" for c in ("role", "text"))
+MARK = f"sha256({MARK})"
+ORACLE = f"""
+WITH RECURSIVE numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {MARK}) AS k,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS step
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(step ORDER BY k) AS steps,
+         {sql_crc32('conv_id')} % 6 AS h
+  FROM numbered GROUP BY conv_id),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.steps[1 : a.h], []), a.steps[a.h + 1 :]) AS steps
+  FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, d, steps[1 : d] AS path, d = len(steps) AS last
+  FROM (SELECT conv_id, steps, unnest(range(len(steps) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (last), '')) AS ends
+  FROM prefixes GROUP BY d, path),
+linked AS (
+  SELECT n.*, p.conv_id AS parent, (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.path[1 : n.d] = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = n.path[1 : n.d - 1]),
+spread AS (
+  SELECT unnest(range(d + 1)) AS d, path, n_children = 0 AS leaf,
+         CASE WHEN d > 0 THEN (n_convs - 1) * length(path[d].text) ELSE 0 END AS saved
+  FROM linked),
+sums AS (
+  SELECT d, path[1 : d] AS path, count(*) FILTER (leaf) AS n_leaves, sum(saved)::bigint AS saved FROM spread GROUP BY ALL)
+SELECT l.conv_id, l.d AS depth, l.parent AS parent_conv_id, l.n_convs, l.n_children, s.n_leaves,
+       s.saved AS saved_tokens, l.ends AS ends_sha256
+FROM linked l JOIN sums s ON l.d = s.d AND l.path = s.path
+"""

@@ -109,4 +109,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
     "op6_ngram_jaccard": jaccard.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
+    "op13_prefix_trie": prefixes.ORACLE,
 }

@@ -173,9 +173,13 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that neither the base rules nor the learned ones reject."""
-    stats = stored(statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id"), "stats")
-    rules = learn(stats, labels)
-    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    judged = statistics(docs.select(kept, F.col("text").alias("text")), "__row")
-    return judged.where(~base_failed() & verdict(rules)).select("__row.*")
+    """The rows of ``docs`` that neither the base rules nor the learned ones reject.
+
+    Statistics are computed once and written beside the rows; learning reads
+    the statistics alone. An empty table gives an empty one.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    judged = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    stats = stored(statistics(judged, "__row", "doc_id"), "stats")
+    rules = learn(stats.drop("__row"), labels)
+    return stats.where(~base_failed() & verdict(rules)).select("__row.*")

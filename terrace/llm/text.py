@@ -73,6 +73,12 @@ def remainder(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def by_all(df: DataFrame) -> list[Column]:
+    """An order of rows by all columns, so that only equal rows stand in no order."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return plain + [F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema if "map<" in f.dataType.simpleString()]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -132,3 +138,11 @@ def over_chunks(
                     yield work(chunk)
 
     return run
+
+
+def sql_crc32(column: str) -> str:
+    """DuckDB SQL for the crc32 of a whole number as text, bit by bit; null for null."""
+    characters = f"list_transform(string_split({column}::varchar, ''), lambda c: ascii(c)::bigint)"
+    step = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(x, y), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: {step})"
+    return f"(4294967295 - list_reduce(list_prepend(4294967295::bigint, {characters}), lambda x, y: {byte}))"

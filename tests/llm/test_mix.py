@@ -93,6 +93,30 @@ def test_mixed_repeats_rows(spark):
     assert Counter(r.doc_id for r in out.collect()) == Counter({k: v for k, v in copies.items() if v})
 
 
+def test_equal_rows_are_rounded_in_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(mix, "RUN", 100)
+    for doc_id in (7, None):
+        docs = [(doc_id, "five words in each row", "en", "a", 0)] * 2000 + [(i, "other words", "en", "b", 0) for i in range(500)]
+        sizes = mix.copies(frame(spark, docs)).groupBy("source").agg({"copies": "sum", "source": "count"}).collect()
+        assert {r.source: r["count(source)"] for r in sizes} == {"a": 2000, "b": 500}
+        biggest = mix.sized_runs(frame(spark, docs)).groupBy("source", "run").count().agg({"count": "max"}).first()[0]
+        assert biggest < 200
+
+
+def test_a_dual_that_is_not_solved_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mix, "STEPS", 1)
+    df = frame(spark, corpus(200)).selectExpr("source", "cast(size(split(text, ' ')) AS long) AS size")
+    with pytest.raises(ArithmeticError):
+        mix.tilts(df, mix.targets(df))
+
+
+def test_which_of_equal_rows_stays_is_fixed(spark):
+    docs = [(1, "the same text of a few words", lang, "a", 0) for lang in ("fr", "de", None, "en")]
+    docs += [(2, f"another text {i}", "en", "b", 0) for i in range(40)]
+    runs = [sorted(map(str, mix.mixed(frame(spark, docs).repartition(n)).collect())) for n in (1, 4, 7)]
+    assert runs[0] == runs[1] == runs[2]
+
+
 def test_hard_rows(spark):
     got = mix.digest(frame(spark, hard(), extra=True)).collect()
     assert len(got) == len(hard()) and all(0 <= r.taken <= 2 * r.size for r in got)
