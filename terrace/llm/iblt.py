@@ -8,25 +8,52 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.text import over_chunks, text_chunks, whole
+from terrace.llm.text import over_chunks, stored, text_chunks, whole
+from terrace.session import MAX_SHUFFLE_PARTITIONS, input_bytes
 
 CELLS = 12  # of a fingerprint; a retry has GROWTH times as many as the try before
 GROWTH = 4
 HASHES = 3  # each has a part of the cells for itself
-#: A paragraph is a line; it is broken at the ends of sentences, and after 400 characters without one.
-PARAGRAPH = re.compile(r"[^.!?\n]{1,400}[.!?\n]*|[.!?\n]+")
+#: A paragraph is a line; it is broken at the ends of sentences, and where ``pieces`` cuts what has none for long.
+PARAGRAPH = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
+LONG, LEAST, MOST = 400, 64, 4096  # characters: of what is cut, and of a piece
+WINDOW, EVERY = 8, 256  # characters that decide on a cut, and one in how many places is one
+RANGE = 32 << 20  # bytes of input in a range of documents, about
+SAMPLE = 64  # places for each range that its bounds are found from
+
+
+def pieces(run: str) -> list[str]:
+    """A long run cut where the characters before say so, so that what is put in moves few cuts."""
+    points = mixed(np.frombuffer(run.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64), 7)
+    sums = np.r_[np.zeros(1, dtype=np.uint64), np.cumsum(points, dtype=np.uint64)]
+    rolled = mixed(sums[WINDOW:] - sums[:-WINDOW], 8)
+    out, start = [], 0
+    for cut in (np.flatnonzero(rolled % np.uint64(EVERY) == 0) + WINDOW).tolist() + [len(run)]:
+        while cut - start > MOST:
+            out.append(run[start : start + MOST])
+            start += MOST
+        if cut - start >= LEAST or cut == len(run):
+            out.append(run[start:cut])
+            start = cut
+    return out
+
+
+def paragraphs(text: str) -> Iterator[str]:
+    for part in PARAGRAPH.findall(text):
+        yield from pieces(part) if len(part) > LONG else (part,)
 
 
 def digests(text: str) -> np.ndarray:
     """64-bit digests of the paragraphs of a text; the n-th repeat of one has a digest of its own."""
     seen: dict[str, int] = {}
     out = []
-    for part in PARAGRAPH.findall(text):
+    for part in paragraphs(text):
         part = part.strip()
         if part:
             n = seen.get(part, 0)
@@ -181,33 +208,50 @@ def compare(pairs: DataFrame, old: str, new: str) -> DataFrame:
     return df.mapInArrow(over_chunks(work, "old"), schema).select("row.*", *added)
 
 
+def place_of(row_id: Column, mark: Column) -> Column:
+    """A text whose order is that of doc_id (null below all), then of the text's digest."""
+    flipped = F.hex(row_id.bitwiseXOR(F.lit(-(1 << 63))))  # negative numbers below the others
+    return F.concat(F.coalesce(F.concat(F.lit("1"), F.lpad(flipped, 16, "0")), F.lpad(F.lit(""), 17, "0")), mark)
+
+
+def bounds_of(rows: DataFrame, n: int) -> np.ndarray:
+    """Places that cut rows into about ``n`` ranges, from a sample of about ``SAMPLE`` places for each."""
+    total = rows.count()
+    every = max(1, total // (SAMPLE * n))
+    some = rows.where(F.pmod(F.xxhash64("place"), F.lit(every)) == 0).select("place").distinct()
+    found = np.sort(some.toPandas()["place"].to_numpy().astype("S49"))  # at most some million places
+    return np.unique(found[np.arange(1, n) * len(found) // n]) if len(found) else found
+
+
 def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     """Rows of ``docs`` dealt into ranges of falling doc_id, each with the first row of the range after it.
 
     Null ids come last; rows with the same id are in the order of their texts'
-    digests. The bounds of the ranges are quantiles of doc_id, some for each
-    shuffle partition. The row put at the end of a range has ``tail`` set; after
-    the last range comes the first.
+    digests, and may be in many ranges. Ranges are as many as the bytes of the
+    input ask for, cut at quantiles of a sample. The row put at the end of a
+    range has ``tail`` set; after the last range comes the first.
     """
     spark = docs.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), (input_bytes(docs) or 0) // RANGE)
+    n = min(n, MAX_SHUFFLE_PARTITIONS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
-    quantiles = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0]
-    bounds = F.array(*map(F.lit, sorted(set(quantiles or [])))).cast("array<long>")
-    below = F.size(F.filter(bounds, lambda b: b >= F.col("doc_id")))
-    rows = rows.withColumns(
-        {
-            "range": F.when(F.col("doc_id").isNull(), F.size(bounds)).otherwise(below),
-            "mark": F.md5(F.col("text").cast("binary")),
-        }
-    )
-    heads = rows.groupBy("range").agg(F.max(F.struct("doc_id", "mark", "text")).alias("head"))
+    rows = rows.withColumn("place", place_of(F.col("doc_id"), F.md5(F.col("text").cast("binary"))))
+    bounds = spark.sparkContext.broadcast(bounds_of(rows, n))  # n places of 49 bytes
+
+    @F.pandas_udf("long")
+    def number(place: pd.Series) -> pd.Series:
+        at = np.searchsorted(bounds.value, place.to_numpy().astype("S49"), side="right")
+        return pd.Series(len(bounds.value) - at)
+
+    rows = rows.withColumn("range", number("place"))
+    heads = stored(rows.groupBy("range").agg(F.max(F.struct("place", "doc_id", "text")).alias("head")), "heads")
     by_range, all_ranges = Window.orderBy("range"), Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    tails = heads.select(
-        "range", F.coalesce(F.lead("head").over(by_range), F.first("head").over(all_ranges)).alias("head")
-    ).select("range", F.lit(True).alias("tail"), "head.doc_id", "head.mark", "head.text")
-    dealt = rows.select("range", F.lit(False).alias("tail"), "doc_id", "mark", "text").unionByName(tails)
-    order = ("range", "tail", F.col("doc_id").desc_nulls_last(), F.desc("mark"))
+    after = F.coalesce(F.lead("range").over(by_range), F.first("range").over(all_ranges))
+    following = heads.select("range").select("range", after.alias("after"))  # numbers alone
+    heads = heads.select(F.col("range").alias("after"), "head.place", "head.doc_id", "head.text")
+    tails = following.join(heads, "after").select("range", F.lit(True).alias("tail"), "place", "doc_id", "text")
+    dealt = rows.select("range", F.lit(False).alias("tail"), "place", "doc_id", "text").unionByName(tails)
+    order = ("range", "tail", F.desc("place"))
     return dealt.repartition(n, "range").sortWithinPartitions(*order).select("range", "tail", "doc_id", "text"), n
 
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terrace.llm import iblt
 from tests.llm.cases import empty, frame, hard
@@ -28,12 +29,34 @@ def test_retries_with_larger_sketches_only_where_needed():
 
 
 def test_paragraphs():
-    text = "One. Two!\nThree\nOne. " + "x" * 1000
-    assert len(iblt.digests(text)) == len(set(iblt.digests(text).tolist())) == 7
+    text = "One. Two!\nThree\nOne. " + "x" * 300
+    assert len(iblt.digests(text)) == len(set(iblt.digests(text).tolist())) == 5
     assert len(iblt.digests("")) == len(iblt.digests(" \n ")) == 0
     assert (iblt.digests("a\nb") == iblt.digests("a\n b ")).all()
 
 
+def test_long_runs_are_cut_where_their_content_says():
+    r = random.Random(6)
+    run = "".join(r.choices("abcdefgh 中文", k=20_000))
+    for changed in ("z" + run, run[:9000] + "zz" + run[9000:], run[1:]):
+        old, new = set(iblt.digests(run).tolist()), set(iblt.digests(changed).tolist())
+        assert len(old) > 40 and len(old & new) >= 0.9 * len(old)
+    for run in ("x" * 50_000, "ab" * 9000, run):
+        assert "".join(iblt.pieces(run)) == run and max(map(len, iblt.pieces(run))) <= iblt.MOST
+    assert all(iblt.LEAST <= len(p) for p in iblt.pieces(run)[:-1])
+
+
+def test_rows_of_one_id_are_in_many_ranges(spark):
+    for row_id in (None, 7):
+        docs = [(row_id, f"text {i}. of its own", "en", "a", 0) for i in range(1000)]
+        dealt, n = iblt.with_next(frame(spark, docs))
+        sizes = [r["count"] for r in dealt.where("NOT tail").groupBy("range").count().collect()]
+        assert len(sizes) > n // 2 and max(sizes) < 300 and sum(sizes) == 1000
+    docs = [(i, "x", "en", "a", 0) for i in (-(1 << 63), -5, -1, 0, 1, 9, (1 << 63) - 1, None)]
+    rows = iblt.with_next(frame(spark, docs))[0].where("NOT tail").orderBy("range", F.col("doc_id").desc_nulls_last()).collect()
+    assert [r.doc_id for r in rows] == [(1 << 63) - 1, 9, 1, 0, -1, -5, -(1 << 63), None]
+
+
 def want(docs):
     order = sorted(docs, key=lambda r: (r[0] is None, -(r[0] or 0)))
     out = {}
