@@ -75,9 +75,9 @@ def again(rows: DataFrame) -> DataFrame:
         F.min("pos").alias("from"), (F.max("pos") - F.min("pos") + F.when(F.col("single"), 1).otherwise(2)).alias("n")
     )
     parts = stored(parts.select("__key", "source", "from", (F.col("from") - F.col("by")).alias("at"), "n"), "parts")
-    texts = rows.select(F.col("__key").alias("source"), whole().alias("text")).join(
-        parts.select("source").distinct(), "source", "left_semi"
-    )
+    # the keys of sources grow with the corpus: a few of them are not broadcast either, so that the plan is one at any size
+    wanted = parts.select("source").distinct().hint("merge")
+    texts = rows.select(F.col("__key").alias("source"), whole().alias("text")).join(wanted, "source", "left_semi")
     sources = stored(texts.dropDuplicates(["source"]), "sources")
     slices = parts.join(sources, "source").select(
         "__key", "from", "n", F.array_join(F.slice(F.split("text", "\n"), F.col("at") + 1, F.col("n")), "\n").alias("text")
