@@ -27,7 +27,8 @@ FOUND = "array<struct<start:int,end:int,kind:int,value:string>>"
 HIDDEN = "\uffff"  # stands for a base span where terms are told apart; a noncharacter
 SUPPORT = 3  # different texts in which a term must stand with an entity
 DISCLOSURE = 0.9  # share of an entity's information at which a term is taken to reveal it
-PREFIX = 3  # letters that a generalised term keeps
+PREFIX = 3  # letters that a term generalised to its first ones keeps
+AREA = 4  # digits that a class of phone or card numbers has in common
 
 
 def valid(kind: str, value: Column) -> Column:
@@ -99,6 +100,30 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), span["kind"]), same)
 
 
+def named_by(span: Column) -> Column:
+    """What a span names, and the classes that belongs to: its kind, and the mail domain, network or first phone digits."""
+    digits = F.regexp_replace(span["value"], "[^0-9]", "")
+    wider = (
+        F.when(span["kind"] == 0, F.regexp_extract(lowered(span["value"]), "@.*", 0))
+        .when(span["kind"] == 1, F.regexp_extract(span["value"], r"^[0-9]+\.[0-9]+\.", 0))
+        .otherwise(digits.substr(1, AREA))
+    )
+    name = F.get(F.array(*map(F.lit, KINDS)), span["kind"])
+    return F.array(entity(span), F.concat_ws("/", name, wider), name)
+
+
+def shape(value: Column) -> Column:
+    """A term by its kinds of characters: a run of letters is a ~, one of digits a 0; all else stands as it is."""
+    return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "~"), "[0-9]+", "0")
+
+
+#: To what a term is generalised, the narrowest first, and how that is written.
+FAMILIES = {
+    "prefix": (lambda t: F.when(F.length(t) > PREFIX, F.substring(t, 1, PREFIX)), lambda x: F.concat(x, F.lit("*"))),
+    "shape": (shape, lambda x: x),
+}
+
+
 def term(word: Column) -> Column:
     return lowered(F.btrim(word, F.lit(MARKS)))
 
@@ -179,15 +204,17 @@ def disclosures(rows: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
     IC(e) = -log2 p(e), and a term in the same document gives away PMI(t;e) =
     log2 p(t,e) / (p(t) p(e)) of that. From ``DISCLOSURE`` of it on the term is
     taken to reveal the entity, if it stood with it in ``SUPPORT`` different
-    texts; copies of a text are one. A term is generalised to its first letters
-    if all terms with these reveal less than that, and removed if not. As p(t,e)
-    is at most p(e), a term can only reveal entities that are not much rarer,
-    so that other pairs need not be formed.
+    texts; copies of a text are one. Entities are single values and classes of
+    them: a mail domain, a network, the first digits of a number, a kind. A
+    term is generalised to its first letters if all terms with these reveal less
+    than that, else to its shape if that does, and removed if not. As p(t,e) is
+    at most p(e), a term can only reveal entities that are not much rarer, so
+    that other pairs need not be formed.
     """
     n = F.lit(float(n_docs))
     texts = rows.where(F.size("spans") > 0).groupBy("key").agg(
         F.count("*").alias("copies"),
-        F.first(F.array_distinct(F.transform("spans", entity))).alias("entities"),
+        F.first(F.array_distinct(F.flatten(F.transform("spans", named_by)))).alias("entities"),
         F.first("own").alias("own"),
     )
     texts = stored(texts, "texts")
@@ -211,29 +238,32 @@ def disclosures(rows: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
         pmi = F.log2(n * F.least(both, of) / (F.col(of) * F.col("n_entity")))
         return F.try_divide(pmi, F.log2(n / F.col("n_entity")))
 
-    prefix = F.substring("term", 1, PREFIX)
     risky = candidates.where((F.col("support") >= SUPPORT) & (share("n_both", "n_term") >= DISCLOSURE))
-    risky = stored(risky.select("entity", "n_entity", "term", prefix.alias("prefix")), "risky")
-
-    families = stored(risky.select("entity", "prefix").distinct(), "families")
-    heads = texts.select("key", F.explode("own").alias("term")).groupBy("key", prefix.alias("prefix"))
-    heads = heads.agg(F.count("*").alias("n_heads")).join(families.select("prefix").distinct(), "prefix", "left_semi")
-    shared = named.join(families, "entity").join(heads, ["key", "prefix"]).groupBy("entity", "n_entity", "prefix")
-    shared = shared.agg(F.sum(F.col("copies") * F.col("n_heads")).alias("n_both_family"))
-    masses = terms.groupBy(prefix.alias("prefix")).agg(F.sum("n_term").alias("n_family"))
-    general = shared.join(masses, "prefix")
-    general = general.select("entity", "prefix", (share("n_both_family", "n_family") < DISCLOSURE).alias("safe"))
-    risky = risky.join(general, ["entity", "prefix"], "left")
-    shown = F.when(F.col("safe") & (F.length("term") > PREFIX), F.concat("prefix", F.lit("*"))).otherwise(F.lit(""))
+    risky = stored(risky.select("entity", "n_entity", "term"), "risky")
+
+    shown = F.lit("")
+    for name, (family_of, written) in reversed(FAMILIES.items()):
+        risky = stored(risky.withColumn(name, family_of(F.col("term"))), "risky")
+        families = stored(risky.where(F.col(name).isNotNull()).select("entity", name).distinct(), "families")
+        heads = texts.select("key", F.explode("own").alias("term")).groupBy("key", family_of(F.col("term")).alias(name))
+        heads = heads.agg(F.count("*").alias("n_heads")).join(families.select(name).distinct(), name, "left_semi")
+        both = named.join(families, "entity").join(heads, ["key", name]).groupBy("entity", "n_entity", name)
+        both = both.agg(F.sum(F.col("copies") * F.col("n_heads")).alias("n_both_family"))
+        masses = terms.groupBy(family_of(F.col("term")).alias(name)).agg(F.sum("n_term").alias("n_family"))
+        general = both.join(masses, name).select("entity", name, (share("n_both_family", "n_family") < DISCLOSURE).alias(f"safe_{name}"))
+        risky = risky.join(general, ["entity", name], "left")
+        shown = F.when(F.col(f"safe_{name}"), written(F.col(name))).otherwise(shown)
     return risky.select("entity", "term", shown.alias("shown"))
 
 
 def term_spans(docs: DataFrame, risky: DataFrame) -> DataFrame:
     """For each text (by digest) with terms that reveal an entity, wherever that stands, all places of them.
 
-    What is removed for one entity is not shown in part for another.
+    What is removed for one entity is not shown in part for another, nor what is
+    shown by its shape by its first letters.
     """
-    risky = stored(risky.groupBy("term").agg(F.min("shown").alias("shown")), "shown")
+    rank = F.when(F.col("shown") == "", 0).when(F.col("shown").endswith("*"), 2).otherwise(1)
+    risky = stored(risky.groupBy("term").agg(F.min_by("shown", F.struct(rank, "shown")).alias("shown")), "shown")
     texts = docs.select(whole().alias("text")).withColumn("key", digest(F.col("text")))
     hits = texts.select("key", F.explode(text_terms(F.col("text"))).alias("term")).join(risky, "term")
     hits = stored(hits.groupBy("key").agg(F.collect_set(F.struct("term", "shown")).alias("shown")), "hits")
@@ -241,8 +271,8 @@ def term_spans(docs: DataFrame, risky: DataFrame) -> DataFrame:
     mark = F.xxhash64("key").alias("mark")
     marks = stored(hits.select(mark).distinct(), "marks")
     texts = texts.withColumn("mark", mark).join(marks, "mark", "left_semi")
-    every = texts.join(hits, "key").select("key", occurrences(F.col("text"), F.map_from_entries("shown")).alias("terms"))
-    return every.groupBy("key").agg(F.first("terms").alias("terms"))
+    one = texts.groupBy("key").agg(F.first("text").alias("text"))  # copies of a text are looked at once
+    return one.join(hits, "key").select("key", occurrences(F.col("text"), F.map_from_entries("shown")).alias("terms"))
 
 
 def detect(docs: DataFrame, *keep: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 from terrace.llm import pii
-from tests.llm.cases import empty, frame, hard
+from tests.llm.cases import LOWER, empty, frame, hard, words
 
 BASE = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -114,14 +116,70 @@ def test_copies_of_one_context_reveal_nothing(spark):
     assert all("term" not in r.spans for r in pii.digests(frame(spark, rows)).collect())
 
 
+def brute_disclosures(docs):
+    """(entity, term) pairs that reveal, by the definition."""
+    marks = pii.MARKS
+    n, n_term, n_entity, both, support = len(docs), Counter(), Counter(), Counter(), defaultdict(set)
+    for _, text, *_ in docs:
+        low = text.translate(LOWER)
+        spans = brute(text)
+        names = set()
+        for a, kind, b in spans:
+            value, digits, kind_name = text[a:b], re.sub("[^0-9]", "", text[a:b]), pii.KINDS[kind]
+            value = value.translate(LOWER) if kind == 0 else value if kind == 1 else digits
+            wider = value[value.index("@") :] if kind == 0 else ".".join(value.split(".")[:2]) + "." if kind == 1 else digits[: pii.AREA]
+            names |= {f"{kind_name}:{value}", f"{kind_name}/{wider}", kind_name}
+        every = {w.strip(marks) for w in words(low)} - {""}
+        own = {m[0].strip(marks) for m in re.finditer(r"[^\x20\x09-\x0D]+", low) if not any(m.start() < b and a < m.end() for a, _, b in spans)} - {""}
+        n_term.update(every)
+        n_entity.update(names)
+        for e in names:
+            for t in own:
+                both[e, t] += 1
+                support[e, t].add(text)
+    out = set()
+    for (e, t), k in both.items():
+        if len(support[e, t]) >= pii.SUPPORT and n_entity[e] < n:
+            pmi = math.log2(n * min(k, n_term[t]) / (n_term[t] * n_entity[e]))
+            if pmi / math.log2(n / n_entity[e]) >= pii.DISCLOSURE:
+                out.add((e, t))
+    return out
+
+
+def test_disclosures_against_brute_force(spark):
+    r = random.Random(12)
+    docs = []
+    for i in range(500):
+        text = " ".join(f"w{min(60, int(r.expovariate(0.08)))}" for _ in range(12)) + f" own{i}"
+        if i % 4 == 0:
+            who = r.randrange(6)
+            text += f" Agent{who} of Dept{who % 2}, mail p{who}@firm{who % 2}.org, from 10.{who % 3}.0.{who}"
+        if i % 9 == 0:
+            text += f" dial +1 555 0{r.randrange(3)}0 {1000 + i} please"
+        docs.append((i, text, "en", "a", 0))
+    df = frame(spark, docs + docs[:20])
+    rows = pii.found(df)
+    got = {(x.entity, x.term) for x in pii.disclosures(rows, pii.vocabulary(df), len(docs) + 20).collect()}
+    want = brute_disclosures(docs + docs[:20])
+    assert got == want and {e.split(":")[0].split("/")[0] for e, _ in got} == {"email", "ip", "phone"}
+    assert any("/@firm" in e for e, _ in got) and ("phone", "dial") in got
+
+
+def test_classes_reveal_where_no_value_repeats(spark):
+    docs = [(i, f"letter{i} write to Acme via u{i}@acme.org soon", "en", "a", 0) for i in range(12)]
+    docs += [(100 + i, f"other letter{i} soon to write via {i}", "en", "a", 0) for i in range(300)]
+    got = term_values(spark, docs)
+    assert all(got[i] == ["Acme"] for i in range(12)) and not any(got[100 + i] for i in range(300))
+
+
 def test_sanitised_text(spark):
     rows = [*leaks(), (900, None, "en", "a", 0), (901, "ip 1.2.3.4, card 4111-1111-1111-1111", "en", "a", 0)]
     df = frame(spark, rows, extra=True)
     clean = pii.sanitise(df)
     assert clean.columns == df.columns
     got = {r.doc_id: r.text for r in clean.collect()}
-    # zeta is removed: others start with the same letters, but none often enough; mari... is kept as mar*
-    assert got[0] in ("word0 filler0 call mar*  at [EMAIL] about x0 thing0", "word0 filler0 call mar* zet* at [EMAIL] about x0 thing0")
+    # marble and zeta0 stand elsewhere, so the first letters of both reveal little
+    assert got[0] == "word0 filler0 call mar* zet* at [EMAIL] about x0 thing0"
     assert got[901] == "ip [IP], card [CARD]" and got[900] is None and got[100] == "about call at marble stone 0 zeta0"
 
 
