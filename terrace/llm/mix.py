@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.ranks import written_out
-from terrace.llm.text import by_all, stored, whole, words
+from terrace.llm.text import by_all, discard, stored, whole, words
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order of their names, repeating
 SHARE = 1.5  # words of the mix against those of all documents
@@ -107,7 +107,8 @@ def tilts(sizes: DataFrame, goals: DataFrame) -> DataFrame:
             high.alias("high"),
             close.alias("done"),
         )
-        state = stored(moved.unionByName(state.where("done")), "tilts")
+        before, state = state, stored(moved.unionByName(state.where("done")), "tilts")
+        discard(before)
         if state.where("NOT done").isEmpty():
             break
     else:

@@ -88,7 +88,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     place = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
     df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    read = spark.read.schema(df.schema).parquet(place)
+    read._stored_at = place
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote and that nothing reads any more, such as those of earlier rounds."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shipped(spark: SparkSession, path: str) -> Broadcast:

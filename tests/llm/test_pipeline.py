@@ -11,7 +11,7 @@ from terrace.llm import mix
 from terrace.llm.queries import ORACLES, QUERIES, piece_model
 from tests.compare import assert_same, oracle
 from tests.llm import test_jaccard, test_lines, test_mix
-from tests.llm.cases import words
+from tests.llm.cases import empty, frame, hard, words
 from tests.llm.test_rules import brute as counts
 from tests.llm.test_rules import labelled
 
@@ -27,6 +27,9 @@ COLUMNS = {
     "op8_mixing": "doc_id size source_size target taken",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
@@ -82,6 +85,33 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert Counter(map(coded, steps[3])) == Counter((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in steps[4])
 
 
+def test_stages_bear_hard_rows_and_clashing_columns(spark, tmp_path):
+    """Each stage on the hard rows with columns named like its own, and on an empty table."""
+    _, labels = labelled(spark, 20)
+    sf_dir = str(tmp_path)
+    labels.write.parquet(f"{sf_dir}/labels.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = frame(spark, hard(), extra=True)
+        out = stage(spark, docs, sf_dir)
+        rows = out.collect()
+        assert stage(spark, empty(spark), sf_dir).count() == 0, name
+        if k == 4:
+            assert len(rows) == len(hard())
+            continue
+        gone = {"n_chunks", "n_removed"} if name == "line dedup" else set()
+        assert out.columns == [c for c in docs.columns if c not in gone], name
+        ids = Counter(r.doc_id for r in rows)
+        every = Counter(r[0] for r in hard())
+        if name == "line dedup":
+            assert ids == every
+        elif name == "n-gram Jaccard join":  # of the two equal rows and the near ones one stays; those without words all do
+            assert sum(ids.values()) >= len(hard()) - 3 and {3, 4, 5, 6, 7, 8, 9} <= set(ids)
+        elif name == "mixing sources":
+            assert all(n <= 2 * every[i] for i, n in ids.items())
+        else:
+            assert ids <= every and None not in ids
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
     assert queries()["pipeline"] is corpus_pipeline.run
@@ -93,7 +123,10 @@ def test_queries_return_what_is_agreed(spark):
     for name, query in QUERIES.items():
         out = query(spark, SF_DIR)
         assert " ".join(out.columns) == COLUMNS[name]
-        assert out.select("doc_id").distinct().count() == out.count() == n
+        if name == "op11_packing":  # a row for each piece
+            assert out.select("doc_id").distinct().count() == n
+        elif name != "op13_prefix_trie":  # a row for each node
+            assert out.select("doc_id").distinct().count() == out.count() == n
 
 
 def test_queries_agree_with_sql(spark):
