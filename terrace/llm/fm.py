@@ -25,14 +25,19 @@ def features(docs: DataFrame, *keep: str) -> DataFrame:
     """Word buckets and dense statistics of each whole text, beside some columns.
 
     The metadata is the length in code points, taken from the text itself, as
-    the column of that name may be null or stale.
+    the column of that name may be null or stale. Words are those of the text in
+    lower case, here and in the statistics, so that it is split once.
     """
-    hashed = F.transform(words(lowered(whole())), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+
+    def buckets(hashes: Column) -> Column:
+        return F.transform(hashes, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+
     wide = statistics(
-        docs.select(*keep, "text", F.length(whole()).alias("__chars"), hashed.alias("__buckets")),
+        docs.select(*keep, "text", F.length(whole()).alias("__chars")),
         *keep,
         "__chars",
-        "__buckets",
+        tokens=lambda text: words(lowered(text)),
+        more={"__buckets": buckets},
     )
     dense = [F.col(c).cast("double") for c in SHARES]
     dense += [F.log1p(F.col("__chars").cast("double")), F.log1p(F.col("n_words").cast("double"))]

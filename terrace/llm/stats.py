@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +56,12 @@ def repeated_words(hashes: Column) -> Column:
     return let(hashes, of)
 
 
-def counts(text: Column) -> Column:
-    """A struct of counts of a text that is not null."""
+def counts(text: Column, tokens: Callable[[Column], Column] = words, more: dict[str, Callable] | None = None) -> Column:
+    """A struct of counts of a text that is not null.
+
+    ``tokens`` gives the words that are counted; ``more`` names further fields that
+    are made of their hashes, so that who needs those splits the text no second time.
+    """
 
     def lines(all_lines: Column) -> Column:
         return F.struct(F.size(all_lines).alias("n"), F.size(F.array_distinct(all_lines)).alias("own"))
@@ -65,6 +71,7 @@ def counts(text: Column) -> Column:
             F.size(hashes).cast("long").alias("n_words"),
             repeated_words(hashes).cast("long").alias("n_repeat_words"),
             F.size(F.array_distinct(hashes)).alias("distinct"),
+            *[make(hashes).alias(name) for name, make in (more or {}).items()],
         )
 
     return F.struct(
@@ -72,16 +79,22 @@ def counts(text: Column) -> Column:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.length(text) - F.length(F.translate(text, UPPER, ""))).alias("n_upper"),
         let(F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""), lines).alias("lines"),
-        let(F.transform(words(text), lambda w: F.xxhash64(w)), of).alias("words"),
+        let(F.transform(tokens(text), lambda w: F.xxhash64(w)), of).alias("words"),
     )
 
 
-def statistics(docs: DataFrame, *keep: str, column: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` beside counts and shares of each whole text.
+def statistics(
+    docs: DataFrame,
+    *keep: str,
+    column: str = "text",
+    tokens: Callable[[Column], Column] = words,
+    more: dict[str, Callable] | None = None,
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` beside counts and shares of each whole text, and ``more`` (see ``counts``).
 
     Null counts as empty; every statistic of an empty text is 0.
     """
-    rows = docs.select(*keep, counts(whole(column)).alias("__c"))
+    rows = docs.select(*keep, counts(whole(column), tokens, more).alias("__c"))
     c = F.col("__c")
     per = lambda x, n: F.when(n > 0, x / n).otherwise(F.lit(0.0)).cast("double")
     n_words, lines = c["words"]["n_words"], c["lines"]
@@ -99,4 +112,5 @@ def statistics(docs: DataFrame, *keep: str, column: str = "text") -> DataFrame:
         per(c["words"]["n_repeat_words"], n_words).alias("repeat_share"),
         per(c["words"]["distinct"], n_words).alias("distinct_share"),
         per(n_words, lines["n"]).alias("mean_line"),
+        *[c["words"][name].alias(name) for name in more or {}],
     )
