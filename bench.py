@@ -46,6 +46,7 @@ HEADLINE = (
     "silver_first_load",
     "upsert_merge",
     "upsert_repeated_target_keys",
+    "upsert_bucketed",
     "csv_to_silver",
     "credit_risk_run",
 )

@@ -89,8 +89,9 @@ class Folder:
 def settle(spark: SparkSession, path: str, finish: Callable[[dict], None]) -> None:
     """Finish the switch of a writer that died on the way, if there is one."""
     folder = Folder(spark, path)
-    age = folder.age(CLAIM)
-    if (age is not None and age > STALE) or any(n.startswith(TAKEN) for n in folder.names()):
+    names = folder.names()
+    stale = CLAIM in names and (folder.age(CLAIM) or 0.0) > STALE
+    if stale or any(n.startswith(TAKEN) for n in names):
         with claim(spark, path, {}, finish):
             pass
 

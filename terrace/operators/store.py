@@ -14,6 +14,7 @@ import threading
 from functools import reduce
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,19 +43,27 @@ def _same(a: StructType, b: StructType) -> bool:
 
 
 def _facts(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return {r[0]: r[1] for r in rows}
+    """What the catalog says of a table; nothing if there is no such table."""
+    try:
+        return {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
+        return {}
+
+
+def _buckets(facts: dict[str, str]) -> int | None:
+    return int(facts["Num Buckets"]) if facts.get("Num Buckets") else None
 
 
 def location_of(spark: SparkSession, table: str) -> str | None:
     """Where a table's rows are just now; None if there is no such table."""
-    return _facts(spark, table)["Location"] if spark.catalog.tableExists(table) else None
+    return _facts(spark, table).get("Location")
 
 
 def buckets_of(spark: SparkSession, table: str) -> int | None:
     """Into how many buckets a table's keys are dealt; None if they are not."""
-    n = _facts(spark, table).get("Num Buckets")
-    return int(n) if n else None
+    return _buckets(_facts(spark, table))
 
 
 def _rename(spark: SparkSession, table: str, new: str) -> None:
@@ -121,11 +130,12 @@ def publish(
     """
     new, old = (f"{table}_{uuid4().hex}" for _ in range(2))
     with claims.claim(spark, path, {"new": new, "old": old}, _finish(spark, table)) as held:
-        if location_of(spark, table) != before or not held():
+        facts = _facts(spark, table)
+        if facts.get("Location") != before or not held():
             raise TableChanged(f"{table} was changed by another writer")
         if before is None:
             _create(spark, table, location, schema, buckets)
-        elif _same(spark.table(table).schema, schema) and buckets_of(spark, table) == (buckets and buckets[0]):
+        elif _same(spark.table(table).schema, schema) and _buckets(facts) == (buckets and buckets[0]):
             spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(location)}")
             spark.catalog.refreshTable(table)
         else:
@@ -311,8 +321,8 @@ def upsert(
     if not key:
         raise ValueError(f"a merge key is needed to write into the existing table {table}")
     settle(spark, table, path)
-    before, target = location_of(spark, table), spark.table(table)
-    seen, n = {}, buckets_of(spark, table)
+    facts, target, seen = _facts(spark, table), spark.table(table), {}
+    before, n = facts["Location"], _buckets(facts)
     with scratch(spark, "upsert") as place:
         if materialize or metrics:
             with sized_for(spark, input_bytes(source)):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import threading
 from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow as pa
@@ -43,6 +46,21 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application, for Python workers that do not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    if root.suffix != ".zip":  # else it came that way
+        place = tempfile.mkdtemp(prefix="terrace-")  # on the driver, which hands it out
+        context.addPyFile(shutil.make_archive(f"{place}/terrace", "zip", root, "terrace"))
+    _shipped.add(context.applicationId)
+
+
 def written(df: DataFrame, place: str) -> DataFrame:
     """A frame as files at ``place``, read back: what follows, be it several reads, does not compute it again."""
     df.write.parquet(place)
