@@ -19,12 +19,14 @@ from terrace.llm import (
     rules,
     secrets,
 )
+from terrace.session import ship_package
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
