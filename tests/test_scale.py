@@ -261,6 +261,22 @@ def test_shuffles_follow_the_input(spark, stored):
     assert spark.conf.get(name, None) is None
 
 
+def test_what_a_task_reads_does_not_grow_with_the_input(spark):
+    names = ["advisoryPartitionSizeInBytes", "skewJoin.skewedPartitionThresholdInBytes"]
+    names = [f"spark.sql.adaptive.{n}" for n in names]
+    for size in (None, 10 << 20, 6 << 30, 2000 << 30):
+        assert [shuffle_settings(spark, size)[n] for n in names] == [f"{16 << 20}b", f"{64 << 20}b"]
+    before = [spark.conf.get(n, None) for n in names]
+    with conf(spark, {k: SKEW[k] for k in names}):  # the session's own are kept where they are less
+        assert [shuffle_settings(spark, 6 << 30)[n] for n in names] == [SKEW[n] for n in names]
+    for n, value in zip(names, before, strict=True):
+        if value is None:
+            spark.conf.unset(n)
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert shuffle_settings(spark, 6 << 30)[name] == "384"
+    assert shuffle_settings(spark, 500 << 30)[name] == "16000"
+
+
 def test_input_size_is_that_of_the_files(spark, stored, tmp_path):
     df = stored(spark.range(1000), "with space")
     files = sum(f.stat().st_size for f in (tmp_path / "with space").glob("*.parquet"))
