@@ -32,7 +32,7 @@ from terrace.plans.credit_risk import (
     gold_sql_spec,
     ordered_by_risk,
 )
-from terrace.session import written
+from terrace.session import written_sized
 from terrace.sources import read_csv, read_source
 
 VALUATION = (
@@ -176,13 +176,14 @@ def case_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey AS o_orderkey", "l_linenumber", "l_extendedprice"
     )
     value = F.col("l_extendedprice")
-    return left_join(orders, lines, "o_orderkey").select(
+    cases = left_join(orders, lines, "o_orderkey").select(
         "o_orderkey",
         or_zero(F.col("l_linenumber")).alias("line"),
         or_zero(value).alias("value"),
         coverage_flag(value, F.col("o_totalprice")).alias("covered"),
         risk_band(F.col("o_orderstatus") == "F", F.col("l_linenumber"), 3, 5).alias("band"),
     )
+    return written_sized(cases, f"{work_folder(spark)}/cases")
 
 
 # --- joins and facts ----------------------------------------------------------
@@ -200,7 +201,8 @@ def left_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS o_orderkey", "l_linenumber", "l_partkey", "l_returnflag"
     )
-    return left_join(orders, lines, "o_orderkey")
+    joined = left_join(orders, lines, "o_orderkey")
+    return written_sized(joined, f"{work_folder(spark)}/joined")
 
 
 def unused_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +220,7 @@ def unused_left_join_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once_per_match(orders, lines, "o_orderkey", "l_orderkey")
 
 
-def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as clients, orders as credits, line items as collaterals, parts as market."""
     clients = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS client_id", "c_name AS name", "c_mktsegment AS city", "c_acctbal AS credit_score"
@@ -251,9 +253,12 @@ def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credit_risk_fact(clients, credits, valued, collaterals, "F", 500, 7000)
 
 
+def gold_risk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_sized(_risk_fact(spark, sf_dir), f"{work_folder(spark)}/fact")
+
+
 def ordered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = written(gold_risk_fact(spark, sf_dir), f"{work_folder(spark)}/fact")
-    return ordered_by_risk(fact)
+    return ordered_by_risk(gold_risk_fact(spark, sf_dir))
 
 
 # --- data quality -------------------------------------------------------------
@@ -552,7 +557,7 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A gold table sorted by band over its files: each row with the least band of its file, and how files overlap."""
     name, path = _new_table(spark, "fact")
-    fact = gold_risk_fact(spark, sf_dir)
+    fact = _risk_fact(spark, sf_dir)
     order = ["overall_risk", "client_id", "credit_id", "collateral_value_eur"]
     store.overwrite(spark, fact, name, path, order_by=order)
     rows = spark.table(name).withColumn("_file", F.input_file_name())

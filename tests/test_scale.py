@@ -1,5 +1,6 @@
 """What the plans must look like when the data is large or lopsided."""
 
+import os
 import re
 import threading
 from collections import Counter
@@ -12,6 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import QUERIES
+from terrace import session
 from terrace.operators import quality, store
 from terrace.operators.joins import left_join, once_per_match
 from terrace.operators.transforms import enrich
@@ -277,6 +280,19 @@ def test_what_a_task_reads_does_not_grow_with_the_input(spark):
     assert shuffle_settings(spark, 500 << 30)[name] == "16000"
 
 
+@pytest.mark.parametrize("name", ["left_outer_join", "case_coalesce", "gold_risk_fact"])
+def test_outer_joins_of_the_catalogue_run_with_bounded_tasks(spark, name, monkeypatch):
+    seen, write = [], session.written
+
+    def watched(df, place):
+        seen.append(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        return write(df, place)
+
+    monkeypatch.setattr(session, "written", watched)
+    got = QUERIES[name](spark, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
+    assert seen == [f"{16 << 20}b"] and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_input_size_is_that_of_the_files(spark, stored, tmp_path):
     df = stored(spark.range(1000), "with space")
     files = sum(f.stat().st_size for f in (tmp_path / "with space").glob("*.parquet"))
