@@ -16,13 +16,18 @@ def left_join(
     join, and the others from an anti join with the distinct keys, where a hot
     key has shrunk to one row per task before it is shuffled. ``keys_of`` may
     name a frame in which the same keys are cheaper to read, for instance the
-    table that ``right`` was enriched from.
+    table that ``right`` was enriched from. Rows without a key go apart, so that both
+    joins read the same rows of ``left``, which are then computed and shuffled once.
     """
     rest = [f for f in right.schema if f.name.lower() != key.lower()]
     known = (right if keys_of is None else keys_of).select(key).distinct()
-    alone = left.join(known, key, "left_anti")
+    keyed = left.where(F.col(key).isNotNull())
+    alone = keyed.join(known, key, "left_anti")  # the key comes first
+    at = [c.lower() for c in left.columns].index(key.lower())
+    places = [f"_{i}" for i in range(len(left.columns))]  # other names may stand twice
+    keyless = left.where(F.col(key).isNull()).toDF(*places).select(places[at], *places[:at], *places[at + 1 :])
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rest]
-    return left.join(right, key).union(alone.select("*", *empty))
+    return keyed.join(right, key).union(alone.union(keyless).select("*", *empty))
 
 
 def once_per_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

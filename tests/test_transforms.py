@@ -189,3 +189,11 @@ def test_left_join_like_a_plain_one(spark):
     out = left_join(left, right, "k")
     assert out.columns == ["k", "l", "r"]
     assert collected(out) == collected(left.join(right, "k", "left"))
+
+
+def test_left_join_with_names_that_stand_twice_and_the_key_last(spark):
+    left = spark.sql("SELECT * FROM VALUES (1, 'a', 5), (2, 'b', 6), (3, 'c', NULL) AS t(n, n, k)")
+    right = spark.createDataFrame([(5, "x"), (5, "y"), (None, "z")], "k int, r string")
+    out = left_join(left, right, "k")
+    assert out.columns == ["k", "n", "n", "r"]
+    assert {tuple(r) for r in out.collect()} == {(5, 1, "a", "x"), (5, 1, "a", "y"), (6, 2, "b", None), (None, 3, "c", None)}
