@@ -87,6 +87,29 @@ def test_left_join_has_one_plan_and_starts_no_job(spark, stored):
     assert plan.count("Join Inner") == 1 and plan.count("Join LeftAnti") == 1
 
 
+def test_left_join_shuffles_its_left_side_once(spark, stored):
+    left = stored(spark.range(0, 20_000, 1, 4).selectExpr("'l' AS l", "nullif(id % 9000, 3) AS k"), "l")
+    right = stored(hot(spark, 20_000, "id % 5000 AS k"), "r")
+    with conf(spark, SKEW):
+        rows, plan = run(left_join(left, right, "k"))
+        assert plan.count("ReusedExchange") == 1
+        assert rows == run(left.join(right, "k", "left"))[0]
+
+
+def test_the_inner_join_of_a_write_is_hashed_where_partitions_are_small(spark, stored):
+    left = stored(spark.range(0, 20_000, 1, 4).selectExpr("id AS k", "'l' AS l"), "l")
+    right = stored(hot(spark, 60_000, "id % 5000 AS k"), "r")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with sized_for(spark, input_bytes(left, right)):
+            rows, plan = run(left_join(left, right, "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"ShuffledHashJoin.*Inner", plan) and not re.search(r"SortMergeJoin.*Inner", plan)
+    assert rows == run(left.join(right, "k", "left"))[0]
+
+
 def test_a_lookup_without_columns_is_not_joined_unless_keys_repeat(spark, stored):
     left = stored(hot(spark, 3000, "nullif(id % 50, 3) AS k"), "l")
     once = stored(spark.range(0, 40, 2).withColumnRenamed("id", "m"), "once")
