@@ -160,7 +160,9 @@ def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ELSE valuation_eur END",
         },
     ]
-    return apply_transformations(spark, lines, {"transformations": steps})
+    chain = apply_transformations(spark, lines, {"transformations": steps})
+    spark.catalog.dropTempView(view)  # the frame has read it
+    return chain
 
 
 def string_number_compare(spark: SparkSession, sf_dir: str) -> DataFrame:

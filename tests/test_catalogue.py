@@ -26,3 +26,9 @@ def test_query_agrees_with_sql(spark, name):
 
 def test_entry_runs(spark):
     assert entry(spark).limit(1).count() == 1
+
+
+def test_a_query_leaves_no_view_in_the_session(spark):
+    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    assert QUERIES["transform_chain"](spark, SF_DIR).count() > 0
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} == before
